@@ -100,17 +100,15 @@ def restrict_to(df: DataFrame, members: DataFrame, on: str | Sequence[str]) -> D
 
 
 def donor_fill(df: DataFrame, key: str, value: str, donors: DataFrame) -> DataFrame:
-    """Keys without a value take the value of their donor key; ``donors`` is (key, donor)."""
+    """Keys without a value, or absent altogether, take the value of their donor key; ``donors`` is (key, donor)."""
     pairs = donors.select(F.col(key).alias("__k"), "donor")
+    values = df.groupBy(key).agg(F.max(value).alias("__v"))
     given = (
-        df.groupBy(key).agg(F.max(value).alias("__v")).join(broadcast_checked(pairs), F.col(key) == F.col("donor"))
-        .select("__k", "__v")
-    )
-    return (
-        df.join(given, df[key] == F.col("__k"), "left")
-        .withColumn(value, F.coalesce(F.col(value), F.col("__v")))
-        .drop("__k", "__v")
+        values.join(broadcast_checked(pairs), F.col(key) == F.col("donor"))
+        .where(F.col("__v").isNotNull())
+        .select(F.col("__k").alias(key), "__v")
     )
+    return df.join(given, key, "full").withColumn(value, F.coalesce(F.col(value), F.col("__v"))).drop("__v")
 
 
 def pair_distances(
