@@ -82,22 +82,21 @@ def multi_level(
     """
     place = list(dict.fromkeys(c for c, _ in levels.values() if c))
     extra = list(dict.fromkeys(k for _, ks in levels.values() for k in ks))
-    keys = [*place, *extra, *shared]
+    keys = list(dict.fromkeys([*place, *extra, *shared]))
+    sets = {tag: [*([c] if c else []), *ks, *shared] for tag, (c, ks) in levels.items()}
+    gid = {tag: sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in used) for tag, used in sets.items()}
+
     reduced = df.groupBy(*keys, who).agg(F.sum(amount).alias("__amount"))
-    out = None
-    for tag, (col_, ks) in levels.items():
-        by = [*([col_] if col_ else []), *ks, *shared]
-        persons = reduced.groupBy(*by, who).agg(F.sum("__amount").alias("__amount"))
-        part = persons.groupBy(*by).agg(F.count(who).alias("beneficiarios"), F.sum("__amount").alias("monto"))
-        part = part.select(
-            F.lit(tag).alias("nivel"),
-            (F.col(col_).cast("string") if col_ else F.lit("nacional")).alias("cvenivel"),
-            *shared,
-            "beneficiarios",
-            "monto",
-        )
-        out = part if out is None else out.unionByName(part)
-    return out.distinct()
+    persons = reduced.groupingSets([[*used, who] for used in sets.values()], *keys, who).agg(
+        F.sum("__amount").alias("__amount"), F.shiftright(F.grouping_id(), 1).alias("__gid")
+    )
+    totals = persons.groupBy("__gid", *keys).agg(F.count(who).alias("beneficiarios"), F.sum("__amount").alias("monto"))
+    nivel, clave = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for tag, (c, _) in levels.items():
+        here = F.col("__gid") == gid[tag]
+        nivel = F.when(here, tag).otherwise(nivel)
+        clave = F.when(here, F.col(c).cast("string") if c else F.lit("nacional")).otherwise(clave)
+    return totals.select(nivel.alias("nivel"), clave.alias("cvenivel"), *shared, "beneficiarios", "monto").distinct()
 
 
 def pair_dimension_cube(df: DataFrame, axes, who: str, amount: str) -> DataFrame:
