@@ -97,8 +97,6 @@ def run_chunk(
         if set(row_layer) & (needs | {rule.name}):
             df = flush_rows(df)
         if rule.by:
-            if row_layer and any(rule.name in r for r in [set(row_layer)]):
-                df = flush_rows(df)
             group_layer.append(rule)
         else:
             if any(rule.name in g.reads() for g in group_layer):
