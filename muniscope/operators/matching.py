@@ -78,7 +78,10 @@ def fuzzy_lookup(
 
     best = F.array_min(F.transform("items", scored))
     winners = met.select("__b", "__n", best.alias("w")).groupBy("__b", "__n").agg(F.min("w").alias("w"))
-    winners = winners.select("__b", "__n", F.when(-F.col("w.s") > threshold, F.col("w.k")).alias(key), (-F.col("w.s")).alias("similitud"))
+    good = -F.col("w.s") > threshold
+    winners = winners.select(
+        "__b", "__n", F.when(good, F.col("w.k")).alias(key), F.when(good, -F.col("w.s")).alias("similitud")
+    )
     return df.join(winners, (df[block] == F.col("__b")) & (clean(df[name]) == F.col("__n")), "left").drop("__b", "__n")
 
 
