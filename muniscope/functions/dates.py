@@ -29,7 +29,7 @@ def parse_es_month(c) -> Column:
 
 def first_of_month(year, month) -> Column:
     y, m = col(year), col(month)
-    return F.when(y.isNotNull() & m.between(1, 12), F.try_make_date(y, m, F.lit(1)) if hasattr(F, "try_make_date") else F.make_date(y, m, F.lit(1)))
+    return F.when(y.isNotNull() & m.between(1, 12), F.make_date(y, m, F.lit(1)))
 
 
 def data_date_to_date(c) -> Column:
@@ -116,7 +116,7 @@ def parse_timestamp_cascade(c) -> Column:
     )
 
 
-# Reference order of frequencies, coarse to fine.
+# Frequencies, coarse to fine.
 FREQUENCIES = ["a", "b", "q", "m", "bm", "w", "d"]
 
 

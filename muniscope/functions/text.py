@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Mapping, Sequence
 from itertools import chain
 
@@ -10,21 +11,29 @@ from pyspark.sql import functions as F
 
 from . import col
 
-# Letters replaced by their unaccented form.
-ACCENTED = "áéíóúüÁÉÍÓÚÜñÑàèìòùâêîôûäëïöçÀÈÌÒÙÂÊÎÔÛÄËÏÖÇ"
-PLAIN = "aeiouuAEIOUUnNaeiouaeiouaeiocAEIOUAEIOUAEIOC"
+def _latin_pairs() -> tuple[str, str]:
+    """Every accented Latin letter whose canonical base is one ASCII letter, and those bases."""
+    accented, plain = [], []
+    for code in range(0xC0, 0x250):
+        base = "".join(m for m in unicodedata.normalize("NFD", chr(code)) if unicodedata.category(m) != "Mn")
+        if len(base) == 1 and base.isascii() and base != chr(code):
+            accented.append(chr(code))
+            plain.append(base)
+    return "".join(accented), "".join(plain)
+
+
+ACCENTED, PLAIN = _latin_pairs()
 
 
 def strip_accents(c) -> Column:
-    """Replace accented letters by plain ones."""
-    return F.translate(col(c), ACCENTED, PLAIN)
+    """Replace accented letters by plain ones and drop combining marks."""
+    return F.regexp_replace(F.translate(col(c), ACCENTED, PLAIN), r"\p{Mn}", "")
 
 
 def clean_text(c) -> Column:
     """Unaccented lower-case words of a-z only, single-spaced. Punctuation inside a word vanishes."""
-    plain = F.lower(strip_accents(c))
-    no_marks = F.regexp_replace(plain, r"[^\w\s]", "")
-    return F.trim(F.regexp_replace(no_marks, r"[^a-z]+", " "))
+    no_marks = F.regexp_replace(strip_accents(c), r"[^\p{L}\p{N}_\s]", "")
+    return F.lower(F.trim(F.regexp_replace(no_marks, r"[^a-zA-Z]+", " ")))
 
 
 def clean_name(c) -> Column:
