@@ -58,12 +58,7 @@ def age_at(birth, year, month) -> Column:
     """Full years on the first day of (year, month) for a yyyyMMdd birth date; null on a bad date."""
     text = F.trim(F.translate(col(birth).cast("string"), "\"'", ""))
     born = F.when(text.rlike(r"^\d{8}$"), F.try_to_timestamp(text, F.lit("yyyyMMdd")).cast("date"))
-    y, m = col(year).cast("int"), col(month).cast("int")
-    before_birthday = (m < F.month(born)) | ((m == F.month(born)) & (F.dayofmonth(born) > 1))
-    return F.when(
-        born.isNotNull() & y.isNotNull() & m.between(1, 12),
-        y - F.year(born) - before_birthday.cast("int"),
-    )
+    return F.floor(F.months_between(first_of_month(col(year).cast("int"), col(month).cast("int")), born) / 12).cast("int")
 
 
 def age_category(age) -> Column:

@@ -73,11 +73,11 @@ def pack_blocks(df: DataFrame, keys: Sequence[str], payload: Column, spread: Seq
 def probe_blocks(probe: DataFrame, packed: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Meet every probe row with every block of its key. Rows are copied once per block, never per item."""
     if keys:
-        counts = packed.groupBy(*keys).agg(F.max("blocks").alias("__b"))
+        counts = packed.groupBy(*keys).agg(F.max("blocks").alias("__nblocks"))
         left = probe.join(counts, list(keys), how)
     else:
-        left = probe.withColumn("__b", packed.agg(F.max("blocks")).scalar())
-    left = left.withColumn("block", F.explode_outer(F.sequence(F.lit(0), F.col("__b") - 1))).drop("__b")
+        left = probe.withColumn("__nblocks", packed.agg(F.max("blocks")).scalar())
+    left = left.withColumn("block", F.explode_outer(F.sequence(F.lit(0), F.col("__nblocks") - 1))).drop("__nblocks")
     return left.join(packed.drop("blocks"), [*keys, "block"], how)
 
 
