@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["projections", "joining", "aggregating"]
+MODULES = ["projections", "joining", "aggregating", "ordering", "reshaping", "ruling"]
 
 
 def load_all() -> None:

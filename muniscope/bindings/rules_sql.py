@@ -22,7 +22,7 @@ def chunk_sql(source: str, columns: Sequence[str], chunk: Sequence[Rule], out: S
             value = f"CASE WHEN {unknown} THEN 0 ELSE coalesce({agg}, 0) END"
         else:
             value = r.value_sql()
-        if r.name in casts:
+        if r.by and r.name in casts:
             value = f"CAST({value} AS {casts[r.name]})"
         kept = f"* EXCLUDE ({r.name})" if r.name in have else "*"
         sql = f"SELECT {kept}, {value} AS {r.name} FROM ({sql})"

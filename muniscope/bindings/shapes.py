@@ -23,7 +23,7 @@ _PERSON = f"concat_ws('-', CAST({_O} AS STRING), CAST({_L} AS STRING))"
 PERSON = {
     "fecha_creacion": f"CAST(2014 + {_O} % 2 AS STRING)",
     "data_date": f"concat(CAST(2014 + {_O} % 2 AS STRING), '-a')",
-    "folioviv": f"{_O} % 5000",
+    "folioviv": _O,
     "hogar_id": _HOME,
     "person_id": _PERSON,
     "parentesco": code(_L, 6, 1),
@@ -66,6 +66,15 @@ PERSON = {
     "am_issste_estatal": "0",
     "am_pemex": code(f"({_P} + {_L}) % 13", 2),
     "inscrito_contratacion": holed(f"{_P} + {_S}", 2, 9),
+    "atencion_medica": holed(f"{_P} * 3 + {_L}", 2, 12),
+    "am_imss_prospera": code(f"{_P} % 7 + {_S}", 2),
+    "am_otra": holed(f"{_S} % 5", 7, 3),
+    "inscrito_prestacion_lab": holed(f"{_P} + {_L} * 5", 2, 8),
+    "inscrito_jubilacion": holed(f"{_S} % 7 + {_L}", 2, 4),
+    "inscrito_familiar": holed(f"{_P} % 11", 2, 3),
+    "inscrito_muerte_aseg": code(f"({_P} % 29) * {_L}", 2),
+    "inscrito_estudiante": holed(f"{_S} % 13", 2, 5),
+    "inscrito_familiar_otro": holed(f"{_P} % 19 + {_S}", 2, 6),
     "total_personas": code(_O, 9, 1),
     "total_cuartosdor": code(f"{_O} + 1", 5),
     "lengua_indigena": holed(_P, 3, 10),
@@ -79,7 +88,7 @@ _K, _C = "o_orderkey", "o_custkey"
 HOME = {
     "fecha_creacion": f"CAST(2014 + {_K} % 2 AS STRING)",
     "data_date": f"concat(CAST(2014 + {_K} % 2 AS STRING), '-a')",
-    "folioviv": f"{_K} % 5000",
+    "folioviv": _K,
     "hogar_id": f"CAST({_K} AS STRING)",
     "edad": holed(f"{_C} * 7", 90, 31),
     "servicio_agua": holed(_C, 7, 12, 1),
@@ -94,6 +103,11 @@ HOME = {
     "material_techos": code(f"{_K} + {_C}", 10, 1),
     "elimina_basura": code(_K, 8, 1),
     "tipo_escusado": code(_C, 6, 1),
+    "c_salud_hoga": holed(_K, 9, 6),
+    "c_salud_hogb": holed(f"{_K} + 1", 9, 5),
+    "ubica_geo": f"lpad(CAST({_K} % 30000 AS STRING), 9, '0')",
+    "ing_cor": "o_totalprice",
+    "remesas": "o_totalprice - 100000",
     "escusado_exclusivo": code(f"{_K} + 1", 2),
     "tenencia": code(f"{_C} + {_K}", 7, 1),
     **{

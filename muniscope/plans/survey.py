@@ -196,7 +196,8 @@ def household_vulnerability(people: DataFrame, summary: DataFrame, jobs: DataFra
         *[(100 * F.try_divide(F.col(n), F.col("personas"))).alias(n) for n in flags],
         F.try_divide("guar", "personas").alias("proporcion_guar"),
     )
-    wages = state(income).where(F.col("clave").isin(WAGES)).join(persons.select(*home, "numren", "sexo"), [*home, "numren"])
+    earned = state(income).where(F.col("clave").isin(WAGES)).select(*home, "numren", "ing_1")
+    wages = earned.join(persons.select(*home, "numren", "sexo"), [*home, "numren"])
     gap = gap_ratio(wages, ["cve_ent"], "sexo", 2, 1, "ing_1", name="brecha_salario_mensual").select(
         "cve_ent",
         "brecha_salario_mensual",
