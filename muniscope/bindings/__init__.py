@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["projections", "joining", "aggregating", "ordering", "reshaping", "ruling"]
+MODULES = ["projections", "joining", "aggregating", "ordering", "reshaping", "ruling", "publishing"]
 
 
 def load_all() -> None:

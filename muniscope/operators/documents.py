@@ -20,7 +20,10 @@ def pack_json(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
 def _sorted_map(key: Column | str, value: Column) -> Column:
     """Aggregate (key, value) entries into a map in key order."""
     k = F.col(key) if isinstance(key, str) else key
-    return F.map_from_entries(F.array_sort(F.collect_list(F.struct(k.alias("k"), value.alias("v")))))
+    entries = F.collect_list(F.struct(k.alias("k"), value.alias("v")))
+    # maps inside the value cannot be compared, so order by the key alone
+    by_key = F.array_sort(entries, lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0))
+    return F.map_from_entries(by_key)
 
 
 def nested_totals(df: DataFrame, keys: Sequence[str], parent: str, child: str, value: str, name: str = "documento") -> DataFrame:
