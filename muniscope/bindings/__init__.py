@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["projections", "joining", "aggregating", "ordering", "reshaping", "ruling", "publishing"]
+MODULES = ["projections", "joining", "aggregating", "ordering", "reshaping", "ruling", "publishing", "checking", "places"]
 
 
 def load_all() -> None:

@@ -172,11 +172,11 @@ RAW_BENEFICIARY = {
     "value": "concat_ws('|', "
     + ", ".join(
         [
-            f"concat('dep', CAST({_S} % 7 AS STRING))",
+            f"concat('dep', CAST({_S} % 3 AS STRING))",
             f"CASE WHEN {_P} % 4 = 0 THEN 'FEDERAL' WHEN {_P} % 4 = 1 THEN 'ESTATAL' WHEN {_P} % 4 = 2 THEN 'MUNI' ELSE 'x' END",
             f"CAST({_P} AS STRING)",
-            f"concat('S', lpad(CAST({_S} % 12 AS STRING), 3, '0'))",
-            f"concat('P', CAST({_P} % 5 AS STRING))",
+            f"concat('S', lpad(CAST({_S} % 3 AS STRING), 3, '0'))",
+            f"concat('P', CAST({_P} % 2 AS STRING))",
             f"CAST(2013 + {_O} % 3 AS STRING)",
             f"concat('13', CASE WHEN {_L} = 1 THEN 'a' WHEN {_L} = 2 THEN 'B' WHEN {_L} = 3 THEN 'c' WHEN {_L} = 4 THEN 'x' ELSE CAST({_L} AS STRING) END)",
             "'Perez'",
@@ -186,9 +186,9 @@ RAW_BENEFICIARY = {
             f"CASE WHEN {_S} % 3 = 0 THEN 'H' WHEN {_S} % 3 = 1 THEN '\"M\"' ELSE '' END",
             f"CAST({_P} % 14 AS STRING)",
             f"concat('N', CAST({_O} % 3000 AS STRING))",
-            f"CASE WHEN {_P} % 20 = 0 THEN '' ELSE CAST(CAST(l_extendedprice AS INT) AS STRING) END",
-            f"CAST({_S} % 34 AS STRING)",
-            f"CASE WHEN {_P} % 30 = 0 THEN '999' ELSE CAST({_P} % 130 AS STRING) END",
+            f"CASE WHEN {_P} % 20 = 0 THEN '' ELSE CAST(CAST(floor(l_extendedprice) AS BIGINT) AS STRING) END",
+            f"CAST({_S} % 6 * 7 AS STRING)",
+            f"CASE WHEN {_P} % 30 = 0 THEN '999' ELSE CAST({_P} % 13 AS STRING) END",
             f"CAST({_P} % 10001 AS STRING)",
             "'1'",
             f"CAST({_L} AS STRING)",

@@ -17,12 +17,13 @@ def ingest_incremental(
     sep: str = "|",
     header: bool = True,
     period_pattern: str = r"(\d{4}(?:-\d+)?-[a-z]+)",
+    path_period: bool = False,
     prepare=None,
     max_files: int = 1000,
 ) -> None:
     """Load files that arrived since the last run, then stop.
 
-    The period comes from the file name. Each micro-batch owns the partition (data_date, load_batch), so a
+    The period comes from the file name, or with ``path_period`` from the whole path. Each micro-batch owns the partition (data_date, load_batch), so a
     batch repeated after a failure replaces itself and later files of the same period are added beside it.
     ``prepare`` is an optional DataFrame -> DataFrame step.
     """
@@ -34,7 +35,7 @@ def ingest_incremental(
         .options(sep=sep, header=header, maxFilesPerTrigger=max_files)
         .csv(source)
         .withColumn("source_file", F.regexp_extract("_metadata.file_path", r"([^/]+)$", 1))
-        .withColumn("data_date", F.regexp_extract("source_file", period_pattern, 1))
+        .withColumn("data_date", F.regexp_extract("_metadata.file_path" if path_period else "source_file", period_pattern, 1))
     )
 
     def load(batch: DataFrame, batch_id: int) -> None:
