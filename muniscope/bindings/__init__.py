@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["projections", "joining", "aggregating", "ordering", "reshaping", "ruling", "publishing", "checking", "places"]
+MODULES = ["projections", "joining", "aggregating", "ordering", "reshaping", "ruling", "publishing", "checking", "places", "composing"]
 
 
 def load_all() -> None:
