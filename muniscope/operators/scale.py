@@ -28,6 +28,16 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """Compute once where several later steps read the result.
+
+    Checkpoints into the shared folder of ``spark.checkpoint.dir``; without one the rows are cached.
+    """
+    if df.sparkSession.conf.get("spark.checkpoint.dir", None):
+        return df.checkpoint()
+    return df.persist()
+
+
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     """Join condition that treats null keys as equal."""
     cond = F.lit(True)

@@ -91,6 +91,21 @@ def average_rank(
     return df.join(ranks, cond, "left").drop("__score", *[f"__r_{b}" for b in by])
 
 
+def average_ranks(
+    df: DataFrame, key: str, scores: dict[str, str], by: Sequence[str] = (), descending: bool = False, buckets: int | None = None
+) -> DataFrame:
+    """Several average ranks at once (``name -> score column``) beside rows identified by ``key``.
+
+    All scores are ranked as one long table, so the number of passes does not depend on how many there are.
+    """
+    by = list(by)
+    long = df.unpivot([key, *by], list(scores.values()), "__col", "__s").where(F.col("__s").isNotNull())
+    ranked = average_rank(long, "__s", ["__col", *by], "__rank", descending, buckets)
+    names = {c: n for n, c in scores.items()}
+    wide = ranked.groupBy(key).agg(*[F.max(F.when(F.col("__col") == c, F.col("__rank"))).alias(n) for c, n in names.items()])
+    return df.join(wide, key, "left")
+
+
 def _ends(df: DataFrame, cols: Sequence[str], by: Sequence[str], **stats) -> tuple[DataFrame, dict[str, dict[str, Column]]]:
     """Statistics of each column beside the rows: a one-row scalar subquery, or a join per group."""
     if not by:

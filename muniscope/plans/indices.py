@@ -14,7 +14,8 @@ from ..operators.aggregates import group_summary, median_of_sums, weighted_rollu
 from ..operators.joins import add_group_value, donor_fill, outer_assemble
 from ..operators.projections import fill_mean
 from ..operators.reshape import spread
-from ..operators.windows import average_rank, fill_down, minmax, rank_by, zscore
+from ..operators.scale import settle
+from ..operators.windows import average_rank, average_ranks, fill_down, minmax, rank_by, zscore
 
 # Sub-index -> the components whose geometric mean it is.
 FOOD_SUBINDICES = {
@@ -50,11 +51,11 @@ def food_risk(components: DataFrame, key: str = "cve_muni") -> DataFrame:
     df = df.withColumn("estabilidad_natural_i", row_mean(["temperaturas_i", "inundaciones_i", "sequia_i"]))
     df = df.withColumn("estabilidad_i", weighted_row_sum({"violencia_i": 0.4, "estabilidad_natural_i": 0.6}))
     df = df.withColumn("riesgo_alimentario_i", geo_mean(["disponibilidad_i", "acceso_i", "utilizacion_i", "estabilidad_i"]))
-    ranks = []
-    for name in ["disponibilidad", "acceso", "utilizacion", "estabilidad"]:
-        df = average_rank(df, f"{name}_i", name=f"{name}_r", descending=True)
-        ranks.append(f"{name}_r")
-    df = average_rank(df, "riesgo_alimentario_i", name="riesgo_alimentario_rn", descending=True)
+    df = settle(df)
+    parts = ["disponibilidad", "acceso", "utilizacion", "estabilidad"]
+    ranks = [f"{p}_r" for p in parts]
+    scores = {**{f"{p}_r": f"{p}_i" for p in parts}, "riesgo_alimentario_rn": "riesgo_alimentario_i"}
+    df = settle(average_ranks(df, key, scores, descending=True))
     df = minmax(df, [*ranks, "riesgo_alimentario_rn"], clamp=True, invert=True).withColumnRenamed("riesgo_alimentario_rn_i", "riesgo_alimentario_r_i")
     labels = {"disponibilidad_r_i": "Disponibilidad", "acceso_r_i": "Acceso", "utilizacion_r_i": "Utilización"}
     df = df.withColumn("max_dim", recode_values(row_argmax(list(labels)), labels))
