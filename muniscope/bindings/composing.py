@@ -232,8 +232,8 @@ clean_query("cenapred", "customer", {"cve_muni": "c_custkey", "data_date": "'201
     "SELECT lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS cve_muni, '2018-a' AS data_date, c_mktsegment AS gp_nevadas FROM customer")
 clean_query("coneval_municipios", "customer", {"cve_muni": "c_custkey", "data_date": "'2015-a'", "pob_tot": "c_acctbal"},
     "SELECT c_custkey AS cve_muni, '2015-a' AS data_date, c_acctbal AS pob_tot, '2015-a' AS fecha FROM customer")
-clean_query("coneval_estados", "lineitem", {"folioviv": "l_orderkey", "data_date": "'2014-a'", "ictpc": "l_extendedprice * l_discount", "profun": "l_tax"},
-    "SELECT l_orderkey AS folioviv, '2014-a' AS data_date, round(l_extendedprice * l_discount, 2) AS ictpc, round(l_tax, 2) AS profun, '2014-a' AS fecha FROM lineitem")
+clean_query("coneval_estados", "lineitem", {"folioviv": "l_orderkey", "data_date": "'2014-a'", "ictpc": "l_extendedprice / 7", "profun": "l_tax"},
+    "SELECT l_orderkey AS folioviv, '2014-a' AS data_date, round(l_extendedprice / 7, 2) AS ictpc, round(l_tax, 2) AS profun, '2014-a' AS fecha FROM lineitem")
 clean_query("complejidad_municipios", "customer", {"cve_muni": "c_custkey", "nom_muni": "c_name", "complejidad_2010": "CAST(c_acctbal AS STRING)"},
     "SELECT CAST(c_custkey AS VARCHAR) AS cve_muni, c_name AS nom_muni, c_acctbal AS complejidad_2010 FROM customer")
 clean_query("cuaps_componentes", "part", {"cuaps_folio": "p_partkey", "nom_prog": "p_name", "tiene_componentes": "1 + p_partkey % 2", "id_componente": "p_size % 3", "tipo_pob_apo": "CAST(p_size % 8 AS INT)"},

@@ -20,7 +20,8 @@ MONTH_COLUMNS = [
 
 def gather(df: DataFrame, key: str, value: str, ids: Sequence[str], cols: Sequence[str] | None = None) -> DataFrame:
     """Wide to long in one scan, keeping ``ids``."""
-    return df.unpivot(list(ids), list(cols) if cols else [c for c in df.columns if c not in set(ids)], key, value)
+    values = list(cols) if cols else [c for c in df.columns if c not in set(ids)]
+    return df.unpivot([F.col(f"`{c}`") for c in ids], [F.col(f"`{c}`") for c in values], key, value)
 
 
 def months_long(df: DataFrame, ids: Sequence[str], value: str, months: Sequence[str] = MONTH_COLUMNS) -> DataFrame:

@@ -15,7 +15,7 @@ from ..operators.joins import add_group_value, donor_fill, outer_assemble
 from ..operators.projections import fill_mean
 from ..operators.reshape import spread
 from ..operators.scale import settle
-from ..operators.windows import average_rank, average_ranks, fill_down, minmax, rank_by, zscore
+from ..operators.windows import average_rank, average_ranks, fill_down, minmax, rank_by
 
 # Sub-index -> the components whose geometric mean it is.
 FOOD_SUBINDICES = {
@@ -72,11 +72,13 @@ HAZARD_POINTS = {"Muy alto": 10, "Alto": 8, "Medio": 4, "Bajo": 2, "Muy bajo": 1
 
 
 def natural_hazards(levels: DataFrame, hazards: Sequence[str], key: str = "cve_muni") -> DataFrame:
-    """Hazard levels to points, standardised, scaled to 0-1, and their mean per municipality."""
+    """Hazard levels to points, scaled to 0-1, and their mean per municipality.
+
+    Standardising first would not change a 0-1 scale, so it is left out.
+    """
     points = levels.withColumns({h: recode_values(h, HAZARD_POINTS, keep_other=False).cast("double") for h in hazards})
-    scaled = minmax(zscore(points, hazards), [f"{h}_z" for h in hazards])
-    names = {f"{h}_z_i": f"a_n_{h}_i" for h in hazards}
-    out = scaled.withColumnsRenamed(names).drop(*[f"{h}_z" for h in hazards])
+    names = {f"{h}_i": f"a_n_{h}_i" for h in hazards}
+    out = minmax(points, hazards).withColumnsRenamed(names)
     return out.withColumn("amenazas_naturales_i", row_mean(list(names.values())))
 
 
@@ -103,14 +105,14 @@ def human_hazards(violence: DataFrame, volatility: DataFrame, inflation: DataFra
     return joined.withColumn("amenazas_humana_i", geo_mean(["amenazas_humana_violencia_i", "a_h_volatilidad_i", "a_h_e_inpc_i"]))
 
 
-# Indicators that are carried down, standardised and scaled.
+# Indicators that are carried down and scaled.
 VULNERABILITY_INPUTS = ["irez_soc15", "gini_10", "unprooted", "ic_asalud", "precio_maiz_2015"]
 
 
 def vulnerability_index(sources: Sequence[DataFrame], key: str = "cve_muni") -> DataFrame:
-    """Full join of the sources, gaps filled from the place above in key order, scaled, averaged in two levels."""
+    """Full join of the sources, gaps filled from the place above in key order, scaled to 0-1, averaged in two levels."""
     full = fill_down(outer_assemble(sources, key), [key], VULNERABILITY_INPUTS)
-    scaled = minmax(zscore(full, VULNERABILITY_INPUTS, suffix=""), VULNERABILITY_INPUTS, suffix="")
+    scaled = minmax(full, VULNERABILITY_INPUTS, suffix="")
     return (
         scaled.withColumn("socioeconomica", row_mean(["irez_soc15", "gini_10"]))
         .withColumn("o_vulnerable", row_mean(["ic_asalud", "precio_maiz_2015"]))
