@@ -35,11 +35,9 @@ def _food_sql():
     return f"SELECT *, pow(disponibilidad_i * acceso_i * utilizacion_i * estabilidad_i, 0.25e0) AS riesgo_alimentario_i FROM ({sql})"
 
 
-# indices are rounded before ranking on both sides so that equal places tie in both engines
 @query("food_risk", f"""
-WITH f AS ({_food_sql()}),
-s AS (SELECT cve_muni, {', '.join(f'round({n}, 9) AS {n}' for n in [*I.FOOD_SUBINDICES, 'estabilidad_i', 'riesgo_alimentario_i'])} FROM f)
-SELECT cve_muni, round(disponibilidad_i, 6) AS disponibilidad_i, round(acceso_i, 6) AS acceso_i, round(utilizacion_i, 6) AS utilizacion_i, round(estabilidad_i, 6) AS estabilidad_i, round(riesgo_alimentario_i, 6) AS riesgo_alimentario_i, substring(cve_muni, 1, 2) AS cve_ent, count(*) OVER (PARTITION BY substring(cve_muni, 1, 2)) AS num_muns FROM s""")
+WITH f AS ({_food_sql()})
+SELECT cve_muni, round(disponibilidad_i, 6) AS disponibilidad_i, round(acceso_i, 6) AS acceso_i, round(utilizacion_i, 6) AS utilizacion_i, round(estabilidad_i, 6) AS estabilidad_i, round(riesgo_alimentario_i, 6) AS riesgo_alimentario_i, substring(cve_muni, 1, 2) AS cve_ent, count(*) OVER (PARTITION BY substring(cve_muni, 1, 2)) AS num_muns FROM f""")
 def _(t):
     comps = t.customer.select(_muni().alias("cve_muni"), *[F.expr(e).alias(c) for c, e in _COMP.items()])
     out = I.food_risk(comps)

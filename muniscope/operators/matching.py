@@ -32,7 +32,7 @@ def keyword_match(
         return found.distinct()
     packed = pack_blocks(words, [], F.struct("__kid", "__kw"), ["__kid", "__kw"], KEYWORD_LIMIT)
     met = probe_blocks(texts.select(text_id, F.col(text).alias("__text")), packed, [])
-    hits = F.filter("items", lambda k: F.col("__text").rlike(k["__kw"]))
+    hits = F.filter("items", lambda k: F.rlike(F.col("__text"), k["__kw"]))
     return met.select(text_id, F.explode(F.transform(hits, lambda k: k["__kid"])).alias(keyword_id)).distinct()
 
 

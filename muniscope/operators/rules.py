@@ -51,7 +51,7 @@ class Rule:
     def value_sql(self) -> str:
         """The row value as SQL."""
         if self.kind == "dummy":
-            out = f"CASE WHEN ({self.expr}) THEN 1 WHEN NOT ({self.expr}) THEN 0 END"
+            out = f"CAST(({self.expr}) AS INT)"  # true 1, false 0, null stays null
         elif self.kind == "cases":
             out = "CASE " + " ".join(f"WHEN ({c}) THEN {v}" for c, v in self.branches) + " END"
         else:
