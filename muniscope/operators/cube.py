@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from itertools import product
+from operator import add
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,41 +36,32 @@ def dimension_cube(
     Output: one label column per axis, every key column (null where unused), count and sum. A row with a
     null in a used key is left out of that grouping.
 
-    One scan: rows are first reduced to (all keys, who); the grouping sets then run over that smaller set
-    twice, per person and per group, so both steps combine before their shuffle and a national total is
-    never counted in one task.
+    One scan: rows are first reduced to (all keys, who) and placed by person. Each is then copied to its
+    groupings in memory; distinct persons are found without another shuffle because a person's rows already
+    sit together, and only per-group counts travel further.
     """
     keys = list(dict.fromkeys(k for options in axes.values() for cols in options.values() for k in cols))
-    bit = {k: 1 << (len(keys) - 1 - i) for i, k in enumerate(keys)}
-    everything = sum(bit.values())
-
-    combos = {}
-    for names in product(*[options for options in axes.values()]):
-        used = {k for axis, name in zip(axes, names) for k in axes[axis][name]}
-        gid = everything - sum(bit[k] for k in used)
-        if gid in combos:
-            raise ValueError(f"groupings {combos[gid][0]} and {names} use the same keys")
-        combos[gid] = (names, used)
-
-    reduced = df.groupBy(*keys, who).agg(F.sum(amount).alias("__amount"))
-    # Expand first: a copy per grouping with unused keys blanked and rows with a null used key dropped
-    sets = [[k for k in keys if k in used] + [who] for _, used in combos.values()]
-    persons = reduced.groupingSets(sets, *keys, who).agg(
-        F.sum("__amount").alias("__amount"), F.shiftright(F.grouping_id(), 1).alias("__gid")
-    )
-    complete = F.lit(True)
-    for k in keys:
-        unused = F.col("__gid").bitwiseAND(bit[k]) != 0
-        complete = complete & (unused | F.col(k).isNotNull())
-    totals = (
-        persons.where(complete)
-        .groupBy("__gid", *keys)
-        .agg(F.count(who).alias(count_name), F.sum("__amount").alias(sum_name))
-    )
-    labels = F.create_map(
-        *[x for gid, (names, _) in combos.items() for x in (F.lit(gid).cast("long"), F.array(*[F.lit(n) for n in names]))]
+    combos: dict[frozenset, tuple[str, ...]] = {}
+    for names in product(*axes.values()):
+        used = frozenset(k for axis, name in zip(axes, names) for k in axes[axis][name])
+        if used in combos:
+            raise ValueError(f"groupings {combos[used]} and {names} use the same keys")
+        combos[used] = names
+
+    reduced = df.groupBy(*keys, who).agg(F.sum(amount).alias("__amount")).repartition(who)
+    bit = {k: 1 << i for i, k in enumerate(keys)}
+    masks = {sum(bit[k] for k in used): names for used, names in combos.items()}
+    nulls = reduce(add, [F.when(F.col(k).isNull(), bit[k]).otherwise(0) for k in keys])
+    wanted = F.filter(F.array(*[F.lit(m) for m in masks]), lambda m: m.bitwiseAND(F.col("__nulls")) == 0)
+    copies = reduced.withColumn("__nulls", nulls).select(*keys, who, "__amount", F.explode(wanted).alias("__gid"))
+    persons = (
+        copies.select(who, "__amount", "__gid", *[F.when(F.col("__gid").bitwiseAND(bit[k]) != 0, F.col(k)).alias(k) for k in keys])
+        .groupBy(who, "__gid", *keys)
+        .agg(F.sum("__amount").alias("__amount"))
     )
-    label = F.element_at(labels, F.col("__gid").cast("long"))
+    totals = persons.groupBy("__gid", *keys).agg(F.count(who).alias(count_name), F.sum("__amount").alias(sum_name))
+    labels = F.create_map(*[x for m, names in masks.items() for x in (F.lit(m), F.array(*[F.lit(n) for n in names]))])
+    label = F.element_at(labels, F.col("__gid"))
     return totals.select(*[label[i].alias(axis) for i, axis in enumerate(axes)], *keys, count_name, sum_name)
 
 
