@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from . import chat_format, decontaminate, language_id
-from .common import settle
+from . import chat_format, decontaminate, language_id, reshard
+from .common import settle, workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -97,3 +98,26 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+
+@query
+def op1_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From six shards by source (one of them hot) to eight of equal bytes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    blocked = reshard.with_block(docs, F.pmod(F.xxhash64("source"), F.lit(6)))
+    sizes = reshard.block_sizes(blocked, reshard.size_of(F.col("text")))
+    plan = reshard.place_blocks(sizes, reshard.even_capacity(sum(n for n, _ in sizes.values()), 8))
+    path = workspace(spark, "shards")
+    frame = reshard.plan_frame(spark, plan, sizes)
+    reshard.rewrite(blocked, frame, path)
+    kind = blocked.select("doc_id", "text", "source", "old_shard", "block").schema.add("shard", T.IntegerType())
+    stored = spark.read.schema(kind).parquet(path).select(
+        "doc_id", "old_shard", "block", "shard", reshard.size_of(F.col("text")).alias("size"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+    )
+    within = Window.partitionBy("old_shard", "block").orderBy("doc_id", "text_crc32", "size")
+    numbered = stored.withColumn("n", F.row_number().over(within)).join(F.broadcast(frame.drop("shard")), ["old_shard", "block"])
+    return numbered.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+        (F.col("first_slot") + F.col("n") - 1).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "old_shard",
+    )
