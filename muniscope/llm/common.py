@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 from uuid import uuid4
 
 import numpy as np
@@ -119,3 +121,17 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def list_array(values: pa.Array, lengths: np.ndarray) -> pa.ListArray:
     """One list a row out of concatenated values."""
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), values)
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors (once a session), for clusters whose Python does not have it installed."""
+    sc = spark.sparkContext
+    if _OWN.get("shipped") != sc.applicationId:
+        top = Path(__file__).resolve().parents[1]
+        target = Path(tempfile.mkdtemp(prefix="package-")) / f"{top.name}.zip"
+        with zipfile.ZipFile(target, "w") as z:
+            for p in top.rglob("*.py"):
+                z.write(p, p.relative_to(top.parent))
+        sc.addPyFile(str(target))
+        _OWN["shipped"] = sc.applicationId
+    return spark

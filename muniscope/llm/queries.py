@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import chat_format, decontaminate, language_id, reshard
-from .common import settle, workspace
+from . import chat_format, decontaminate, language_id, packing, reshard, token_files
+from .common import settle, ship, workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -21,7 +22,7 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir.rstrip("/")}/{name}.parquet")
 
 
 @query
@@ -121,3 +122,18 @@ def op1_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
         (F.col("first_slot") + F.col("n") - 1).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "old_shard",
     )
+
+
+@query
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = workspace(spark, "token-ids")
+    token_files.write_token_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end=2)
+    stored = token_files.read_token_ids(spark, path)
+    summed = token_files.with_checksum(stored, ["doc_id", "part", "part_start", "n_tokens"])
+    return token_files.with_start(summed, stored).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = settle(packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=1), "pieces")
+    return packing.pack(spark, pieces).select("doc_id", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "doc_tokens", "sequence_id", "offset")
