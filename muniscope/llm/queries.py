@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import chat_format, decontaminate, language_id, packing, reshard, token_files
+from . import chat_format, decontaminate, fingerprint, language_id, packing, reshard, token_files
 from .common import settle, ship, workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +137,8 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = settle(packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=1), "pieces")
     return packing.pack(spark, pieces).select("doc_id", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_with_next(table(spark, sf_dir, "documents"))
