@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import chat_format, decontaminate, fingerprint, language_id, near_dedup, packing, reshard, token_files
+from . import chat_format, decontaminate, fingerprint, language_id, near_dedup, packing, repeats, reshard, token_files
 from .common import settle, ship, workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,8 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
+@query
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
