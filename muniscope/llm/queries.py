@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import chat_format, decontaminate, fingerprint, language_id, near_dedup, packing, repeats, reshard, token_files
+from . import chat_format, decontaminate, fingerprint, language_id, line_dedup, near_dedup, packing, repeats, reshard, token_files
 from .common import settle, ship, workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +153,9 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_removed_lines", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars_left"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
