@@ -18,11 +18,13 @@ END_ID = 1
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without letters or whose best language is less likely than all others together."""
+    """Rejects texts without letters, and texts of a window or more whose best language is less likely than all others
+    together. Shorter ones are too short to reject by their score."""
     ship(spark)
     model = language_id.fit(docs.where(~F.coalesce(language_id.held_out(F.col("doc_id")), F.lit(False))))
     named = language_id.identify(docs, model)
-    return named.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    sure = (F.col("score") >= LEAST_SCORE) | (F.octet_length("text") < language_id.WINDOW)
+    return named.where((F.col("lang_pred") != "und") & sure).select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
