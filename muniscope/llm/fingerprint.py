@@ -121,7 +121,8 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63)))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), key.alias("key"))
     n = partitions(docs.sparkSession)
-    cuts = sorted(set(rows.agg(F.percentile_approx("key", F.array(*[F.lit(i / n) for i in range(1, n)]), 100 * n)).first()[0] or [])) if n > 1 else []
+    m = 4 * n  # several ranges a task even out what hashing deals unevenly
+    cuts = sorted(set(rows.agg(F.percentile_approx("key", F.array(*[F.lit(i / m) for i in range(1, m)]), 100 * m)).first()[0] or []))
     # ranges are numbered upwards; run r holds keys in (cuts[r-1], cuts[r]]
     place = F.array_size(F.filter(F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>"), lambda c: c < F.col("key")))
     heads = rows.select("key", place.alias("run")).groupBy("run").agg(F.max("key").alias("key")).orderBy(F.desc("run")).collect()  # a row a range
@@ -131,7 +132,7 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     sent = marked.withColumn("to", F.explode(F.expr("array(struct(true AS own, run), struct(false AS own, before AS run))"))).where(F.col("to.run").isNotNull())
     return (
         sent.select("to.run", "to.own", "doc_id", "text", "key", F.xxhash64("text").alias("tie"))
-        .repartition(max(len(heads), 1), "run")
+        .repartition(n, "run")
         .sortWithinPartitions("run", F.desc("own"), F.desc("key"), "tie")
         .select("run", "own", "doc_id", "text")
     )
