@@ -11,7 +11,7 @@ the repeated windows:
 3. Digit of ``depth`` bytes: first members of groups that hold several runs are compared window by window.
 
 Anchors travel as packed arrays, one row a bucket and batch. A batch sends each run once (later equal ones are known to
-repeat), so a passage that a third of all documents share is at most one entry a batch. A digit with more than ``HOT``
+repeat), so a passage that a third of all documents share is at most one entry a batch. A digit with more than ``hot``
 different runs is not gathered in pass 3: its windows are dealt by their own hash, each again once a batch.
 
 Defined cases: null text is empty; texts shorter than ``depth`` lose nothing; a null doc_id comes first; rows that repeat
@@ -83,7 +83,7 @@ def doc_bucket(doc: np.ndarray, tie: np.ndarray, n: int) -> np.ndarray:
     return ((tie.astype(np.int64) ^ doc) % n).astype(np.int32)
 
 
-def sent_marks(batches, depth: int, digit: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def sent_marks(batches, depth: int, digit: int, buckets: int, hot: int) -> Iterator[pa.RecordBatch]:
     """Pass 1, sending: anchors by the bucket of their digit, and ranges already known to repeat by the bucket of their document."""
     held, size = [], 0
 
@@ -98,7 +98,7 @@ def sent_marks(batches, depth: int, digit: int, buckets: int) -> Iterator[pa.Rec
         marks = marks[~again]
         first, count = run_ends(marks["code"])
         nth = np.arange(len(marks)) - np.repeat(first, count)
-        over = nth > HOT  # such a digit is hot whatever other batches hold: no need to ask
+        over = nth > hot  # such a digit is hot whatever other batches hold: no need to ask
         yield from deal(as_ranges(marks[over], COMPARE_HOT, depth), doc_bucket(marks["doc"][over], marks["tie"][over], buckets), 1)
         marks = marks[~over]
         yield from deal(marks, ((marks["code"] >> np.uint64(48)) % np.uint64(buckets)).astype(np.int32), 0)
@@ -144,7 +144,7 @@ def by_bucket(batches) -> Iterator[tuple[int, list[tuple[int, int, bytes]]]]:
         yield bucket, rows
 
 
-def sorted_marks(batches, depth: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def sorted_marks(batches, depth: int, buckets: int, hot: int) -> Iterator[pa.RecordBatch]:
     """Passes 1 and 2, receiving: verdicts by the bucket of their document. Known ranges pass through."""
     for bucket, rows in by_bucket(batches):
         out = [(bucket, 1, n, blob) for kind, n, blob in rows if kind == 1]
@@ -166,7 +166,7 @@ def sorted_marks(batches, depth: int, buckets: int) -> Iterator[pa.RecordBatch]:
                     lead[i] = lead[i - 1]
                 group = np.cumsum(new) - 1
                 runs = np.bincount(group, head)[group]
-                found = [as_ranges(m[~lead], REPEATED, depth), as_ranges(m[lead & (runs > 1) & (runs <= HOT)], COMPARE, depth), as_ranges(m[lead & (runs > HOT)], COMPARE_HOT, depth)]
+                found = [as_ranges(m[~lead], REPEATED, depth), as_ranges(m[lead & (runs > 1) & (runs <= hot)], COMPARE, depth), as_ranges(m[lead & (runs > hot)], COMPARE_HOT, depth)]
                 both = np.concatenate(found)
                 out += deal(both, doc_bucket(both["doc"], both["tie"], buckets), 1)
         yield table_of(out)
@@ -335,15 +335,15 @@ def finished(docs: pa.Table, more: pa.Table) -> pa.Table:
     return _arrow(rows, RESULT)
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH, digit: int = DIGIT) -> DataFrame:
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH, digit: int = DIGIT, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (start and end of each removed run of bytes, flat)."""
     spark = docs.sparkSession
     n = partitions(spark)
     buckets = 4 * n
     missing = -(2**63)
     keyed = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(missing)).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("tie", F.hash("text"))
-    marks = keyed.mapInArrow(lambda b: sent_marks(b, depth, digit, buckets), BLOBS)
-    verdicts = marks.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(lambda b: sorted_marks(b, depth, buckets), BLOBS)
+    marks = keyed.mapInArrow(lambda b: sent_marks(b, depth, digit, buckets, hot), BLOBS)
+    verdicts = marks.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(lambda b: sorted_marks(b, depth, buckets, hot), BLOBS)
     place = F.pmod(F.col("tie").cast("long").bitwiseXOR(F.col("doc")), F.lit(buckets)).cast("int")
     met = keyed.withColumn("bucket", place).groupBy("bucket").cogroup(verdicts.groupBy("bucket")).applyInArrow(lambda a, b: compared(a, b, depth, buckets), MIDDLE)
     name = f"repeats_{uuid4().hex}"
