@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.text import pad_left
 from ..plans import indices as I
 from ..plans import loads, registry
 from ..plans import places as P
 from ..plans.cleaners import CLEANERS, STATE_NAMES, imco_corrupcion_partidos, sequia
 from .core import query
 
-_MUNI = "lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || lpad(CAST(c_custkey AS VARCHAR), 6, '0')"
+_MUNI = "lpad(CAST(c_nationkey AS VARCHAR), greatest(2, CAST(length(CAST(c_nationkey AS VARCHAR)) AS INTEGER)), '0') || lpad(CAST(c_custkey AS VARCHAR), greatest(6, CAST(length(CAST(c_custkey AS VARCHAR)) AS INTEGER)), '0')"
 
 
 def _muni():
-    return F.concat(F.lpad(F.col("c_nationkey").cast("string"), 2, "0"), F.lpad(F.col("c_custkey").cast("string"), 6, "0"))
+    return F.concat(pad_left(F.col("c_nationkey").cast("string"), 2), pad_left(F.col("c_custkey").cast("string"), 6))
 
 
 # --- food risk: component i is a rational function of the key, null on every 11+i-th key ---------------------
@@ -90,13 +91,13 @@ def _(t):
 
 
 _DONOR_SQL = ", ".join(f"('{k}', '{v}')" for k, v in I.PRICE_DONORS.items())
-_VOL = f"""y AS (SELECT cve_ent, year(o_orderdate) AS y, sum(o_totalprice) AS s FROM (SELECT *, lpad(CAST(o_custkey % 32 + 1 AS VARCHAR), 2, '0') AS cve_ent FROM orders) WHERE cve_ent NOT IN ({', '.join(f"'{k}'" for k in I.PRICE_DONORS)}) GROUP BY 1, 2),
+_VOL = f"""y AS (SELECT cve_ent, year(o_orderdate) AS y, sum(o_totalprice) AS s FROM (SELECT *, lpad(CAST(o_custkey % 32 + 1 AS VARCHAR), greatest(2, CAST(length(CAST(o_custkey % 32 + 1 AS VARCHAR)) AS INTEGER)), '0') AS cve_ent FROM orders) WHERE cve_ent NOT IN ({', '.join(f"'{k}'" for k in I.PRICE_DONORS)}) GROUP BY 1, 2),
 m AS (SELECT cve_ent, median(s) AS v FROM y GROUP BY 1), n AS (SELECT cve_ent, (v - min(v) OVER ()) / (max(v) OVER () - min(v) OVER ()) AS v FROM m),
 vol AS (SELECT cve_ent, v FROM n UNION ALL SELECT d.k, n.v FROM (VALUES {_DONOR_SQL}) AS d(k, donor) JOIN n ON n.cve_ent = d.donor)"""
 
 
 def _volatility(t):
-    prices = t.orders.select(F.lpad((F.col("o_custkey") % 32 + 1).cast("string"), 2, "0").alias("estado"), F.year("o_orderdate").alias("anio"), F.col("o_totalprice").alias("ipa_n"))
+    prices = t.orders.select(pad_left((F.col("o_custkey") % 32 + 1).cast("string"), 2).alias("estado"), F.year("o_orderdate").alias("anio"), F.col("o_totalprice").alias("ipa_n"))
     return I.price_volatility(prices.where(~F.col("estado").isin(list(I.PRICE_DONORS))))
 
 
@@ -106,11 +107,11 @@ def _(t):
 
 
 @query("human_hazards", f"""
-WITH {_VOL}, inf AS (SELECT DISTINCT lpad(CAST(n_nationkey + 1 AS VARCHAR), 2, '0') AS cve_ent, (1 + n_regionkey) / 10.0e0 AS p FROM nation), vi AS (SELECT c_custkey AS cve_muni, lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') AS cve_ent, (1 + c_custkey % 90) / 100.0e0 AS h FROM customer)
+WITH {_VOL}, inf AS (SELECT DISTINCT lpad(CAST(n_nationkey + 1 AS VARCHAR), greatest(2, CAST(length(CAST(n_nationkey + 1 AS VARCHAR)) AS INTEGER)), '0') AS cve_ent, (1 + n_regionkey) / 10.0e0 AS p FROM nation), vi AS (SELECT c_custkey AS cve_muni, lpad(CAST(c_nationkey + 1 AS VARCHAR), greatest(2, CAST(length(CAST(c_nationkey + 1 AS VARCHAR)) AS INTEGER)), '0') AS cve_ent, (1 + c_custkey % 90) / 100.0e0 AS h FROM customer)
 SELECT cve_muni, cve_ent, h AS amenazas_humana_violencia_i, round(v, 8) AS a_h_volatilidad_i, p AS a_h_e_inpc_i, round(pow(h * v * p, 1 / 3.0e0), 7) AS amenazas_humana_i FROM vi LEFT JOIN vol USING (cve_ent) LEFT JOIN inf USING (cve_ent)""")
 def _(t):
-    violence = t.customer.select(F.col("c_custkey").alias("cve_muni"), F.lpad((F.col("c_nationkey") + 1).cast("string"), 2, "0").alias("cve_ent"), ((1 + F.col("c_custkey") % 90) / 100).alias("amenazas_humana_violencia_i"))
-    inflation = t.nation.select(F.lpad((F.col("n_nationkey") + 1).cast("string"), 2, "0").alias("cve_ent"), ((1 + F.col("n_regionkey")) / 10).alias("a_h_e_inpc_i"))
+    violence = t.customer.select(F.col("c_custkey").alias("cve_muni"), pad_left((F.col("c_nationkey") + 1).cast("string"), 2).alias("cve_ent"), ((1 + F.col("c_custkey") % 90) / 100).alias("amenazas_humana_violencia_i"))
+    inflation = t.nation.select(pad_left((F.col("n_nationkey") + 1).cast("string"), 2).alias("cve_ent"), ((1 + F.col("n_regionkey")) / 10).alias("a_h_e_inpc_i"))
     out = I.human_hazards(violence, _volatility(t), inflation)
     return out.withColumns({"a_h_volatilidad_i": F.round("a_h_volatilidad_i", 8), "amenazas_humana_i": F.round("amenazas_humana_i", 7)})
 
@@ -141,7 +142,7 @@ def _(t):
 
 
 @query("index_by_state", f"""
-WITH m AS (SELECT lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS cve_ent, avg(c_acctbal) AS inform, avg(c_custkey % 10) AS riesgo FROM customer GROUP BY 1)
+WITH m AS (SELECT lpad(CAST(c_nationkey AS VARCHAR), greatest(2, CAST(length(CAST(c_nationkey AS VARCHAR)) AS INTEGER)), '0') AS cve_ent, avg(c_acctbal) AS inform, avg(c_custkey % 10) AS riesgo FROM customer GROUP BY 1)
 SELECT cve_ent, round(inform, 6) AS inform, round(riesgo, 6) AS riesgo, row_number() OVER (ORDER BY inform DESC, cve_ent) AS ranking FROM m""")
 def _(t):
     index = t.customer.select(_muni().alias("cve_muni"), F.col("c_acctbal").alias("inform"), (F.col("c_custkey") % 10).alias("riesgo"))
@@ -150,22 +151,22 @@ def _(t):
 
 
 @query("complexity", f"""
-WITH w AS (SELECT lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS cve_muni, avg(o_totalprice) FILTER (year(o_orderdate) = 1996) AS a, avg(o_totalprice) FILTER (year(o_orderdate) = 1997) AS b FROM orders GROUP BY 1)
+WITH w AS (SELECT lpad(CAST(o_custkey AS VARCHAR), greatest(5, CAST(length(CAST(o_custkey AS VARCHAR)) AS INTEGER)), '0') AS cve_muni, avg(o_totalprice) FILTER (year(o_orderdate) = 1996) AS a, avg(o_totalprice) FILTER (year(o_orderdate) = 1997) AS b FROM orders GROUP BY 1)
 SELECT cve_muni, round((a - min(a) OVER ()) / (max(a) OVER () - min(a) OVER ()), 8) AS complejidad_1996, round((b - min(b) OVER ()) / (max(b) OVER () - min(b) OVER ()), 8) AS complejidad_1997, substring(cve_muni, 1, 2) AS cve_ent FROM w""")
 def _(t):
-    products = t.orders.select(F.lpad(F.col("o_custkey").cast("string"), 5, "0").alias("cve_muni"), F.year("o_orderdate").alias("year"), F.col("o_totalprice").alias("pci"))
+    products = t.orders.select(pad_left(F.col("o_custkey").cast("string"), 5).alias("cve_muni"), F.year("o_orderdate").alias("year"), F.col("o_totalprice").alias("pci"))
     out = I.complexity(products, [1996, 1997])
     return out.withColumns({c: F.round(c, 8) for c in ["complejidad_1996", "complejidad_1997"]})
 
 
-_INFRA = """a AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS cve_locc, CAST(c_custkey % 5 AS BIGINT) AS tot_tiendas FROM customer WHERE c_custkey % 3 = 0), b AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS cve_locc, CAST(c_custkey % 7 AS BIGINT) AS tot_comedores FROM customer WHERE c_custkey % 2 = 0),
+_INFRA = """a AS (SELECT lpad(CAST(c_custkey AS VARCHAR), greatest(9, CAST(length(CAST(c_custkey AS VARCHAR)) AS INTEGER)), '0') AS cve_locc, CAST(c_custkey % 5 AS BIGINT) AS tot_tiendas FROM customer WHERE c_custkey % 3 = 0), b AS (SELECT lpad(CAST(c_custkey AS VARCHAR), greatest(9, CAST(length(CAST(c_custkey AS VARCHAR)) AS INTEGER)), '0') AS cve_locc, CAST(c_custkey % 7 AS BIGINT) AS tot_comedores FROM customer WHERE c_custkey % 2 = 0),
 l AS (SELECT *, substring(cve_locc, 1, 5) AS cve_muni FROM a FULL JOIN b USING (cve_locc))"""
 
 
 @query("infrastructure", f"""WITH {_INFRA} SELECT cve_locc, cve_muni, tot_tiendas, tot_comedores FROM l
 UNION ALL SELECT NULL, cve_muni, CAST(sum(tot_tiendas) AS BIGINT), CAST(sum(tot_comedores) AS BIGINT) FROM l GROUP BY cve_muni""")
 def _(t):
-    key = F.lpad(F.col("c_custkey").cast("string"), 9, "0").alias("cve_locc")
+    key = pad_left(F.col("c_custkey").cast("string"), 9).alias("cve_locc")
     a = t.customer.where("c_custkey % 3 = 0").select(key, (F.col("c_custkey") % 5).alias("tot_tiendas"))
     b = t.customer.where("c_custkey % 2 = 0").select(key, (F.col("c_custkey") % 7).alias("tot_comedores"))
     local, muni = I.infrastructure([a, b])
@@ -203,17 +204,17 @@ def _(t):
 
 
 # --- per-source cleaners -------------------------------------------------------------------------------------------
-def clean_query(name: str, source: str, columns: dict[str, str], sql: str):
+def clean_query(name: str, source: str, columns: dict[str, str], sql: str, declared: dict[str, str] | None = None):
     """Cleaner ``name`` over raw columns derived from a table."""
     @query(f"clean_{name}", sql)
     def run(t):
         raw = getattr(t, source).selectExpr(*[f"{e} AS {c}" for c, e in columns.items()])
-        return registry.clean(name, raw)
+        return registry.clean(name, raw, declared=declared)
 
 
 _S = "s_suppkey"
 clean_query("cfe", "orders", {"tipo": "CASE WHEN o_orderstatus = 'F' THEN 'Ventas' ELSE 'Usuarios' END", "cveinegi": "o_custkey % 32", "cvemun": "o_custkey % 100", "num": "CAST(o_totalprice AS STRING)"},
-    "SELECT lpad(CAST(o_custkey % 32 AS VARCHAR), 2, '0') || lpad(CAST(o_custkey % 100 AS VARCHAR), 3, '0') AS cve_muni, sum(o_totalprice) AS n_usuarios FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1")
+    "SELECT lpad(CAST(o_custkey % 32 AS VARCHAR), greatest(2, CAST(length(CAST(o_custkey % 32 AS VARCHAR)) AS INTEGER)), '0') || lpad(CAST(o_custkey % 100 AS VARCHAR), greatest(3, CAST(length(CAST(o_custkey % 100 AS VARCHAR)) AS INTEGER)), '0') AS cve_muni, sum(o_totalprice) AS n_usuarios FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1")
 clean_query("cngmd_drenaje", "customer", {"aps_folio": "c_custkey", "sd_dren_cab": "c_nationkey", "sd_dren_resto": "CAST(c_custkey % 9 AS STRING)"},
     "SELECT CAST(c_custkey AS VARCHAR) AS cve_muni, (c_nationkey + c_custkey % 9) / 2 / 100 AS cobertura_dren FROM customer")
 clean_query("cngmd_participacion_ciudadana", "customer", {"ubic_geo": "c_nationkey", "nd_nsnn1": "CAST(c_custkey % 3 AS STRING)"},
@@ -227,7 +228,7 @@ clean_query("cngmd_recoleccion_basura", "customer", {"rsu_folio": "c_custkey", "
 clean_query("cngmd_transparencia", "lineitem", {"ubic_geo": "l_suppkey", "mec_tran": "l_linenumber", "inf_publ": "l_partkey % 50"},
     "SELECT cve_muni, mec_tran, inf_publ FROM (SELECT CAST(l_suppkey AS VARCHAR) AS cve_muni, sum(CASE WHEN m IN (1, 3, 6) THEN 1 / 3.0e0 ELSE 0 END) AS mec_tran FROM (SELECT DISTINCT l_suppkey, l_linenumber AS m FROM lineitem) GROUP BY 1) LEFT JOIN (SELECT CAST(l_suppkey AS VARCHAR) AS cve_muni, sum(CASE WHEN m IN (5, 22, 23, 42, 44) THEN 0.2e0 ELSE 0 END) AS inf_publ FROM (SELECT DISTINCT l_suppkey, l_partkey % 50 AS m FROM lineitem) GROUP BY 1) USING (cve_muni)")
 clean_query("cenapred", "customer", {"cve_muni": "c_custkey", "data_date": "'2018-a'", "gp_nevadas": "c_mktsegment", "otra": "1"},
-    "SELECT lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS cve_muni, '2018-a' AS data_date, c_mktsegment AS gp_nevadas FROM customer")
+    "SELECT lpad(CAST(c_custkey AS VARCHAR), greatest(5, CAST(length(CAST(c_custkey AS VARCHAR)) AS INTEGER)), '0') AS cve_muni, '2018-a' AS data_date, c_mktsegment AS gp_nevadas FROM customer")
 clean_query("coneval_municipios", "customer", {"cve_muni": "c_custkey", "data_date": "'2015-a'", "pob_tot": "c_acctbal"},
     "SELECT c_custkey AS cve_muni, '2015-a' AS data_date, c_acctbal AS pob_tot, '2015-a' AS fecha FROM customer")
 clean_query("coneval_estados", "lineitem", {"folioviv": "l_orderkey", "data_date": "'2014-a'", "ictpc": "l_extendedprice / 7", "profun": "l_tax"},
@@ -236,21 +237,21 @@ clean_query("complejidad_municipios", "customer", {"cve_muni": "c_custkey", "nom
     "SELECT CAST(c_custkey AS VARCHAR) AS cve_muni, c_name AS nom_muni, c_acctbal AS complejidad_2010 FROM customer")
 clean_query("cuaps_componentes", "part", {"cuaps_folio": "p_partkey", "nom_prog": "p_name", "tiene_componentes": "1 + p_partkey % 2", "id_componente": "p_size % 3", "tipo_pob_apo": "CAST(p_size % 8 AS INT)"},
     "SELECT p_partkey AS cuaps_folio, p_name AS nom_prog, CASE WHEN p_partkey % 2 = 1 THEN '0' ELSE '1' END AS tiene_componentes, CASE WHEN p_size % 3 = 0 THEN '1' ELSE CAST(p_size % 3 AS VARCHAR) END AS id_componente, list_extract(['Personas', 'Hogar', 'Vivienda', 'Actor social', 'Área de atención social', 'Otro'], p_size % 8) AS tipo_pob_apo_txt FROM part WHERE p_size % 8 BETWEEN 1 AND 6")
-clean_query("cuenta_publica_anual", "part", {"id_modalidad": "substring(p_type, 1, 1)", "id_pp": "p_size"}, "SELECT substring(p_type, 1, 1) AS id_modalidad, p_size AS id_pp, substring(p_type, 1, 1) || lpad(CAST(p_size AS VARCHAR), 3, '0') AS cve_programa FROM part")
-clean_query("cuenta_publica_trimestral", "part", {"id_modalidad": "substring(p_brand, 1, 1)", "id_pp": "p_size"}, "SELECT substring(p_brand, 1, 1) AS id_modalidad, p_size AS id_pp, substring(p_brand, 1, 1) || lpad(CAST(p_size AS VARCHAR), 3, '0') AS cve_programa FROM part")
+clean_query("cuenta_publica_anual", "part", {"id_modalidad": "substring(p_type, 1, 1)", "id_pp": "p_size"}, "SELECT substring(p_type, 1, 1) AS id_modalidad, p_size AS id_pp, substring(p_type, 1, 1) || lpad(CAST(p_size AS VARCHAR), greatest(3, CAST(length(CAST(p_size AS VARCHAR)) AS INTEGER)), '0') AS cve_programa FROM part")
+clean_query("cuenta_publica_trimestral", "part", {"id_modalidad": "substring(p_brand, 1, 1)", "id_pp": "p_size"}, "SELECT substring(p_brand, 1, 1) AS id_modalidad, p_size AS id_pp, substring(p_brand, 1, 1) || lpad(CAST(p_size AS VARCHAR), greatest(3, CAST(length(CAST(p_size AS VARCHAR)) AS INTEGER)), '0') AS cve_programa FROM part")
 _REG = {"llave_hogar_h": "CAST(l_orderkey AS STRING)", "c_integrante": "CAST(l_linenumber AS STRING)", "fch_creacion": "concat('01/02/', CAST(2013 + l_linenumber AS STRING))", "edad": "CAST(l_quantity AS STRING)", "padre": "'x'"}
 clean_query("cuis_historico_integrante", "lineitem", _REG,
     "SELECT CAST(l_orderkey AS VARCHAR) AS llave_hogar_h, CAST(l_linenumber AS VARCHAR) AS c_integrante, '01/02/' || CAST(2013 + l_linenumber AS VARCHAR) AS fch_creacion, CAST(l_quantity AS INT) AS edad, CAST(NULL AS INT) AS padre, CAST(l_orderkey AS VARCHAR) AS hogar_id, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS person_id, CAST(2013 + l_linenumber AS INT) AS anio FROM lineitem")
-clean_query("cuis_historico_se_integrante", "lineitem", {"llave_hogar_h": "CAST(l_orderkey AS STRING)", "c_integrante": "CAST(l_linenumber AS STRING)", "monto": "CAST(l_tax AS STRING)", "jubilado": "CAST(l_linenumber AS STRING)"},
-    "SELECT CAST(l_orderkey AS VARCHAR) AS llave_hogar_h, CAST(l_linenumber AS VARCHAR) AS c_integrante, l_tax AS monto, l_linenumber AS jubilado, CAST(l_orderkey AS VARCHAR) AS hogar_id, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS person_id FROM lineitem")
-clean_query("cuis_historico_se_vivienda", "orders", {"llave_hogar_h": "CAST(o_orderkey AS STRING)", "seg_alim_1": "CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE '1' END", "gas_alim": "CAST(o_totalprice AS STRING)", "cuart": "CAST(o_custkey AS STRING)"},
-    "SELECT CAST(o_orderkey AS VARCHAR) AS llave_hogar_h, CAST(CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE 1 END AS INT) AS seg_alim_1, o_totalprice AS gas_alim, CAST(o_custkey AS INT) AS cuart, CAST(o_orderkey AS VARCHAR) AS hogar_id FROM orders")
+clean_query("cuis_historico_se_integrante", "lineitem", {"llave_hogar_h": "CAST(l_orderkey AS STRING)", "c_integrante": "CAST(l_linenumber AS STRING)", "monto": "CAST(l_tax AS STRING)", "jubilado": "CAST(l_linenumber AS STRING)", "nota": "l_returnflag"},
+    "SELECT CAST(l_orderkey AS VARCHAR) AS llave_hogar_h, CAST(l_linenumber AS VARCHAR) AS c_integrante, l_tax AS monto, l_linenumber AS jubilado, l_returnflag AS nota, CAST(l_orderkey AS VARCHAR) AS hogar_id, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS person_id FROM lineitem")
+clean_query("cuis_historico_se_vivienda", "orders", {"llave_hogar_h": "CAST(o_orderkey AS STRING)", "seg_alim_1": "CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE '1' END", "gas_alim": "CAST(o_totalprice AS STRING)", "cuart": "CAST(o_custkey AS STRING)", "nota": "o_orderpriority"},
+    "SELECT CAST(o_orderkey AS VARCHAR) AS llave_hogar_h, CAST(CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE 1 END AS INT) AS seg_alim_1, o_totalprice AS gas_alim, CAST(o_custkey AS INT) AS cuart, o_orderpriority AS nota, CAST(o_orderkey AS VARCHAR) AS hogar_id FROM orders")
 clean_query("cuis_historico_vivienda", "orders", {"llave_hogar_h": "CAST(o_orderkey AS STRING)", "fch_creacion": "date_format(o_orderdate, 'dd/MM/yyyy')", "tot_per": "concat(CAST(o_custkey AS STRING), ' ')"},
     "SELECT CAST(o_orderkey AS VARCHAR) AS llave_hogar_h, strftime(o_orderdate, '%d/%m/%Y') AS fch_creacion, CAST(o_custkey AS INT) AS tot_per, CAST(o_orderkey AS VARCHAR) AS hogar_id, CAST(year(o_orderdate) AS INT) AS anio FROM orders")
-clean_query("defunciones_fetales", "customer", {"ent_ocurr": "c_nationkey", "mun_ocurr": "c_custkey % 900", "causa_def": "c_mktsegment"}, "SELECT lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || lpad(CAST(c_custkey % 900 AS VARCHAR), 3, '0') AS cve_muni, c_mktsegment AS causa_def FROM customer")
-clean_query("defunciones_generales", "customer", {"ent_ocurr": "c_nationkey", "mun_ocurr": "c_custkey % 900", "edad": "c_custkey"}, "SELECT lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || lpad(CAST(c_custkey % 900 AS VARCHAR), 3, '0') AS cve_muni, CAST(c_custkey AS VARCHAR) AS edad FROM customer")
-clean_query("encaseh_familias", "orders", {"folio": "CAST(o_orderkey AS STRING)", "folio_enca": "'e'", "familia_id": "concat(CAST(o_custkey AS STRING), '.0')", "programa": "concat(CAST(o_custkey AS STRING), '.0')", "coord_x": "CAST(o_totalprice AS STRING)", "data_date": "'2012-a'"},
-    "SELECT CAST(o_orderkey AS VARCHAR) AS folio, 'e' AS folio_enca, CAST(o_custkey AS VARCHAR) AS familia_id, CAST(o_custkey AS INT) AS programa, o_totalprice AS coord_x, '2012-a' AS data_date, CAST(o_orderkey AS VARCHAR) || '-e-' || CAST(o_custkey AS VARCHAR) AS hogar_id, '2012' AS fecha_creacion FROM orders")
+clean_query("defunciones_fetales", "customer", {"ent_ocurr": "c_nationkey", "mun_ocurr": "c_custkey % 900", "causa_def": "c_mktsegment"}, "SELECT lpad(CAST(c_nationkey AS VARCHAR), greatest(2, CAST(length(CAST(c_nationkey AS VARCHAR)) AS INTEGER)), '0') || lpad(CAST(c_custkey % 900 AS VARCHAR), greatest(3, CAST(length(CAST(c_custkey % 900 AS VARCHAR)) AS INTEGER)), '0') AS cve_muni, c_mktsegment AS causa_def FROM customer")
+clean_query("defunciones_generales", "customer", {"ent_ocurr": "c_nationkey", "mun_ocurr": "c_custkey % 900", "edad": "c_custkey"}, "SELECT lpad(CAST(c_nationkey AS VARCHAR), greatest(2, CAST(length(CAST(c_nationkey AS VARCHAR)) AS INTEGER)), '0') || lpad(CAST(c_custkey % 900 AS VARCHAR), greatest(3, CAST(length(CAST(c_custkey % 900 AS VARCHAR)) AS INTEGER)), '0') AS cve_muni, CAST(c_custkey AS VARCHAR) AS edad FROM customer")
+clean_query("encaseh_familias", "orders", {"folio": "CAST(o_orderkey AS STRING)", "folio_enca": "'e'", "familia_id": "concat(CAST(o_custkey AS STRING), '.0')", "programa": "concat(CAST(o_custkey AS STRING), '.0')", "coord_x": "CAST(o_totalprice AS STRING)", "nota": "o_orderpriority", "data_date": "'2012-a'"},
+    "SELECT CAST(o_orderkey AS VARCHAR) AS folio, 'e' AS folio_enca, CAST(o_custkey AS VARCHAR) AS familia_id, CAST(o_custkey AS INT) AS programa, o_totalprice AS coord_x, o_orderpriority AS nota, '2012-a' AS data_date, CAST(o_orderkey AS VARCHAR) || '-e-' || CAST(o_custkey AS VARCHAR) AS hogar_id, '2012' AS fecha_creacion FROM orders", declared={"programa": "int", "folio": "int"})
 _HOMEKEY = {"folioviv": "l_orderkey", "foliohog": "l_linenumber % 3", "data_date": "'2016-a'"}
 _HK = "l_orderkey AS folioviv, CAST(l_linenumber % 3 AS INT) AS foliohog, '2016-a' AS data_date"
 _HID = "CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber % 3 AS VARCHAR) AS hogar_id, '2016' AS fecha_creacion"
@@ -271,7 +272,7 @@ clean_query("imco_corrupcion_estatal", "supplier", {"entidad_federativa": "s_nam
 clean_query("imco_equidad_congreso", "supplier", {"entidad_federativa": "s_name", "diputadas_2015": "CAST(s_suppkey AS STRING)", "participacion_mujeres_julio_2014": "CAST(s_nationkey AS STRING)", "data_date": "'x'"},
     "SELECT s_name AS nom_ent, CAST(s_suppkey AS INT) AS diputadas_2015, s_nationkey / 100 AS participacion_mujeres_julio_2014 FROM supplier")
 clean_query("imco_ice", "supplier", {"clavedeentidad": "s_nationkey", "anio": "'2016'", "general": "CAST(s_acctbal AS STRING)", "entidad": "s_name"},
-    "SELECT s_nationkey AS clavedeentidad, CAST(2016 AS INT) AS anio, s_acctbal AS general, s_name AS entidad, lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS cve_ent FROM supplier")
+    "SELECT s_nationkey AS clavedeentidad, CAST(2016 AS INT) AS anio, s_acctbal AS general, s_name AS entidad, lpad(CAST(s_nationkey AS VARCHAR), greatest(2, CAST(length(CAST(s_nationkey AS VARCHAR)) AS INTEGER)), '0') AS cve_ent FROM supplier")
 clean_query("imco_info_publica", "supplier", {"entidad": "s_nationkey", "acc_info_est": "CAST(s_nationkey AS STRING)", "data_date": "'x'"}, "SELECT DISTINCT CAST(s_nationkey AS VARCHAR) AS cve_ent, s_nationkey AS acc_info_est FROM supplier")
 clean_query("imco_matrimonio_igualitario", "supplier", {"estado": "s_name", "legislacion_reconoce_matrimonio_igualitario": "CAST(s_suppkey % 2 AS STRING)", "link": "1"}, "SELECT s_name AS nom_ent, CAST(s_suppkey % 2 AS INT) AS legislacion_reconoce_matrimonio_igualitario, '1' AS link FROM supplier")
 clean_query("imco_participacion_ciudadana", "supplier", {"entidad": "CAST(s_nationkey AS STRING)", "gobernador": "CASE WHEN s_nationkey % 2 = 0 THEN 'NA' ELSE '1.5' END", "loaded_at": "1"}, "SELECT DISTINCT CAST(s_nationkey AS VARCHAR) AS nom_ent, CASE WHEN s_nationkey % 2 <> 0 THEN 1.5e0 END AS gobernador FROM supplier")
@@ -284,14 +285,14 @@ clean_query("inegi_agentes_fiscales", "nation", {"entidad_federativa": "CASE n_n
     "SELECT CASE n_nationkey WHEN 1 THEN 'Querétaro de Arteaga' ELSE n_name END AS nom_ent, 'i' AS indicador, CAST(n_regionkey AS DOUBLE) AS num_agentes_fiscales, CAST(2016 AS INT) AS anio FROM nation")
 clean_query("ipc_ciudades", "customer", {"nom_cd": "concat('  ', c_name, ' ')", "value": "c_acctbal"}, "SELECT c_name AS nom_cd, c_acctbal AS value FROM customer")
 clean_query("recursos_hospitales", "customer", {"claveentidad": "CAST(c_nationkey AS STRING)", "clavemunicipio": "CAST(c_custkey % 300 AS STRING)", "e14": "concat(CAST(c_custkey AS STRING), '.0')", "clues": "c_name"},
-    "SELECT c_nationkey AS claveentidad, CAST(c_custkey % 300 AS INT) AS clavemunicipio, CAST(c_custkey AS INT) AS e14, c_name AS clues, lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || lpad(CAST(c_custkey % 300 AS VARCHAR), 3, '0') AS cve_muni FROM customer")
+    "SELECT c_nationkey AS claveentidad, CAST(c_custkey % 300 AS INT) AS clavemunicipio, CAST(c_custkey AS INT) AS e14, c_name AS clues, lpad(CAST(c_nationkey AS VARCHAR), greatest(2, CAST(length(CAST(c_nationkey AS VARCHAR)) AS INTEGER)), '0') || lpad(CAST(c_custkey % 300 AS VARCHAR), greatest(3, CAST(length(CAST(c_custkey % 300 AS VARCHAR)) AS INTEGER)), '0') AS cve_muni FROM customer")
 clean_query("shcp_ici_estados", "supplier", {"id_entidad_federativa": "s_nationkey", "ciclo": "'2016'", "valor_ici": "CAST(s_acctbal AS STRING)"},
-    "SELECT CAST(s_nationkey AS VARCHAR) AS id_entidad_federativa, CAST(2016 AS INT) AS ciclo, s_acctbal AS valor_ici, lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS cve_ent FROM supplier")
+    "SELECT CAST(s_nationkey AS VARCHAR) AS id_entidad_federativa, CAST(2016 AS INT) AS ciclo, s_acctbal AS valor_ici, lpad(CAST(s_nationkey AS VARCHAR), greatest(2, CAST(length(CAST(s_nationkey AS VARCHAR)) AS INTEGER)), '0') AS cve_ent FROM supplier")
 _BOX = "concat('POLYGON((', CAST({k} % 20 AS STRING), ' ', CAST({k} % 15 AS STRING), ', ', CAST({k} % 20 + 2 AS STRING), ' ', CAST({k} % 15 AS STRING), ', ', CAST({k} % 20 + 2 AS STRING), ' ', CAST({k} % 15 + 2 AS STRING), ', ', CAST({k} % 20 AS STRING), ' ', CAST({k} % 15 + 2 AS STRING), ', ', CAST({k} % 20 AS STRING), ' ', CAST({k} % 15 AS STRING), '))')"
-clean_query("geoms_estados", "nation", {"cve_ent": "lpad(CAST(n_nationkey AS STRING), 2, '0')", "nom_ent": "n_name", "wkt": _BOX.format(k="n_nationkey")},
-    f"SELECT lpad(CAST(n_nationkey AS STRING), 2, '0') AS cve_ent, n_name AS nom_ent, {_BOX.format(k='n_nationkey')} AS wkt, n_nationkey % 20 + 1.0e0 AS longitud, n_nationkey % 15 + 1.0e0 AS latitud FROM nation")
+clean_query("geoms_estados", "nation", {"cve_ent": "lpad(CAST(n_nationkey AS STRING), greatest(2, CAST(length(CAST(n_nationkey AS STRING)) AS INTEGER)), '0')", "nom_ent": "n_name", "wkt": _BOX.format(k="n_nationkey")},
+    f"SELECT lpad(CAST(n_nationkey AS STRING), greatest(2, CAST(length(CAST(n_nationkey AS STRING)) AS INTEGER)), '0') AS cve_ent, n_name AS nom_ent, {_BOX.format(k='n_nationkey')} AS wkt, n_nationkey % 20 + 1.0e0 AS longitud, n_nationkey % 15 + 1.0e0 AS latitud FROM nation")
 clean_query("geoms_municipios", "customer", {"cve_ent": "c_nationkey", "cve_mun": "c_custkey % 500", "wkt": _BOX.format(k="c_custkey")},
-    f"SELECT lpad(CAST(c_nationkey AS STRING), 2, '0') || lpad(CAST(c_custkey % 500 AS STRING), 3, '0') AS cve_muni, {_BOX.format(k='c_custkey')} AS wkt, c_custkey % 20 + 1.0e0 AS longitud, c_custkey % 15 + 1.0e0 AS latitud, 'POINT(' || CAST(c_custkey % 20 + 1 AS STRING) || '.0 ' || CAST(c_custkey % 15 + 1 AS STRING) || '.0)' AS centroide FROM customer")
+    f"SELECT lpad(CAST(c_nationkey AS STRING), greatest(2, CAST(length(CAST(c_nationkey AS STRING)) AS INTEGER)), '0') || lpad(CAST(c_custkey % 500 AS STRING), greatest(3, CAST(length(CAST(c_custkey % 500 AS STRING)) AS INTEGER)), '0') AS cve_muni, {_BOX.format(k='c_custkey')} AS wkt, c_custkey % 20 + 1.0e0 AS longitud, c_custkey % 15 + 1.0e0 AS latitud, 'POINT(' || CAST(c_custkey % 20 + 1 AS STRING) || '.0 ' || CAST(c_custkey % 15 + 1 AS STRING) || '.0)' AS centroide FROM customer")
 
 
 @query("clean_sequia", """
@@ -313,7 +314,7 @@ def _(t):
 
 # --- preparers ---------------------------------------------------------------------------------------------------------
 @query("prepare_delitos_comun", """
-SELECT lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS clave_ent, lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS cve_municipio, m AS mes, CASE WHEN m = 'Enero' THEN c_acctbal ELSE c_acctbal * 2 END AS incidencia_delictiva FROM customer, (SELECT unnest(['Enero', 'Febrero']) AS m)""")
+SELECT lpad(CAST(c_nationkey AS VARCHAR), greatest(2, CAST(length(CAST(c_nationkey AS VARCHAR)) AS INTEGER)), '0') AS clave_ent, lpad(CAST(c_custkey AS VARCHAR), greatest(5, CAST(length(CAST(c_custkey AS VARCHAR)) AS INTEGER)), '0') AS cve_municipio, m AS mes, CASE WHEN m = 'Enero' THEN c_acctbal ELSE c_acctbal * 2 END AS incidencia_delictiva FROM customer, (SELECT unnest(['Enero', 'Febrero']) AS m)""")
 def _(t):
     raw = t.customer.select(F.col("c_nationkey").alias("Clave_Ent"), F.col("c_custkey").alias("Cve. Municipio"), F.col("c_acctbal").alias("Enero"), (F.col("c_acctbal") * 2).alias("Febrero"))
     return registry.prepare("delitos_comun", raw).toDF("clave_ent", "cve_municipio", "mes", "incidencia_delictiva")

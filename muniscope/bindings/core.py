@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.layers import checkpoint_root
+from ..session import shared_folder
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -35,9 +34,8 @@ class Tables:
         return getattr(self, table).selectExpr(*[f"{e} AS {c}" for c, e in columns.items()])
 
     def workspace(self, label: str) -> str:
-        """A fresh folder in the shared checkpoint area; a temporary one only where none is set."""
-        root = checkpoint_root(self.spark) or tempfile.mkdtemp(prefix="muniscope-")
-        return f"{root}/{label}-{uuid4().hex}"
+        """A fresh folder that driver and executors share."""
+        return f"{shared_folder(self.spark)}/{label}-{uuid4().hex}"
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

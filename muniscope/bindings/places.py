@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.text import pad_left
 from ..functions.geography import EARTH_RADIUS_KM
 from ..operators import aggregates as A
 from ..operators import spatial as G
@@ -76,12 +77,12 @@ _KINDS = {"error": "danio_prop", "click": "secuestro", "view": "feminicidio", "s
 
 
 @query("crime_rates", f"""
-WITH c AS ({shape_sql('crime')}), p AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS cve_muni, 100.0e0 + c_nationkey AS poblacion FROM customer),
+WITH c AS ({shape_sql('crime')}), p AS (SELECT lpad(CAST(c_custkey AS VARCHAR), greatest(5, CAST(length(CAST(c_custkey AS VARCHAR)) AS INTEGER)), '0') AS cve_muni, 100.0e0 + c_nationkey AS poblacion FROM customer),
 w AS (SELECT anio, mes, cve_muni, {', '.join(f"sum(incidencia_delictiva) FILTER (subtipodedelito = '{k}') AS {n}" for k, n in _KINDS.items())} FROM c GROUP BY 1, 2, 3)
 SELECT anio, mes, cve_muni, {', '.join(f'round({n}, 4) AS {n}_total, round({n} * 100000 / poblacion, 4) AS {n}_tasa' for n in _KINDS.values())}, '2024-6-m' AS data_date,
   CASE mes WHEN 'Enero' THEN '2024-01-01' WHEN 'Abril' THEN '2024-04-01' END AS fecha FROM w LEFT JOIN p USING (cve_muni) WHERE mes <> 'Agosto'""")
 def _(t):
-    pop = t.customer.select(F.lpad(F.col("c_custkey").cast("string"), 5, "0").alias("cve_muni"), (100.0 + F.col("c_nationkey")).alias("poblacion"))
+    pop = t.customer.select(pad_left(F.col("c_custkey").cast("string"), 5).alias("cve_muni"), (100.0 + F.col("c_nationkey")).alias("poblacion"))
     out = P.crime_rates(t.shape("crime"), pop, "2024-6-m", kinds=_KINDS)
     numbers = [f"{n}_{s}" for n in _KINDS.values() for s in ("total", "tasa")]
     return out.withColumns({**{c: F.round(c, 4) for c in numbers}, "fecha": F.col("fecha").cast("string")})
@@ -91,7 +92,7 @@ def _(t):
 _CLEAN_KEYS = ["ent_pais_asi", "ent_pais_trab", "mun_asi", "mun_trab", "factor", "sexo", "edad", "conact", *[f"acti_sin_pago{i}" for i in range(1, 9)]]
 _LP = {"ent_pais_asi": 2, "ent_pais_trab": 2, "mun_asi": 3, "mun_trab": 3}
 _PROFILE_SQL = (
-    "SELECT lpad(CAST(ent AS VARCHAR), 2, '0') AS cve_ent, lpad(CAST(ent AS VARCHAR), 2, '0') || lpad(CAST(mun AS VARCHAR), 3, '0') AS cve_muni, "
+    "SELECT lpad(CAST(ent AS VARCHAR), greatest(2, CAST(length(CAST(ent AS VARCHAR)) AS INTEGER)), '0') AS cve_ent, lpad(CAST(ent AS VARCHAR), greatest(2, CAST(length(CAST(ent AS VARCHAR)) AS INTEGER)), '0') || lpad(CAST(mun AS VARCHAR), greatest(3, CAST(length(CAST(mun AS VARCHAR)) AS INTEGER)), '0') AS cve_muni, "
     + ", ".join(f"lpad(CAST({k} AS VARCHAR), {_LP[k]}, '0') AS {k}" if k in _LP else k for k in _CLEAN_KEYS)
     + ", CAST(sum(factor) AS BIGINT) AS poblacion_mun, "
     + ", ".join(f"CAST(sum(CASE WHEN {p} THEN factor ELSE 0 END) AS BIGINT) AS {n}" for n, p in A.CENSUS_FLAGS.items())
@@ -134,7 +135,7 @@ _DWELL = "SELECT c_nationkey + 1 AS ent, CAST(c_custkey % 12 AS INT) AS mun, CAS
 
 
 @query("dwelling_indicators", f"""
-SELECT lpad(CAST(ent AS VARCHAR), 2, '0') || lpad(CAST(mun AS VARCHAR), 3, '0') AS cve_muni, coalesce(sum(factor) FILTER (jefe_sexo = 3), 0) / sum(factor) AS proporcion_jefatura, coalesce(sum(factor) FILTER (tipohog = 5), 0) / sum(factor) AS proporcion_unipersonales FROM ({_DWELL}) GROUP BY 1""")
+SELECT lpad(CAST(ent AS VARCHAR), greatest(2, CAST(length(CAST(ent AS VARCHAR)) AS INTEGER)), '0') || lpad(CAST(mun AS VARCHAR), greatest(3, CAST(length(CAST(mun AS VARCHAR)) AS INTEGER)), '0') AS cve_muni, coalesce(sum(factor) FILTER (jefe_sexo = 3), 0) / sum(factor) AS proporcion_jefatura, coalesce(sum(factor) FILTER (tipohog = 5), 0) / sum(factor) AS proporcion_unipersonales FROM ({_DWELL}) GROUP BY 1""")
 def _(t):
     df = t.customer.selectExpr("c_nationkey + 1 AS ent", "CAST(c_custkey % 12 AS INT) AS mun", "CAST(1 + c_custkey % 9 AS INT) AS factor", "CASE WHEN c_acctbal < 3000 THEN 3 ELSE 1 END AS jefe_sexo", "CAST(c_custkey % 6 AS INT) AS tipohog")
     out = P.dwelling_indicators(CLEANERS["intercensal_viviendas_2015"](df))

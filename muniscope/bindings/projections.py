@@ -13,9 +13,9 @@ from .core import query
 
 
 @query("geo_key", """
-SELECT c_custkey, lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS ent,
-  lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || lpad(CAST(c_custkey % 1000 AS VARCHAR), 3, '0') AS muni,
-  lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || lpad(CAST(c_custkey % 1000 AS VARCHAR), 3, '0') || lpad(CAST(c_custkey AS VARCHAR), 4, '0') AS loc
+SELECT c_custkey, lpad(CAST(c_nationkey AS VARCHAR), greatest(2, CAST(length(CAST(c_nationkey AS VARCHAR)) AS INTEGER)), '0') AS ent,
+  lpad(CAST(c_nationkey AS VARCHAR), greatest(2, CAST(length(CAST(c_nationkey AS VARCHAR)) AS INTEGER)), '0') || lpad(CAST(c_custkey % 1000 AS VARCHAR), greatest(3, CAST(length(CAST(c_custkey % 1000 AS VARCHAR)) AS INTEGER)), '0') AS muni,
+  lpad(CAST(c_nationkey AS VARCHAR), greatest(2, CAST(length(CAST(c_nationkey AS VARCHAR)) AS INTEGER)), '0') || lpad(CAST(c_custkey % 1000 AS VARCHAR), greatest(3, CAST(length(CAST(c_custkey % 1000 AS VARCHAR)) AS INTEGER)), '0') || lpad(CAST(c_custkey AS VARCHAR), greatest(4, CAST(length(CAST(c_custkey AS VARCHAR)) AS INTEGER)), '0') AS loc
 FROM customer""")
 def _(t):
     mun = F.col("c_custkey") % 1000
@@ -27,10 +27,10 @@ def _(t):
 
 @query("valid_geo_key", """
 SELECT l_orderkey, l_linenumber,
-  CASE WHEN l_suppkey % 36 BETWEEN 1 AND 32 THEN lpad(CAST(l_suppkey % 36 AS VARCHAR), 2, '0') END AS ent,
+  CASE WHEN l_suppkey % 36 BETWEEN 1 AND 32 THEN lpad(CAST(l_suppkey % 36 AS VARCHAR), greatest(2, CAST(length(CAST(l_suppkey % 36 AS VARCHAR)) AS INTEGER)), '0') END AS ent,
   CASE WHEN l_suppkey % 36 BETWEEN 1 AND 32 AND l_partkey BETWEEN 1 AND 998
-    THEN lpad(CAST(l_suppkey % 36 AS VARCHAR), 2, '0') || lpad(CAST(l_partkey AS VARCHAR), 3, '0') END AS muni,
-  CASE WHEN l_orderkey BETWEEN 1 AND 9998 THEN lpad(CAST(l_orderkey AS VARCHAR), 4, '0') END AS loc
+    THEN lpad(CAST(l_suppkey % 36 AS VARCHAR), greatest(2, CAST(length(CAST(l_suppkey % 36 AS VARCHAR)) AS INTEGER)), '0') || lpad(CAST(l_partkey AS VARCHAR), greatest(3, CAST(length(CAST(l_partkey AS VARCHAR)) AS INTEGER)), '0') END AS muni,
+  CASE WHEN l_orderkey BETWEEN 1 AND 9998 THEN lpad(CAST(l_orderkey AS VARCHAR), greatest(4, CAST(length(CAST(l_orderkey AS VARCHAR)) AS INTEGER)), '0') END AS loc
 FROM lineitem""")
 def _(t):
     ent = F.concat(F.lit(" "), (F.col("l_suppkey") % 36).cast("string"), F.lit("\""))
@@ -47,8 +47,8 @@ _LEGAL = ", ".join(
 
 @query("filter_valid_codes", f"""
 WITH dim(e, lo, hi) AS (VALUES {_LEGAL}),
-b AS (SELECT c_custkey, lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') AS cve_ent,
-  CASE WHEN c_custkey % 50 = 0 THEN NULL ELSE lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') || lpad(CAST(c_custkey % 140 AS VARCHAR), 3, '0') END AS cve_muni
+b AS (SELECT c_custkey, lpad(CAST(c_nationkey + 1 AS VARCHAR), greatest(2, CAST(length(CAST(c_nationkey + 1 AS VARCHAR)) AS INTEGER)), '0') AS cve_ent,
+  CASE WHEN c_custkey % 50 = 0 THEN NULL ELSE lpad(CAST(c_nationkey + 1 AS VARCHAR), greatest(2, CAST(length(CAST(c_nationkey + 1 AS VARCHAR)) AS INTEGER)), '0') || lpad(CAST(c_custkey % 140 AS VARCHAR), greatest(3, CAST(length(CAST(c_custkey % 140 AS VARCHAR)) AS INTEGER)), '0') END AS cve_muni
   FROM customer)
 SELECT c_custkey, cve_ent, cve_muni FROM b LEFT JOIN dim ON cve_ent = e
 WHERE cve_muni IS NULL OR (CAST(substring(cve_muni, 3, 3) AS INT) BETWEEN lo AND hi
@@ -288,7 +288,7 @@ def _(t):
     return df.select("l_orderkey", "l_linenumber", N.row_argmax(["a", "b", "c"]).alias("mayor"))
 
 
-@query("program_key", "SELECT p_partkey, substring(p_brand, 1, 1) || lpad(CAST(p_size AS VARCHAR), 3, '0') AS cve_programa FROM part")
+@query("program_key", "SELECT p_partkey, substring(p_brand, 1, 1) || lpad(CAST(p_size AS VARCHAR), greatest(3, CAST(length(CAST(p_size AS VARCHAR)) AS INTEGER)), '0') AS cve_programa FROM part")
 def _(t):
     return t.part.select("p_partkey", G.program_key(F.substring("p_brand", 1, 1), "p_size").alias("cve_programa"))
 

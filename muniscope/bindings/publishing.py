@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.text import pad_left
 from ..operators import documents as D
 from ..operators.reshape import gather
 from ..plans import semantic as S
@@ -34,12 +35,12 @@ def _budget(t):
         F.concat(F.lit("Concepto "), (F.col("o_custkey") % 4).cast("string")).alias("concepto"), F.round("o_totalprice", -3).alias("monto_modificado"),
     )
     annual = line.withColumnRenamed("concepto", "desc_objeto_del_gasto")
-    quarterly = line.where("monto_modificado > 100000").withColumn("cve_programa", F.concat("id_modalidad", F.lpad(F.col("id_pp").cast("string"), 3, "0"))).withColumnRenamed("concepto", "desc_concepto")
+    quarterly = line.where("monto_modificado > 100000").withColumn("cve_programa", F.concat("id_modalidad", pad_left(F.col("id_pp").cast("string"), 3))).withColumnRenamed("concepto", "desc_concepto")
     return annual, quarterly
 
 
 @query("budget_semantic", """
-WITH l AS (SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS ciclo, substring(o_orderpriority, 3, 1) || lpad(CAST(o_custkey % 15 AS VARCHAR), 3, '0') AS cve_programa, o_orderpriority, o_orderstatus AS p, 'Concepto ' || CAST(o_custkey % 4 AS VARCHAR) AS h, round(o_totalprice, -3) AS m FROM orders),
+WITH l AS (SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS ciclo, substring(o_orderpriority, 3, 1) || lpad(CAST(o_custkey % 15 AS VARCHAR), greatest(3, CAST(length(CAST(o_custkey % 15 AS VARCHAR)) AS INTEGER)), '0') AS cve_programa, o_orderpriority, o_orderstatus AS p, 'Concepto ' || CAST(o_custkey % 4 AS VARCHAR) AS h, round(o_totalprice, -3) AS m FROM orders),
 c AS (SELECT ciclo, cve_programa, p, h, sum(m) AS v FROM l GROUP BY 1, 2, 3, 4)
 SELECT ciclo, cve_programa, p, sum(v) OVER (PARTITION BY ciclo, cve_programa, p) AS total, h, v FROM c""")
 def _(t):
@@ -50,7 +51,7 @@ def _(t):
 
 def _facts(t):
     """(nivel, nivel_clave, fecha, plot, variable, valor) per customer and year."""
-    yearly = t.orders.groupBy(F.lpad(F.col("o_custkey").cast("string"), 5, "0").alias("nivel_clave"), F.year("o_orderdate").cast("string").alias("fecha")).agg(
+    yearly = t.orders.groupBy(pad_left(F.col("o_custkey").cast("string"), 5).alias("nivel_clave"), F.year("o_orderdate").cast("string").alias("fecha")).agg(
         F.count(F.lit(1)).cast("string").alias("n"), F.max("o_totalprice").cast("string").alias("maximo"), F.max("o_orderpriority").alias("prioridad")
     )
     long = gather(yearly, "variable", "valor", ["nivel_clave", "fecha"])
@@ -58,7 +59,7 @@ def _facts(t):
     return long.withColumns({"nivel": F.lit("m"), "plot": plot, "element_id": F.col("fecha")})
 
 
-_FACTS = """f AS (SELECT lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS nivel_clave, CAST(year(o_orderdate) AS VARCHAR) AS fecha, CAST(count(*) AS VARCHAR) AS n, CAST(max(o_orderpriority) AS VARCHAR) AS prioridad, max(o_totalprice) AS maximo FROM orders GROUP BY 1, 2),
+_FACTS = """f AS (SELECT lpad(CAST(o_custkey AS VARCHAR), greatest(5, CAST(length(CAST(o_custkey AS VARCHAR)) AS INTEGER)), '0') AS nivel_clave, CAST(year(o_orderdate) AS VARCHAR) AS fecha, CAST(count(*) AS VARCHAR) AS n, CAST(max(o_orderpriority) AS VARCHAR) AS prioridad, max(o_totalprice) AS maximo FROM orders GROUP BY 1, 2),
 l AS (SELECT nivel_clave, fecha, 'conteos' AS plot, 'n' AS variable, n AS valor FROM f UNION ALL SELECT nivel_clave, fecha, 'montos', 'prioridad', prioridad FROM f)"""
 
 
@@ -211,7 +212,7 @@ def _(t):
     return D.plot_table(t.supplier, "e", "saldos", "s_nationkey", ["s_name", "s_nationkey"], ["s_suppkey"])
 
 
-_POV = "SELECT lpad(CAST({k} AS VARCHAR), {n}, '0') AS clave, '{v}' AS variable, '{p}' AS tipo, {nivel} AS nivel, {x} AS valor, CAST(count(*) AS DOUBLE) AS pob_tot, CAST(year(o_orderdate) AS VARCHAR) || '-a' AS data_date, CAST(year(o_orderdate) AS INT) AS anio FROM o GROUP BY 1, 7, 8"
+_POV = "SELECT lpad(CAST({k} AS VARCHAR), greatest({n}, CAST(length(CAST({k} AS VARCHAR)) AS INTEGER)), '0') AS clave, '{v}' AS variable, '{p}' AS tipo, {nivel} AS nivel, {x} AS valor, CAST(count(*) AS DOUBLE) AS pob_tot, CAST(year(o_orderdate) AS VARCHAR) || '-a' AS data_date, CAST(year(o_orderdate) AS INT) AS anio FROM o GROUP BY 1, 7, 8"
 
 
 @query("poverty_semantic", f"""
@@ -224,7 +225,7 @@ def _(t):
 
     def level(key, width, name, variable):
         date = F.concat(F.year("o_orderdate").cast("string"), F.lit("-a")).alias("data_date")
-        out = df.groupBy(F.lpad(F.col(key).cast("string"), width, "0").alias(name), date).agg(F.max("o_totalprice").alias("valor"), F.count(F.lit(1)).cast("double").alias("pob_tot"))
+        out = df.groupBy(pad_left(F.col(key).cast("string"), width).alias(name), date).agg(F.max("o_totalprice").alias("valor"), F.count(F.lit(1)).cast("double").alias("pob_tot"))
         return out.withColumns({"variable": F.lit(variable), "tipo": F.lit("porcentaje")})
 
     dic = t.orders.select(F.when(F.col("o_orderstatus") == "F", "pobreza").otherwise("x").alias("id"), F.when(F.col("o_orderstatus") == "F", "Pobreza total").otherwise("y").alias("nombre"), F.lit("C").alias("fuente"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.text import pad_left
 from ..operators.recode import cast_recoded, recode
 from ..operators.rules import Rule, run_chunk
 from ..plans import survey as S
@@ -283,7 +284,7 @@ def _(t):
 
 
 @query("household_vulnerability", f"""
-WITH p AS (SELECT substring(lpad(CAST(folioviv AS VARCHAR), 10, '0'), 9, 2) AS cve_ent, * FROM ({_P_SQL})),
+WITH p AS (SELECT substring(lpad(CAST(folioviv AS VARCHAR), greatest(10, CAST(length(CAST(folioviv AS VARCHAR)) AS INTEGER)), '0'), 9, 2) AS cve_ent, * FROM ({_P_SQL})),
 m AS (SELECT cve_ent, folioviv, person_id, max(sexo) AS sexo, {', '.join(f"max(CASE WHEN {' OR '.join(f'coalesce(disc{i} IN ({chr(44).join(map(str, codes))}), FALSE)' for i in range(1, 8))} THEN 1 ELSE 0 END) AS {n}" for n, codes in S.DISABILITIES.items())} FROM p GROUP BY 1, 2, 3),
 h AS (SELECT cve_ent, folioviv, count(*) AS n, {', '.join(f'sum({n}) AS {n}' for n in S.DISABILITIES)} FROM m GROUP BY 1, 2),
 g AS (SELECT cve_ent, folioviv, sum(CASE WHEN realiza_act_lab = 6 THEN 1 ELSE 0 END) AS g FROM p GROUP BY 1, 2),
@@ -294,7 +295,7 @@ SELECT cve_ent, {', '.join(f'round(100 * {n} / nullif(personas, 0), 8) AS {n}' f
   round(CASE WHEN mh = 0 THEN mm ELSE mm / nullif(mh, 0) END, 6) AS brecha_salario_mensual, round(mm, 6) AS media_salario_m, round(mh, 6) AS media_salario_h FROM t LEFT JOIN b USING (cve_ent)""")
 def _(t):
     # the state sits at the end of the order key, so it is moved to the front of the dwelling number
-    state_first = F.concat(F.substring(F.lpad(F.col("folioviv").cast("string"), 10, "0"), 9, 2), F.lpad(F.col("folioviv").cast("string"), 8, "0"))
+    state_first = F.concat(F.substring(pad_left(F.col("folioviv").cast("string"), 10), 9, 2), pad_left(F.col("folioviv").cast("string"), 8))
     p = t.shape("person").withColumns({"folioviv": state_first, "foliohog": F.lit(1), "numren": F.col("person_id")})
     weights = t.orders.select(F.col("o_orderkey").alias("folioviv"), (1.0 + F.col("o_custkey") % 40).alias("factor_hog")).withColumns({"folioviv": state_first, "foliohog": F.lit(1)})
     jobs = p.withColumnRenamed("realiza_act_lab", "pres_6")

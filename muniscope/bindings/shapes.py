@@ -105,7 +105,7 @@ HOME = {
     "tipo_escusado": code(_C, 6, 1),
     "c_salud_hoga": holed(_K, 9, 6),
     "c_salud_hogb": holed(f"{_K} + 1", 9, 5),
-    "ubica_geo": f"lpad(CAST({_K} % 30000 AS STRING), 9, '0')",
+    "ubica_geo": f"lpad(CAST({_K} % 30000 AS STRING), greatest(9, CAST(length(CAST({_K} % 30000 AS STRING)) AS INTEGER)), '0')",
     "ing_cor": "o_totalprice",
     "remesas": "o_totalprice - 100000",
     "escusado_exclusivo": code(f"{_K} + 1", 2),
@@ -123,7 +123,7 @@ HOME = {
     },
     **{n: code(f"{_C} + {i} * {_K}", 3) for i, n in enumerate(["num_refri", "num_auto", "num_van", "num_pickup", "num_video", "num_compu", "num_micro", "num_lavad", "num_estuf"], start=1)},
     "telefono": code(f"{_C} % 7 + {_K}", 2),
-    "ent": f"lpad(CAST({_C} % 32 + 1 AS STRING), 2, '0')",
+    "ent": f"lpad(CAST({_C} % 32 + 1 AS STRING), greatest(2, CAST(length(CAST({_C} % 32 + 1 AS STRING)) AS INTEGER)), '0')",
     "factor": f"CAST(1 + {_C} % 40 AS DOUBLE)",
     "rururb": code(_K, 2),
     "ictpc": f"CASE WHEN {_K} % 41 = 0 THEN NULL ELSE o_totalprice / 100 END",
@@ -141,7 +141,7 @@ HOME = {
 CRIME = {
     "anio": "CAST(2024 AS INT)",
     "mes": "CASE WHEN user_id % 3 = 0 THEN 'Abril' WHEN user_id % 3 = 1 THEN 'Enero' ELSE 'Agosto' END",
-    "cve_muni": "lpad(CAST(user_id % 200 AS STRING), 5, '0')",
+    "cve_muni": "lpad(CAST(user_id % 200 AS STRING), greatest(5, CAST(length(CAST(user_id % 200 AS STRING)) AS INTEGER)), '0')",
     "subtipodedelito": "event_type",
     "incidencia_delictiva": "value",
 }
@@ -175,14 +175,14 @@ RAW_BENEFICIARY = {
             f"concat('dep', CAST({_S} % 3 AS STRING))",
             f"CASE WHEN {_P} % 4 = 0 THEN 'FEDERAL' WHEN {_P} % 4 = 1 THEN 'ESTATAL' WHEN {_P} % 4 = 2 THEN 'MUNI' ELSE 'x' END",
             f"CAST({_P} AS STRING)",
-            f"concat('S', lpad(CAST({_S} % 3 AS STRING), 3, '0'))",
+            f"concat('S', lpad(CAST({_S} % 3 AS STRING), greatest(3, CAST(length(CAST({_S} % 3 AS STRING)) AS INTEGER)), '0'))",
             f"concat('P', CAST({_P} % 2 AS STRING))",
             f"CAST(2013 + {_O} % 3 AS STRING)",
             f"concat('13', CASE WHEN {_L} = 1 THEN 'a' WHEN {_L} = 2 THEN 'B' WHEN {_L} = 3 THEN 'c' WHEN {_L} = 4 THEN 'x' ELSE CAST({_L} AS STRING) END)",
             "'Perez'",
             "'Lopez'",
             f"concat('Ana', CAST({_P} % 3 AS STRING))",
-            f"CASE WHEN {_P} % 50 = 0 THEN '19900231' ELSE concat(CAST(1930 + {_P} % 85 AS STRING), lpad(CAST(1 + {_S} % 12 AS STRING), 2, '0'), lpad(CAST(1 + {_L} * 3 AS STRING), 2, '0')) END",
+            f"CASE WHEN {_P} % 50 = 0 THEN '19900231' ELSE concat(CAST(1930 + {_P} % 85 AS STRING), lpad(CAST(1 + {_S} % 12 AS STRING), greatest(2, CAST(length(CAST(1 + {_S} % 12 AS STRING)) AS INTEGER)), '0'), lpad(CAST(1 + {_L} * 3 AS STRING), 2, '0')) END",
             f"CASE WHEN {_S} % 3 = 0 THEN 'H' WHEN {_S} % 3 = 1 THEN '\"M\"' ELSE '' END",
             f"CAST({_P} % 14 AS STRING)",
             f"concat('N', CAST({_O} % 3000 AS STRING))",

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import col
-from .text import strip_accents
+from .text import pad_left, strip_accents
 
 # First three letters of the Spanish month names.
 MONTHS_ES = ["ene", "feb", "mar", "abr", "may", "jun", "jul", "ago", "sep", "oct", "nov", "dic"]
@@ -102,7 +102,7 @@ def parse_timestamp_cascade(c) -> Column:
     number = text.try_cast("double")
     whole = F.when(number.between(0, 1e15), F.format_string("%.0f", number))
     digits = F.when(F.length(whole) == 14, whole)
-    clock = F.when(F.length(whole) <= 6, F.lpad(whole, 6, "0"))
+    clock = F.when(F.length(whole) <= 6, pad_left(whole, 6))
     native = F.when(~text.rlike(r"^[0-9.+eE-]*$") | text.rlike(r"^\d{4}-\d{1,2}(-\d{1,2})?$"), text.try_cast("timestamp"))
     return F.coalesce(
         native,

@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import pad_left
 from . import col
 
 EARTH_RADIUS_KM = 6371.0088
@@ -24,31 +25,31 @@ def _whole(c: Column) -> Column:
 
 def geo_key(ent, mun=None, loc=None) -> Column:
     """Zero-padded state (2), municipality (2+3) or locality (2+3+4) key. Null part gives null."""
-    parts = [F.lpad(col(ent).cast("string"), 2, "0")]
+    parts = [pad_left(col(ent).cast("string"), 2)]
     if mun is not None:
-        parts.append(F.lpad(col(mun).cast("string"), 3, "0"))
+        parts.append(pad_left(col(mun).cast("string"), 3))
     if loc is not None:
-        parts.append(F.lpad(col(loc).cast("string"), 4, "0"))
+        parts.append(pad_left(col(loc).cast("string"), 4))
     return F.concat(*parts)
 
 
 def valid_state(ent) -> Column:
     """Two-digit state key, null outside 1..32."""
     n = _whole(col(ent))
-    return F.when(n.between(1, 32), F.lpad(n.cast("string"), 2, "0"))
+    return F.when(n.between(1, 32), pad_left(n.cast("string"), 2))
 
 
 def valid_municipality(ent, mun) -> Column:
     """Five-digit key, null unless state is 1..32 and municipality 1..998."""
     e, m = _whole(col(ent)), _whole(col(mun))
-    key = F.concat(F.lpad(e.cast("string"), 2, "0"), F.lpad(m.cast("string"), 3, "0"))
+    key = F.concat(pad_left(e.cast("string"), 2), pad_left(m.cast("string"), 3))
     return F.when(e.between(1, 32) & m.between(1, 998), key)
 
 
 def valid_locality(loc) -> Column:
     """Four-digit locality part, null outside 1..9998."""
     n = _whole(col(loc))
-    return F.when(n.between(1, 9998), F.lpad(n.cast("string"), 4, "0"))
+    return F.when(n.between(1, 9998), pad_left(n.cast("string"), 4))
 
 
 def parent_key(child, width: int = 2) -> Column:
@@ -58,7 +59,7 @@ def parent_key(child, width: int = 2) -> Column:
 
 def program_key(modality, number) -> Column:
     """Programme id: modality letter followed by the number padded to three."""
-    return F.concat(col(modality), F.lpad(col(number).cast("string"), 3, "0"))
+    return F.concat(col(modality), pad_left(col(number).cast("string"), 3))
 
 
 def haversine(lat1, lon1, lat2, lon2) -> Column:

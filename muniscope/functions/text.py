@@ -109,3 +109,9 @@ def split_variable(c) -> Column:
         .otherwise("")
     )
     return F.struct(name.alias("variable"), kind.alias("tipo"))
+
+
+def pad_left(text: Column | str, length: int, fill: str = "0") -> Column:
+    """Left-pad to ``length``; longer text stays whole, so two codes never become the same key."""
+    c = F.col(text) if isinstance(text, str) else text
+    return F.when(F.length(c) >= length, c).otherwise(F.lpad(c, length, fill))

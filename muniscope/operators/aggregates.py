@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scale import split_hot_groups
+from .scale import sorted_parts
 
 _FN = {"sum": F.sum, "mean": F.avg, "max": F.max, "min": F.min, "median": F.median}
 
@@ -239,13 +239,10 @@ def sum_over_splits(df: DataFrame, keys: Sequence[str], measures: Sequence[str])
     return df.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
 
 
-def concat_values(df: DataFrame, by: Sequence[str], value: str, sep: str = ", ", limit: int = 100_000) -> DataFrame:
-    """Values of a group joined in sorted order, duplicates once.
-
-    A group with more than ``limit`` values is given in several rows numbered by ``part``.
-    """
+def concat_values(df: DataFrame, by: Sequence[str], value: str, sep: str = ", ", size: int = 100_000, buckets: int | None = None) -> DataFrame:
+    """Values of a group joined in sorted order, duplicates once: (by, part, value) with at most ``size`` values a part."""
     distinct = df.select(*by, F.col(value).cast("string").alias(value)).where(F.col(value).isNotNull()).distinct()
-    parts = split_hot_groups(distinct, by, [value], limit)
+    parts = sorted_parts(distinct, by, [value], size, buckets)
     joined = F.array_join(F.array_sort(F.collect_list(value)), sep)
     return parts.groupBy(*by, "part").agg(joined.alias(value))
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geography import wkt_to_geojson
-from .scale import split_hot_groups
+from .scale import sorted_parts
 
 
 def pack_json(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
@@ -146,11 +146,10 @@ def features(df: DataFrame, wkt: str, props: Sequence[str], keep: Sequence[str]
 
 
 def feature_collection(
-    df: DataFrame, wkt: str, props: Sequence[str], by: Sequence[str] = (), limit: int = 20_000
+    df: DataFrame, wkt: str, props: Sequence[str], by: Sequence[str] = (), size: int = 20_000
 ) -> DataFrame:
-    """GeoJSON FeatureCollections per group, in parts of about ``limit`` features."""
-    rows = features(df, wkt, props, by)
-    parts = split_hot_groups(rows, by, ["feature"], limit)
+    """GeoJSON FeatureCollections per group in sorted order: (by, part, collection) with at most ``size`` features a part."""
+    parts = sorted_parts(features(df, wkt, props, by), by, ["feature"], size)
     body = F.array_join(F.array_sort(F.collect_list("feature")), ",")
     collection = F.concat(
         F.lit('{"type":"FeatureCollection","crs":{"type":"name","properties":{"name":"EPSG:4326"}},"features":['), body, F.lit("]}")

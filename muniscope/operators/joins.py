@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geography import haversine
-from .scale import broadcast_checked, pack_blocks, probe_blocks
+from .scale import pack_blocks, probe_blocks
 
 
 def assemble(base: DataFrame, parts: Sequence[DataFrame], on: str | Sequence[str]) -> DataFrame:
@@ -30,7 +30,7 @@ def outer_assemble(dfs: Sequence[DataFrame], on: str | Sequence[str]) -> DataFra
 
 def join_codes(df: DataFrame, codes: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Inner join with a code list."""
-    return df.join(broadcast_checked(codes), on, "inner")
+    return df.join(codes, on, "inner")
 
 
 def left_join_between(
@@ -62,13 +62,13 @@ def left_join_between(
 
 def downscale(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     """Give each child place the values of its parent place."""
-    return children.join(broadcast_checked(parents), key, "left")
+    return children.join(parents, key, "left")
 
 
 def name_to_key(df: DataFrame, dim: DataFrame, name: str, key: str, clean=lambda c: c) -> DataFrame:
     """Look a cleaned name up in (name, key)."""
     lookup = dim.select(clean(F.col(name)).alias("__n"), F.col(key)).dropDuplicates(["__n"])
-    return df.join(broadcast_checked(lookup), clean(df[name]) == F.col("__n"), "left").drop("__n")
+    return df.join(lookup, clean(df[name]) == F.col("__n"), "left").drop("__n")
 
 
 def add_group_value(df: DataFrame, by: Sequence[str], **aggs: Column) -> DataFrame:
@@ -104,7 +104,7 @@ def donor_fill(df: DataFrame, key: str, value: str, donors: DataFrame) -> DataFr
     pairs = donors.select(F.col(key).alias("__k"), "donor")
     values = df.groupBy(key).agg(F.max(value).alias("__v"))
     given = (
-        values.join(broadcast_checked(pairs), F.col(key) == F.col("donor"))
+        values.join(pairs, F.col(key) == F.col("donor"))
         .where(F.col("__v").isNotNull())
         .select(F.col("__k").alias(key), "__v")
     )

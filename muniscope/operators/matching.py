@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scale import bounded_rows, broadcast_checked, pack_blocks, probe_blocks, split_hot_groups
+from .scale import pack_blocks, probe_blocks, sorted_parts
 from .windows import first_per_key
 
-KEYWORD_LIMIT = 500
+SLICE = 500
 
 
 def keyword_match(
@@ -18,28 +18,24 @@ def keyword_match(
 ) -> DataFrame:
     """Distinct (text_id, keyword_id) where the keyword pattern occurs in the text.
 
-    Up to ``KEYWORD_LIMIT`` patterns are evaluated as constants (compiled once) inside one projection of the
-    texts: no join, and only hits leave the scan. More patterns are packed into blocks that every text meets
-    by an equi-join on the block, again returning hits only.
+    The patterns are a dictionary that people write, so they become constants of the plan, compiled once. Any number of
+    them is evaluated beside the text in one projection, in slices only because of the size of an expression: texts are
+    neither copied nor shuffled, and only hits leave the scan.
     """
     words = keywords.select(F.col(keyword_id).alias("__kid"), F.col(keyword).alias("__kw")).where(F.col("__kw").isNotNull()).distinct()
-    rows = bounded_rows(words, KEYWORD_LIMIT)
-    if rows is not None:
-        if not rows:
-            return texts.select(text_id, F.lit(None).cast(words.schema["__kid"].dataType).alias(keyword_id)).where(F.lit(False))
-        hits = F.array_compact(F.array(*[F.when(F.col(text).rlike(r["__kw"]), F.lit(r["__kid"])) for r in sorted(rows, key=str)]))
-        found = texts.select(text_id, F.explode(F.array_distinct(hits)).alias(keyword_id))
-        return found.distinct()
-    packed = pack_blocks(words, [], F.struct("__kid", "__kw"), ["__kid", "__kw"], KEYWORD_LIMIT)
-    met = probe_blocks(texts.select(text_id, F.col(text).alias("__text")), packed, [])
-    hits = F.filter("items", lambda k: F.rlike(F.col("__text"), k["__kw"]))
-    return met.select(text_id, F.explode(F.transform(hits, lambda k: k["__kid"])).alias(keyword_id)).distinct()
-
-
-def matches_to_array(matches: DataFrame, key: str, member: str, name: str = "ids", limit: int = 100_000) -> DataFrame:
-    """Sorted member array per key. A key with more than ``limit`` members is given in several rows by ``part``."""
-    pairs = matches.select(key, member).distinct()
-    parts = split_hot_groups(pairs, [key], [member], limit)
+    kind = words.schema["__kid"].dataType
+    rows = sorted(words.toLocalIterator(), key=str)
+    slices = [
+        F.array_compact(F.array(*[F.when(F.col(text).rlike(r["__kw"]), F.lit(r["__kid"])) for r in rows[i : i + SLICE]]))
+        for i in range(0, len(rows), SLICE)
+    ]
+    hits = F.concat(*slices) if slices else F.array().cast(f"array<{kind.simpleString()}>")
+    return texts.select(text_id, F.explode(F.array_distinct(hits)).alias(keyword_id)).distinct()
+
+
+def matches_to_array(matches: DataFrame, key: str, member: str, name: str = "ids", size: int = 100_000, buckets: int | None = None) -> DataFrame:
+    """Members per key in sorted order, as arrays of at most ``size``: (key, part, ids), part 0 first."""
+    parts = sorted_parts(matches.select(key, member).distinct(), [key], [member], size, buckets)
     return parts.groupBy(key, "part").agg(F.array_sort(F.collect_list(member)).alias(name))
 
 
@@ -99,7 +95,7 @@ def recommend(
     for depth, level in enumerate(levels):
         parents = list(levels[:depth])
         names = relations.select(*parents[-1:], F.col(level).alias("__t")).where(F.col("__t").isNotNull()).distinct()
-        cand = scores.join(broadcast_checked(names), "__t")
+        cand = scores.join(names, "__t")
         if chosen is not None:
             cand = cand.join(chosen, [clave, *parents[-1:]])
         best = F.min_by(F.struct(F.col("__t").alias(level), *parents), F.struct(-F.col("__v"), F.col("__t")))
@@ -109,6 +105,6 @@ def recommend(
     for depth in range(len(levels) - 1, -1, -1):
         level = levels[depth]
         first = first_per_key(relations.where(F.col(level).isNotNull()).select(level, *levels[depth + 1 :], ids), [level], list(levels[depth + 1 :]) or [ids])
-        out = out.join(broadcast_checked(first.select(level, F.col(ids).alias(f"__ids_{depth}"))), level, "left")
+        out = out.join(first.select(level, F.col(ids).alias(f"__ids_{depth}")), level, "left")
     picks = [F.col(f"__ids_{d}") for d in range(len(levels) - 1, -1, -1)]
     return out.select(clave, *levels, F.coalesce(*picks).alias(ids))

@@ -40,16 +40,12 @@ def filter_valid_codes(df: DataFrame, range_dim: DataFrame, ent: str = "cve_ent"
         F.col("only").isNull() | F.array_contains(F.col("only"), number)
     )
     return (
-        df.join(F.broadcast(dim) if _fixed_dim(range_dim) else dim, df[ent] == F.col("__e"), "left")
+        df.join(dim, df[ent] == F.col("__e"), "left")
         .where(F.col(mun).isNull() | legal)
         .drop("__e", "lo", "hi", "only")
     )
 
 
-def _fixed_dim(dim: DataFrame) -> bool:
-    return dim.limit(1001).count() <= 1000
-
-
 def redact_minors(df: DataFrame, age: str, cols: Sequence[str], limit: int = 18) -> DataFrame:
     """Blank the given name columns where age is under ``limit``."""
     return df.withColumns({c: F.when(F.col(age) < limit, F.lit("")).otherwise(F.col(c)) for c in cols})

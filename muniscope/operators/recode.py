@@ -2,75 +2,41 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .projections import cast_columns
-from .scale import bounded_rows
 
 RECODE_COLUMNS = ["variable_inicial", "variable_final", "valor_inicial", "valor_final"]
-MAP_LIMIT = 20_000
 
 
 def recode(df: DataFrame, table: str, recode_df: DataFrame) -> DataFrame:
     """Recode and rename the variables listed for ``table``.
 
     ``recode_df``: tabla, variable_inicial, variable_final, valor_inicial, valor_final. A listed value gets
-    its new value, an unlisted one becomes null; a variable without initial values is only renamed.
-    All variables are rewritten in one projection from map literals. A recode table too large for that is
-    joined instead, one variable after the other.
+    its new value (the smallest one stated, should there be several), an unlisted one becomes null; a variable
+    without initial values is only renamed. Each variable is joined to its own list, of any length. Only the
+    names of variables that ``df`` has come to the driver: one row for each column that is made.
     """
-    mine = recode_df.where((F.col("tabla") == table) & F.col("variable_final").isNotNull()).select(*RECODE_COLUMNS).distinct()
-    rows = bounded_rows(mine, MAP_LIMIT)
-    if rows is None:
-        return _recode_by_join(df, mine)
-    maps: dict[tuple[str, str], dict[str, str]] = {}
-    for r in sorted(rows, key=lambda r: tuple(str(v) for v in r)):
-        entry = maps.setdefault((r["variable_inicial"], r["variable_final"]), {})
-        if r["valor_inicial"] is not None:
-            entry.setdefault(r["valor_inicial"], r["valor_final"])
-    have = set(df.columns)
-    sources = {old for old, _ in maps if old in have}
-    new = []
-    for (old, name), values in maps.items():
-        if old not in have:
-            continue
-        if values:
-            lookup = F.create_map(*[F.lit(x) for kv in values.items() for x in kv])
-            new.append(F.try_element_at(lookup, F.col(old).cast("string")).alias(name))
-        else:
-            new.append(F.col(old).alias(name))
-    made = {name for (old, name) in maps if old in have}
-    kept = [c for c in df.columns if c not in sources and c not in made]
-    return df.select(*kept, *new)
-
-
-def _recode_by_join(df: DataFrame, mine: DataFrame) -> DataFrame:
-    names = mine.select("variable_inicial", "variable_final").distinct().collect()
-    for r in names:
+    mine = recode_df.where((F.col("tabla") == table) & F.col("variable_final").isNotNull()).select(*RECODE_COLUMNS)
+    mine = mine.where(F.col("variable_inicial").isin(df.columns))
+    made = mine.groupBy("variable_inicial", "variable_final").agg(F.count("valor_inicial").alias("n")).collect()
+    made = sorted(made, key=lambda r: (r["variable_inicial"], r["variable_final"]))
+    out, new = df, []
+    for i, r in enumerate(made):
         old, name = r["variable_inicial"], r["variable_final"]
-        if old not in df.columns:
+        if not r["n"]:
+            new.append(F.col(f"`{old}`").alias(name))
             continue
-        values = (
-            mine.where((F.col("variable_inicial") == old) & (F.col("variable_final") == name) & F.col("valor_inicial").isNotNull())
-            .groupBy(F.col("valor_inicial").alias("__from"))
-            .agg(F.min("valor_final").alias("__to"))
-        )
-        if values.isEmpty():
-            df = df.withColumnRenamed(old, name)
-        else:
-            df = df.join(values, df[old].cast("string") == values["__from"], "left").drop(old, "__from").withColumnRenamed("__to", name)
-    return df
+        listed = (F.col("variable_inicial") == old) & (F.col("variable_final") == name) & F.col("valor_inicial").isNotNull()
+        values = mine.where(listed).groupBy(F.col("valor_inicial").alias(f"__from{i}")).agg(F.min("valor_final").alias(f"__to{i}"))
+        out = out.join(values, F.col(f"`{old}`").cast("string") == F.col(f"__from{i}"), "left")
+        new.append(F.col(f"__to{i}").alias(name))
+    gone = {r["variable_inicial"] for r in made} | {r["variable_final"] for r in made}
+    return out.select(*[F.col(f"`{c}`") for c in df.columns if c not in gone], *new)
 
 
 def cast_recoded(df: DataFrame, table: str, recode_df: DataFrame) -> DataFrame:
     """Cast the recoded variables of ``table`` to int."""
-    names = bounded_rows(recode_df.where(F.col("tabla") == table).select("variable_final").distinct(), MAP_LIMIT) or []
-    return cast_columns(df, ints=[r[0] for r in names if r[0]])
-
-
-def recoded_names(recode_df: DataFrame, table: str) -> Sequence[str]:
-    rows = bounded_rows(recode_df.where(F.col("tabla") == table).select("variable_inicial").distinct(), MAP_LIMIT) or []
-    return sorted(r[0] for r in rows)
+    names = recode_df.where((F.col("tabla") == table) & F.col("variable_final").isin(df.columns)).select("variable_final").distinct()
+    return cast_columns(df, ints=sorted(r[0] for r in names.collect()))

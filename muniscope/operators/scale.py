@@ -3,39 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
-SINGLE_BUCKET_ROWS = 2_000_000
-MAX_BUCKETS = 128
-SAMPLE_PER_BUCKET = 40
-
-
-def bounded_rows(df: DataFrame, limit: int) -> list[Row] | None:
-    """Rows of a configuration-sized table, or None when it holds more than ``limit``."""
-    rows = df.limit(limit + 1).collect()
-    return rows if len(rows) <= limit else None
-
-
-def broadcast_checked(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that at most ``limit`` rows are there."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
+from ..session import shared_folder
 
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute once where several later steps read the result.
+    """Compute once where several later steps read the result: written to the shared folder and read back.
 
-    Checkpoints into the shared folder of ``spark.checkpoint.dir``; without one the rows are cached.
+    Nothing stays in executor memory, and a lost executor costs no more than this step.
     """
-    if df.sparkSession.conf.get("spark.checkpoint.dir", None):
-        return df.checkpoint()
-    return df.persist()
+    path = f"{shared_folder(df.sparkSession)}/settled-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -46,18 +32,19 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return cond
 
 
-def split_hot_groups(df: DataFrame, keys: Sequence[str], spread: Sequence[str], limit: int) -> DataFrame:
-    """Add ``part`` (0 for ordinary groups) so that no (keys, part) is expected to exceed ``limit`` rows.
-
-    Sizes come from a pre-aggregated count; the part number is a hash of ``spread``.
-    """
-    sizes = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / limit).cast("int").alias("__parts"))
-    hot = sizes.where(F.col("__parts") > 1).select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__parts")
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & df[k].eqNullSafe(hot[f"__k_{k}"])
-    part = F.pmod(F.xxhash64(*spread), F.coalesce(F.col("__parts"), F.lit(1))).cast("int")
-    return df.join(hot, cond, "left").withColumn("part", part).drop("__parts", *[f"__k_{k}" for k in keys])
+def sorted_parts(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], size: int, buckets: int | None = None) -> DataFrame:
+    """Add ``part``: rows of a group in ``order``, cut every ``size`` rows (0 for the first ``size``). Holds for groups of any size."""
+    out = running(
+        df,
+        by,
+        sort_key(*order),
+        local={"__rn": lambda w: F.row_number().over(w)},
+        block={"__n": lambda k: F.count(F.lit(1))},
+        carry={"__before": lambda w: F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1))},
+        buckets=buckets,
+    )
+    place = F.col("__rn") + F.coalesce(F.col("__before"), F.lit(0)) - 1
+    return out.withColumn("part", F.floor(place / size).cast("int")).drop("__rn", "__before")
 
 
 def pack_blocks(df: DataFrame, keys: Sequence[str], payload: Column, spread: Sequence[str], size: int = 2048) -> DataFrame:
@@ -102,36 +89,13 @@ def descending_key(score: Column | str, *ties: Column | str) -> Column:
     return sort_key(s.isNull(), -s, *ties)
 
 
-def _literal(value) -> Column:
-    if isinstance(value, Row):
-        return F.struct(*[_literal(v).alias(n) for n, v in value.asDict().items()])
-    return F.lit(value)
-
-
-def ordered_buckets(
-    df: DataFrame, key: Column, name: str = "__bucket", buckets: int | None = None
-) -> tuple[DataFrame, int]:
-    """Cut rows into contiguous ranges of ``key``: every key in bucket i sorts before every key in bucket i+1.
+def ordered_buckets(df: DataFrame, key: Column, name: str = "__bucket", buckets: int | None = None) -> DataFrame:
+    """Rows in contiguous ranges of ``key``, numbered: every key in range i sorts before every key in range i+1.
 
-    Returns the frame with the bucket column and the number of buckets. The cut points are a small sample
-    taken once, so they are constants of the plan and any later pass places a row in the same bucket.
-    They decide balance only, never the result. ``buckets`` forces a number (used in tests).
+    A range exchange cuts as many ranges as the session has shuffle partitions (``buckets`` forces a number). The
+    numbered rows are settled, so all later steps see the same ranges.
     """
-    keys = df.select(key.alias("k"))
-    n = keys.count()
-    if buckets is None:
-        buckets = min(MAX_BUCKETS, n // SINGLE_BUCKET_ROWS + 1)
-    if buckets < 2 or n == 0:
-        return df.withColumn(name, F.lit(0)), 1
-    wanted = buckets * SAMPLE_PER_BUCKET
-    sample = keys.sample(min(1.0, wanted / n), seed=7).orderBy("k").limit(4 * wanted).collect()
-    step = max(1, len(sample) // buckets)
-    bounds = list(dict.fromkeys(r["k"] for r in sample[step::step]))
-    if not bounds:
-        return df.withColumn(name, F.lit(0)), 1
-    kind = keys.schema["k"].dataType
-    limits = F.array(*[_literal(b).cast(kind) for b in bounds])
-    return df.withColumn(name, F.size(F.filter(limits, lambda b: b <= key))), len(bounds) + 1
+    return settle(df.repartitionByRange(buckets or partitions(df), key).withColumn(name, F.spark_partition_id()))
 
 
 def running(
@@ -147,14 +111,12 @@ def running(
 
     local   columns over an ordered window of (by, bucket)
     block   one aggregate per (by, bucket); each gets the sort key column
-    carry   columns over the ordered block table of a ``by``; null when there is a single bucket
+    carry   columns over the ordered block table of a ``by``
     """
     keyed = df.withColumn("__key", sort_key(*by, key) if by else sort_key(key))
-    placed, n = ordered_buckets(keyed, F.col("__key"), buckets=buckets)
+    placed = ordered_buckets(keyed, F.col("__key"), buckets=buckets)
     w = Window.partitionBy(*by, "__bucket").orderBy("__key")
     out = placed.select("*", *[f(w).alias(name) for name, f in local.items()])
-    if n == 1:
-        return out.select("*", *[F.lit(None).alias(name) for name in carry]).drop("__key", "__bucket")
     blocks = placed.groupBy(*by, "__bucket").agg(*[f(F.col("__key")).alias(name) for name, f in block.items()])
     wb = Window.partitionBy(*by).orderBy("__bucket")
     carried = blocks.select(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geography import degrees_per_km, haversine, wkt_to_geojson
-from .scale import pack_blocks, probe_blocks, split_hot_groups
+from .scale import pack_blocks, probe_blocks, sorted_parts
 
 
 def idw(
@@ -77,10 +77,10 @@ def spatial_impute(
     return df.join(guess, key, "left").withColumn(value, F.coalesce(F.col(value).cast("double"), F.col("__guess"))).drop("__guess")
 
 
-def collect_geometries(df: DataFrame, by: Sequence[str], wkt: str, order: str, limit: int = 20_000) -> DataFrame:
-    """GeometryCollection text of the child shapes per parent, in ``order``; very large parents come in parts."""
+def collect_geometries(df: DataFrame, by: Sequence[str], wkt: str, order: str, size: int = 20_000) -> DataFrame:
+    """GeometryCollection texts of the child shapes per parent in ``order``: (by, part, geometry) with at most ``size`` shapes a part."""
     rows = df.where(F.col(wkt).isNotNull()).select(*by, F.col(order).alias("__o"), wkt_to_geojson(wkt).alias("__g"))
-    parts = split_hot_groups(rows, by, ["__o"], limit)
+    parts = sorted_parts(rows, by, ["__o", "__g"], size)
     shapes = F.transform(F.array_sort(F.collect_list(F.struct("__o", "__g"))), lambda s: s["__g"])
     body = F.concat(F.lit('{"type":"GeometryCollection","geometries":['), F.array_join(shapes, ","), F.lit("]}"))
     return parts.groupBy(*by, "part").agg(body.alias("geometry"), F.count(F.lit(1)).alias("n_geometries"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geography import geo_key
-from ..functions.text import digits_or_null
+from ..functions.text import digits_or_null, pad_left
 from ..operators.documents import pack_json
 from ..operators.quality import drop_blank_rows, drop_exact_duplicates, nullify_sentinels, safe_names, stamp
 from ..operators.reshape import gather, months_long, rename_regex, weeks_long
@@ -27,7 +27,7 @@ def delitos_comun(df: DataFrame) -> DataFrame:
     """Months in columns to rows, keys padded."""
     ids = [c for c in df.columns if c not in set(_months(df))]
     long = months_long(df, ids, "incidencia_delictiva").drop("mes_num")
-    return long.withColumns({"Clave_Ent": geo_key("Clave_Ent"), "Cve. Municipio": F.lpad(F.col("`Cve. Municipio`").cast("string"), 5, "0")})
+    return long.withColumns({"Clave_Ent": geo_key("Clave_Ent"), "Cve. Municipio": pad_left(F.col("`Cve. Municipio`").cast("string"), 5)})
 
 
 @preparer("cfe")
@@ -77,7 +77,7 @@ def cuis_39_9(df: DataFrame) -> DataFrame:
 def coneval_municipios(df: DataFrame) -> DataFrame:
     out = nullify_sentinels(df)
     return out.withColumns(
-        {"Clave de entidad": F.lpad(F.trim("Clave de entidad"), 2, "0"), "Clave de municipio": F.lpad(F.trim("Clave de municipio"), 5, "0")}
+        {"Clave de entidad": pad_left(F.trim("Clave de entidad"), 2), "Clave de municipio": pad_left(F.trim("Clave de municipio"), 5)}
     )
 
 

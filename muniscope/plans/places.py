@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import pad_left
 from ..functions.dates import age_band, data_date_to_date, first_of_month, month_number, parse_es_month
 from ..functions.numbers import row_sum
 from ..operators.aggregates import density, event_rate, population_pyramid, rate_per_100k
@@ -59,8 +60,8 @@ def census_indicators(profiles: DataFrame, key: str = "cve_muni") -> DataFrame:
     the pyramid is a second one.
     """
     unpaid = row_sum([f"acti_sin_pago{i}" for i in range(1, 9)], skip_null=False)
-    school = F.concat(F.lpad("ent_pais_asi", 2, "0"), F.lpad("mun_asi", 3, "0"))
-    work = F.concat(F.lpad("ent_pais_trab", 2, "0"), F.lpad("mun_trab", 3, "0"))
+    school = F.concat(pad_left("ent_pais_asi", 2), pad_left("mun_asi", 3))
+    work = F.concat(pad_left("ent_pais_trab", 2), pad_left("mun_trab", 3))
 
     def away(other):
         return F.coalesce(F.sum(F.when(other == F.col(key), 0).when(other != F.col(key), 1)), F.lit(0))
@@ -139,7 +140,7 @@ def municipal_inflation(prices: DataFrame, cities: DataFrame, municipalities: Da
     per_city = latest.groupBy("nom_cd", "fecha_mes").agg(F.avg("value_dif").alias("ipc_dif")).join(cities, "nom_cd")
     spread = idw(municipalities, per_city, "ipc_dif", "cve_muni", "nom_cd")
     when = per_city.agg(F.max("fecha_mes")).scalar()
-    return spread.select("cve_muni", "ipc_dif", F.year(when).alias("year"), F.lpad(F.month(when).cast("string"), 2, "0").alias("month"))
+    return spread.select("cve_muni", "ipc_dif", F.year(when).alias("year"), pad_left(F.month(when).cast("string"), 2).alias("month"))
 
 
 def assemble_matrix(threats: Sequence[DataFrame], vulnerabilities: Sequence[DataFrame], capacities: Sequence[DataFrame], key: str = "cve_muni") -> DataFrame:

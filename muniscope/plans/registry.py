@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,9 +35,11 @@ def prepare(name: str, df: DataFrame) -> DataFrame:
     return PREPARERS.get(name, lambda d: d)(df)
 
 
-def clean(name: str, df: DataFrame, recode_df: DataFrame | None = None) -> DataFrame:
-    """The source's cleaner (or nothing), then the table-driven recode."""
-    out = CLEANERS.get(name, lambda d: d)(df)
+def clean(name: str, df: DataFrame, recode_df: DataFrame | None = None, declared: Mapping[str, str] | None = None) -> DataFrame:
+    """The source's cleaner (or nothing), then the table-driven recode. ``declared``: column types of the source's data
+    dictionary, for cleaners whose columns are told by it."""
+    step = CLEANERS.get(name, lambda d: d)
+    out = step(df, declared) if declared else step(df)
     return recode(out, name, recode_df) if recode_df is not None else out
 
 

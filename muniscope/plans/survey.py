@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import pad_left
 from ..functions.numbers import any_in
 from ..operators.aggregates import collapse_max, gap_ratio, weighted_indicator, weighted_table
 from ..operators.joins import natural_left
@@ -176,7 +177,7 @@ def household_vulnerability(people: DataFrame, summary: DataFrame, jobs: DataFra
     with the benefit, weighted by the household.
     """
     def state(df):
-        return df.withColumn("cve_ent", F.substring(F.lpad(F.col("folioviv").cast("string"), 10, "0"), 1, 2))
+        return df.withColumn("cve_ent", F.substring(pad_left(F.col("folioviv").cast("string"), 10), 1, 2))
 
     home = ["cve_ent", "folioviv", "foliohog"]
     weights = state(summary).select(*home, F.col("factor_hog").cast("double").alias("w"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -23,3 +25,19 @@ def build_session(app: str = "muniscope", master: str | None = None, **extra: st
     for key, value in {**DEFAULTS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+_LOCAL: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for intermediate tables that driver and executors see: ``spark.checkpoint.dir``.
+
+    Only a session whose executors are threads of the driver may do without it and gets a temporary folder.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _LOCAL.setdefault("root", tempfile.mkdtemp(prefix="muniscope-"))

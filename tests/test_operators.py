@@ -115,19 +115,28 @@ def test_cube_drops_nulls_per_grouping(spark):
 
 def test_hot_groups_are_split_and_whole(spark):
     df = spark.range(1000).select(F.when(F.col("id") < 900, "hot").otherwise("cold").alias("k"), "id")
-    parts = M.matches_to_array(df, "k", "id", limit=100)
+    parts = M.matches_to_array(df, "k", "id", size=100, buckets=5)
     assert parts.where("k = 'hot'").count() > 1
     assert parts.select(F.explode("ids").alias("i")).distinct().count() == 1000
+    hot = sorted((r["part"], list(r["ids"])) for r in parts.where("k = 'hot'").collect())
+    assert [i for _, ids in hot for i in ids] == list(range(900)) and all(len(ids) == 100 for _, ids in hot)
     packed = scale.pack_blocks(df, [], F.col("id"), ["id"], 64)
     assert packed.select(F.sum(F.size("items"))).first()[0] == 1000 and packed.count() > 1
 
 
-def test_many_keywords_take_the_block_path(spark, monkeypatch):
+def test_many_keywords_take_the_same_path(spark, monkeypatch):
     texts = spark.createDataFrame([(1, "agua potable"), (2, "escuela"), (3, "nada")], "id int, t string")
     words = spark.createDataFrame([("a", "agua"), ("a", "potable"), ("b", "escuela|primaria")], "kid string, palabra string")
-    small = rows(M.keyword_match(texts, words, "t", "id", "kid"), "id", "kid")
-    monkeypatch.setattr(M, "KEYWORD_LIMIT", 1)
-    assert rows(M.keyword_match(texts, words, "t", "id", "kid"), "id", "kid") == small == [(1, "a"), (2, "b")]
+    monkeypatch.setattr(M, "SLICE", 1)
+    assert rows(M.keyword_match(texts, words, "t", "id", "kid"), "id", "kid") == [(1, "a"), (2, "b")]
+    assert M.keyword_match(texts, words.limit(0), "t", "id", "kid").count() == 0
+
+
+def test_long_codes_are_not_cut(spark):
+    from muniscope.functions.text import pad_left
+
+    df = spark.createDataFrame([("7",), ("123456",), (None,)], "c string")
+    assert [r[0] for r in df.select(pad_left("c", 5)).collect()] == ["00007", "123456", None]
 
 
 def test_idw_on_a_source_takes_its_value(spark):
@@ -146,6 +155,8 @@ def test_recode_unlisted_becomes_null(spark):
     df = spark.createDataFrame([(1, "a", "z"), (2, "q", "y")], "id int, x string, w string")
     table = spark.createDataFrame([("t", "x", "nuevo", "a", "10"), ("t", "w", "otro", None, None)], "tabla string, variable_inicial string, variable_final string, valor_inicial string, valor_final string")
     assert rows(recode(df, "t", table), "id", "nuevo", "otro") == [(1, "10", "z"), (2, None, "y")]
+    twice = table.unionByName(spark.createDataFrame([("t", "x", "nuevo", "a", "09"), ("t", "x", "nuevo", "q", None), ("t", "no", "nada", "a", "1")], table.schema))
+    assert rows(recode(df, "t", twice), "id", "nuevo", "otro") == [(1, "09", "z"), (2, None, "y")]
 
 
 def test_common_ids_and_unpivot_identity(spark):
