@@ -7,8 +7,9 @@ agree in a band are candidates. Two documents' similarity is estimated from agre
 agree by chance of compression, and candidates not far below the threshold are verified on their full sets.
 
 Work is bounded without dropping anything: equal texts are first reduced to one document. In a band's bucket every member
-is verified against the smallest one only (a star, never all pairs). Buckets whose members then still lie in different
-components are finished in blocks: members outside the smallest one's component meet all members by their registers, block
+is verified against one of them only (a star, never all pairs): the one that meets most others over all of its buckets,
+which in a group of copies is the one they were made from. Buckets whose members then still lie in different
+components are finished in blocks: members outside the first one's component meet all members by their registers, block
 by block; only pairs of different components that the estimate lets pass are verified. So every candidate pair is either
 linked, or known to lie in one component, or rejected by estimate or by full sets.
 
@@ -34,7 +35,7 @@ from .links import components
 
 REGISTERS, ROWS, MANTISSA = 128, 4, 8
 SLACK = 5.0  # standard deviations below the threshold that still get verified
-MEMBERS, STRAYS, GROUP = 256, 64, 100
+MEMBERS, STRAYS, GROUP = 512, 256, 100
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
@@ -177,82 +178,118 @@ def verify(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> Da
                 if role == 0:
                     centre.append(own.copy())
                     continue
-                for c in centre:
-                    least, most = min(len(c), len(own)), max(len(c), len(own))
-                    if 100 * least < percent * most:
-                        continue
-                    at = np.searchsorted(c, own)
-                    shared = int((c[np.minimum(at, len(c) - 1)] == own).sum())
-                    if 100 * shared >= percent * (least + most - shared):
-                        found_a.append(a)
-                        found_b.append(b)
-                        break
+                if any(alike(c, own, percent) for c in centre):
+                    found_a.append(a)
+                    found_b.append(b)
             yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"])
 
     return sent.mapInArrow(run, "a long, b long").distinct()
 
 
-def block_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in unfinished buckets that the estimate lets pass.
+def promising(pairs: DataFrame, regs: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose estimated similarity is not far below the threshold."""
+    side = lambda c: regs.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("registers").alias(f"r_{c}"))
+    floor = lowest_estimate(percent)
 
-    ``members``: bucket, band, doc_id, component, first (the bucket's smallest member), head (its component), n (members),
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+                r_a, r_b = (_registers_of(batch.column(c)) for c in ("r_a", "r_b"))
+                keep = pa.array(estimate((r_a == r_b).sum(1), n_a, n_b) >= floor)
+                yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
+
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
+
+
+def lowest_estimate(percent: int) -> float:
+    jaccard = percent / 100
+    return jaccard - SLACK * (jaccard * (1 - jaccard) / REGISTERS) ** 0.5
+
+
+def _registers_of(col: pa.Array) -> np.ndarray:
+    raw, _ = text_bytes(col)
+    return raw.view(np.uint16).reshape(-1, REGISTERS)
+
+
+def block_links(members: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links between different components in unfinished buckets.
+
+    ``members``: bucket, band, doc_id, component, first (the bucket's centre), head (its component), n (members),
     strays (members of other components), n_shingles, registers.
-    Strays are the members outside ``head``. Blocks of strays meet blocks of members, so a task holds two blocks at most;
-    only passing pairs leave it. A pair that agrees in several bands is given out by the first of them alone.
+    Strays are the members outside ``head``. Blocks of strays meet blocks of members, so a task holds two blocks at most,
+    with their texts. A pair of different components that the estimate lets pass is verified on the full sets right there,
+    in the first band where it agrees; a link joins its components for the rest of the block. So pairs never leave the
+    task: what does is a forest of links, at most one for each row that came in.
     """
     blocks = lambda n, size: F.greatest(F.lit(1), F.ceil(n / size)).cast("int")
-    counted = members.withColumns({"m_blocks": blocks(F.col("n"), MEMBERS), "s_blocks": blocks(F.col("strays"), STRAYS)})
+    counted = members.withColumns({"m_blocks": blocks(F.col("n"), MEMBERS), "s_blocks": blocks(F.col("strays"), STRAYS)}).join(texts, "doc_id")
     placed = counted.withColumns({"m": F.pmod(F.xxhash64("doc_id", F.lit(1)), "m_blocks").cast("int"), "s": F.pmod(F.xxhash64("doc_id", F.lit(2)), "s_blocks").cast("int")})
-    keep = ["bucket", "band", "doc_id", "component", "n_shingles", "registers"]
+    keep = ["bucket", "band", "doc_id", "component", "n_shingles", "registers", "text"]
     stray = placed.where((F.col("component") != F.col("head"))).select(*keep, "s", F.explode(F.sequence(F.lit(0), F.col("m_blocks") - 1)).alias("m"), F.lit(0).alias("role"))
     all_of = placed.where(F.col("doc_id") != F.col("first")).select(*keep, F.explode(F.sequence(F.lit(0), F.col("s_blocks") - 1)).alias("s"), "m", F.lit(1).alias("role"))
     n = partitions(members.sparkSession)
-    sent = stray.unionByName(all_of).repartition(n, "bucket", "s", "m").sortWithinPartitions("bucket", "s", "m", "role").select("bucket", "s", "m", "role", "band", "doc_id", "component", "n_shingles", "registers")
-    jaccard = percent / 100
-    floor = jaccard - SLACK * (jaccard * (1 - jaccard) / REGISTERS) ** 0.5
-
-    def pairs(strays: dict, rows: dict, band: int) -> Iterator[tuple[int, int]]:
-        for i in range(len(strays["doc_id"])):
-            other = (rows["component"] != strays["component"][i]) & (rows["doc_id"] != strays["doc_id"][i])
-            if not other.any():
-                continue
-            at = np.flatnonzero(other)
-            same = rows["registers"][at] == strays["registers"][i]
-            rough = estimate(same.sum(1), rows["n_shingles"][at], np.full(len(at), strays["n_shingles"][i]))
-            whole = same.reshape(len(at), -1, ROWS).all(2)
-            first = whole.argmax(1) == band
-            for j in at[(rough >= floor) & first]:
-                yield strays["doc_id"][i], rows["doc_id"][j]
-
-    def columns(batch: pa.RecordBatch) -> dict:
-        out = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "component", "n_shingles")}
-        raw, _ = text_bytes(batch.column("registers"))
-        return out | {"registers": raw.view(np.uint16).reshape(-1, REGISTERS)}
+    order = ["bucket", "s", "m", "role"]
+    sent = stray.unionByName(all_of).repartition(n, *order[:3]).sortWithinPartitions(*order).select(*order, "band", "doc_id", "component", "n_shingles", "registers", "text")
+    floor = lowest_estimate(percent)
 
     def run(batches):
-        group, held = None, []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = list(zip(*[batch.column(c).to_pylist() for c in ("bucket", "s", "m")], strict=True))
+        group, held, joined = None, [], {}
+        for batch in sliced(batches, "text"):
+            raw, borders = text_bytes(batch.column("text"))
+            code, counts = shingles(raw, borders, shingle)
+            ends = np.cumsum(counts)
+            sets = [code[e - c : e] for e, c in zip(ends.tolist(), counts.tolist(), strict=True)]
+            keys = list(zip(*[batch.column(c).to_pylist() for c in order[:3]], strict=True))
             role, band = batch.column("role").to_numpy(), batch.column("band").to_numpy()
+            ids, comps, sizes = (batch.column(c).to_numpy() for c in ("doc_id", "component", "n_shingles"))
+            regs = _registers_of(batch.column("registers"))
             found: list[tuple[int, int]] = []
-            borders = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
-            for a, b in zip(borders[:-1], borders[1:], strict=True):
+            edges = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
                 if keys[a] != group:
-                    group, held = keys[a], []
+                    group, held, joined = keys[a], [], {}
                 split = a + int((role[a:b] == 0).sum())
-                if split > a:
-                    held.append(columns(batch.slice(a, split - a)))
+                held += [(int(ids[i]), int(comps[i]), int(sizes[i]), regs[i].copy(), sets[i].copy()) for i in range(a, split)]
                 if b > split:
-                    rows = columns(batch.slice(split, b - split))
-                    for s in held:
-                        found += pairs(s, rows, int(band[a]))
+                    found += _links(held, ids[split:b], comps[split:b], sizes[split:b], regs[split:b], sets[split:b], int(band[split]), joined, floor, percent)
             yield pa.RecordBatch.from_arrays([pa.array([min(p) for p in found], pa.int64()), pa.array([max(p) for p in found], pa.int64())], names=["a", "b"])
 
     return sent.mapInArrow(run, "a long, b long").distinct()
 
 
+def _links(strays, ids, comps, sizes, regs, sets, band: int, joined: dict[int, int], floor: float, percent: int) -> Iterator[tuple[int, int]]:
+    """A forest of links between strays and rows. ``joined``: components joined so far in this block."""
+
+    def root(c: int) -> int:
+        while c in joined:
+            c = joined[c]
+        return c
+
+    for doc, comp, size, own, codes in strays:
+        at = np.flatnonzero(comps != comp)
+        if not len(at):
+            continue
+        same = regs[at] == own
+        rough = estimate(same.sum(1), sizes[at], np.full(len(at), size))
+        first = same.reshape(len(at), -1, ROWS).all(2).argmax(1) == band
+        for j in at[(rough >= floor) & first].tolist():
+            a, b = root(comp), root(int(comps[j]))
+            if a != b and alike(codes, sets[j], percent):
+                joined[a] = b
+                yield doc, int(ids[j])
+
+
+def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """100 * intersection >= percent * union of two sorted sets."""
+    least, most = min(len(a), len(b)), max(len(a), len(b))
+    if not least or 100 * least < percent * most:
+        return False
+    at = np.searchsorted(a, b)
+    shared = int((a[np.minimum(at, len(a) - 1)] == b).sum())
+    return 100 * shared >= percent * (least + most - shared)
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     spark = docs.sparkSession
@@ -262,12 +299,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     copies = full.select("digest", "doc_id").join(classes, "digest").where(F.col("doc_id") != F.col("rep")).select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     reps = full.join(classes.withColumnRenamed("rep", "doc_id"), ["digest", "doc_id"], "left_semi")
     banded = reps.select("doc_id", F.posexplode("bands").alias("band", "key")).select("doc_id", "band", F.xxhash64("band", "key").alias("bucket"))
-    heads = banded.groupBy("bucket").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where(F.col("first") != F.col("last")).drop("last")
-    crowded = settle(banded.join(settle(heads, "heads"), "bucket"), "buckets")
+    sizes = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where(F.col("least") != F.col("most"))
+    members = settle(banded.join(settle(sizes.select("bucket", "size"), "sizes"), "bucket"), "members")
+    met = settle(members.groupBy("doc_id").agg(F.sum("size").alias("met")), "met")
+    firsts = members.join(met, "doc_id").groupBy("bucket").agg(F.max(F.struct("met", (-F.col("doc_id")).alias("minus"))).alias("x")).select("bucket", (-F.col("x.minus")).alias("first"))
+    crowded = settle(members.drop("size").join(settle(firsts, "firsts"), "bucket"), "buckets")
     stars = settle(crowded.where(F.col("doc_id") != F.col("first")).select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct(), "stars")
-    involved = crowded.select("doc_id").distinct()
+    involved = settle(crowded.select("doc_id").distinct(), "involved")
     texts = settle(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(involved, "doc_id", "left_semi"), "texts")
-    linked = settle(verify(stars, texts, shingle, percent), "linked")
+    regs = settle(reps.join(involved, "doc_id", "left_semi").groupBy("doc_id").agg(F.max_by(F.struct("n_shingles", "registers"), "digest").alias("x")).select("doc_id", "x.n_shingles", "x.registers"), "registers")
+    linked = settle(verify(settle(promising(stars, regs, percent), "promising"), texts, shingle, percent), "linked")
     by_star = components(linked).withColumnRenamed("node", "doc_id")
     known = settle(crowded.join(by_star, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")), "known")
     unfinished = (
@@ -278,10 +319,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         )
         .where((F.col("components") > 1) & (F.col("n") > 2)).drop("components")
     )
-    members = known.join(settle(unfinished, "unfinished"), "bucket")
-    regs = reps.groupBy("doc_id").agg(F.max_by(F.struct("n_shingles", "registers"), "digest").alias("x")).select("doc_id", "x.n_shingles", "x.registers")
-    more = settle(block_pairs(members.join(regs, "doc_id"), percent), "pairs")
-    again = settle(verify(more, texts, shingle, percent), "linked")
+    left = known.join(settle(unfinished, "unfinished"), "bucket")
+    again = settle(block_links(left.join(regs, "doc_id"), texts, shingle, percent), "linked")
     found = components(linked.union(again).union(copies))
     return signs.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
