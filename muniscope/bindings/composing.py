@@ -119,8 +119,8 @@ def _(t):
 # --- vulnerability -----------------------------------------------------------------------------------------------
 _VI = I.VULNERABILITY_INPUTS
 _VULN = (
-    "WITH a AS (SELECT c_custkey AS cve_muni, c_acctbal AS irez_soc15, CASE WHEN c_custkey % 3 = 0 THEN c_acctbal * 2 END AS gini_10 FROM customer WHERE c_custkey % 5 <> 1), "
-    "b AS (SELECT c_custkey AS cve_muni, CAST(c_nationkey AS DOUBLE) AS unprooted, c_acctbal / 7 AS ic_asalud, CAST(c_custkey % 17 AS DOUBLE) AS precio_maiz_2015 FROM customer WHERE c_custkey % 4 <> 2), "
+    "WITH a AS (SELECT c_custkey AS cve_muni, c_acctbal AS irez_soc15, CASE WHEN c_custkey % 3 = 0 THEN c_acctbal * 2 END AS gini_10 FROM customer), "
+    "b AS (SELECT c_custkey + 3 AS cve_muni, CAST(c_nationkey AS DOUBLE) AS unprooted, c_acctbal / 7 AS ic_asalud, CAST(c_custkey % 17 AS DOUBLE) AS precio_maiz_2015 FROM customer), "
     "f AS (SELECT * FROM a FULL JOIN b USING (cve_muni)), "
     f"d AS (SELECT cve_muni, {', '.join(f'last_value({c} IGNORE NULLS) OVER (ORDER BY cve_muni ROWS UNBOUNDED PRECEDING) AS {c}' for c in _VI)} FROM f), "
     f"n AS (SELECT cve_muni, {', '.join(f'({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ()) AS {c}' for c in _VI)} FROM d)"
@@ -135,8 +135,8 @@ def _avg2(a, b):
 SELECT cve_muni, {', '.join(f'round({c}, 7) AS {c}' for c in [*_VI, 'socioeconomica', 'o_vulnerable', 'vulnerable_groups'])}, round({_avg2('socioeconomica', 'vulnerable_groups')}, 7) AS vulnerable FROM g""")
 def _(t):
     key = F.col("c_custkey").alias("cve_muni")
-    a = t.customer.where("c_custkey % 5 <> 1").select(key, F.col("c_acctbal").alias("irez_soc15"), F.when(F.col("c_custkey") % 3 == 0, F.col("c_acctbal") * 2).alias("gini_10"))
-    b = t.customer.where("c_custkey % 4 <> 2").select(key, F.col("c_nationkey").cast("double").alias("unprooted"), (F.col("c_acctbal") / 7).alias("ic_asalud"), (F.col("c_custkey") % 17).cast("double").alias("precio_maiz_2015"))
+    a = t.customer.select(key, F.col("c_acctbal").alias("irez_soc15"), F.when(F.col("c_custkey") % 3 == 0, F.col("c_acctbal") * 2).alias("gini_10"))
+    b = t.customer.select((F.col("c_custkey") + 3).alias("cve_muni"), F.col("c_nationkey").cast("double").alias("unprooted"), (F.col("c_acctbal") / 7).alias("ic_asalud"), (F.col("c_custkey") % 17).cast("double").alias("precio_maiz_2015"))
     out = I.vulnerability_index([a, b])
     return out.select("cve_muni", *[F.round(c, 7).alias(c) for c in out.columns if c != "cve_muni"])
 
@@ -159,7 +159,7 @@ def _(t):
     return out.withColumns({c: F.round(c, 8) for c in ["complejidad_1996", "complejidad_1997"]})
 
 
-_INFRA = """a AS (SELECT lpad(CAST(c_custkey AS VARCHAR), greatest(9, CAST(length(CAST(c_custkey AS VARCHAR)) AS INTEGER)), '0') AS cve_locc, CAST(c_custkey % 5 AS BIGINT) AS tot_tiendas FROM customer WHERE c_custkey % 3 = 0), b AS (SELECT lpad(CAST(c_custkey AS VARCHAR), greatest(9, CAST(length(CAST(c_custkey AS VARCHAR)) AS INTEGER)), '0') AS cve_locc, CAST(c_custkey % 7 AS BIGINT) AS tot_comedores FROM customer WHERE c_custkey % 2 = 0),
+_INFRA = """a AS (SELECT lpad(CAST(c_custkey AS VARCHAR), greatest(9, CAST(length(CAST(c_custkey AS VARCHAR)) AS INTEGER)), '0') AS cve_locc, CAST(c_custkey % 5 AS BIGINT) AS tot_tiendas FROM customer), b AS (SELECT lpad(CAST(c_custkey + 5 AS VARCHAR), greatest(9, CAST(length(CAST(c_custkey + 5 AS VARCHAR)) AS INTEGER)), '0') AS cve_locc, CAST(c_custkey % 7 AS BIGINT) AS tot_comedores FROM customer),
 l AS (SELECT *, substring(cve_locc, 1, 5) AS cve_muni FROM a FULL JOIN b USING (cve_locc))"""
 
 
@@ -167,8 +167,8 @@ l AS (SELECT *, substring(cve_locc, 1, 5) AS cve_muni FROM a FULL JOIN b USING (
 UNION ALL SELECT NULL, cve_muni, CAST(sum(tot_tiendas) AS BIGINT), CAST(sum(tot_comedores) AS BIGINT) FROM l GROUP BY cve_muni""")
 def _(t):
     key = pad_left(F.col("c_custkey").cast("string"), 9).alias("cve_locc")
-    a = t.customer.where("c_custkey % 3 = 0").select(key, (F.col("c_custkey") % 5).alias("tot_tiendas"))
-    b = t.customer.where("c_custkey % 2 = 0").select(key, (F.col("c_custkey") % 7).alias("tot_comedores"))
+    a = t.customer.select(key, (F.col("c_custkey") % 5).alias("tot_tiendas"))
+    b = t.customer.select(pad_left((F.col("c_custkey") + 5).cast("string"), 9).alias("cve_locc"), (F.col("c_custkey") % 7).alias("tot_comedores"))
     local, muni = I.infrastructure([a, b])
     return local.unionByName(muni, allowMissingColumns=True)
 
@@ -184,21 +184,21 @@ def _(t):
 
 
 @query("physicians_rate", """
-WITH r AS (SELECT c_custkey AS cve_muni, c_nationkey AS medicos, CASE WHEN c_custkey % 6 <> 0 THEN CAST(1000 + c_custkey % 300 AS DOUBLE) END AS pob FROM customer), x AS (SELECT cve_muni, medicos, pob, coalesce(medicos * 100000.0e0 / pob, 0) AS t FROM r)
+WITH r AS (SELECT c.c_custkey AS cve_muni, c.c_nationkey AS medicos, CAST(1000 + p.c_custkey % 300 AS DOUBLE) AS pob FROM customer c LEFT JOIN customer p ON c.c_custkey = p.c_custkey + 4), x AS (SELECT cve_muni, medicos, pob, coalesce(medicos * 100000.0e0 / pob, 0) AS t FROM r)
 SELECT cve_muni, medicos, pob, round(t, 6) AS personal_medico_100_h, round((t - min(t) OVER ()) / (max(t) OVER () - min(t) OVER ()), 8) AS personal_medico_100_h_norm FROM x""")
 def _(t):
     medics = t.customer.select(F.col("c_custkey").alias("cve_muni"), F.col("c_nationkey").alias("medicos"))
-    pop = t.customer.where("c_custkey % 6 <> 0").select(F.col("c_custkey").alias("cve_muni"), (1000 + F.col("c_custkey") % 300).cast("double").alias("pob"))
+    pop = t.customer.select((F.col("c_custkey") + 4).alias("cve_muni"), (1000 + F.col("c_custkey") % 300).cast("double").alias("pob"))
     out = I.physicians_rate(medics, pop, "medicos", "pob")
     return out.withColumns({"personal_medico_100_h": F.round("personal_medico_100_h", 6), "personal_medico_100_h_norm": F.round("personal_medico_100_h_norm", 8)})
 
 
 @query("assemble_matrix", """
-WITH a AS (SELECT o_custkey AS cve_muni, max(o_totalprice) AS ipc_dif FROM orders GROUP BY 1), v AS (SELECT c_custkey AS cve_muni, c_acctbal AS pobreza_porcentaje FROM customer WHERE c_custkey % 2 = 0), k AS (SELECT s_suppkey AS cve_muni, s_acctbal AS cobertura_dren FROM supplier)
+WITH a AS (SELECT o_custkey AS cve_muni, max(o_totalprice) AS ipc_dif FROM orders GROUP BY 1), v AS (SELECT c_custkey + 7 AS cve_muni, c_acctbal AS pobreza_porcentaje FROM customer), k AS (SELECT s_suppkey AS cve_muni, s_acctbal AS cobertura_dren FROM supplier)
 SELECT cve_muni, ipc_dif, pobreza_porcentaje, cobertura_dren FROM a LEFT JOIN v USING (cve_muni) LEFT JOIN k USING (cve_muni)""")
 def _(t):
     a = t.orders.groupBy(F.col("o_custkey").alias("cve_muni")).agg(F.max("o_totalprice").alias("ipc_dif"))
-    v = t.customer.where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("cve_muni"), F.col("c_acctbal").alias("pobreza_porcentaje"))
+    v = t.customer.select((F.col("c_custkey") + 7).alias("cve_muni"), F.col("c_acctbal").alias("pobreza_porcentaje"))
     k = t.supplier.select(F.col("s_suppkey").alias("cve_muni"), F.col("s_acctbal").alias("cobertura_dren"))
     return P.assemble_matrix([a], [v], [k])
 

@@ -15,28 +15,28 @@ _D = "2 * 6371.0088e0 * asin(least(1.0e0, sqrt(pow(sin((radians(b.lat) - radians
 
 @query("assemble", """
 WITH o AS (SELECT o_custkey AS c_custkey, count(*) AS n_orders FROM orders GROUP BY 1),
-f AS (SELECT o_custkey AS c_custkey, sum(o_totalprice) AS f_total FROM orders WHERE o_orderstatus = 'F' GROUP BY 1)
+f AS (SELECT o_custkey AS c_custkey, sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END) AS f_total FROM orders GROUP BY 1)
 SELECT c_custkey, c_nationkey, n_orders, round(f_total, 2) AS f_total FROM customer LEFT JOIN o USING (c_custkey) LEFT JOIN f USING (c_custkey)""")
 def _(t):
     key = F.col("o_custkey").alias("c_custkey")
     counts = t.orders.groupBy(key).agg(F.count(F.lit(1)).alias("n_orders"))
-    final = t.orders.where("o_orderstatus = 'F'").groupBy(key).agg(F.round(F.sum("o_totalprice"), 2).alias("f_total"))
+    final = t.orders.groupBy(key).agg(F.round(F.sum(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))), 2).alias("f_total"))
     return J.assemble(t.customer.select("c_custkey", "c_nationkey"), [counts, final], "c_custkey")
 
 
 @query("natural_left", """
-SELECT n_nationkey, n_regionkey, n_name, r_name FROM nation LEFT JOIN (SELECT r_regionkey AS n_regionkey, r_name FROM region WHERE r_regionkey < 3) USING (n_regionkey)""")
+SELECT n_nationkey, n_regionkey, n_name, r_name FROM nation LEFT JOIN (SELECT r_regionkey + 2 AS n_regionkey, r_name FROM region) USING (n_regionkey)""")
 def _(t):
-    region = t.region.where("r_regionkey < 3").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
+    region = t.region.select((F.col("r_regionkey") + 2).alias("n_regionkey"), "r_name")
     return J.natural_left(t.nation, region)
 
 
 @query("household_join", """
-WITH e AS (SELECT l_orderkey, l_linenumber, sum(l_extendedprice) AS ingreso FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1, 2)
+WITH e AS (SELECT l_orderkey, l_linenumber, sum(CASE WHEN l_returnflag = 'A' THEN l_extendedprice END) AS ingreso FROM lineitem GROUP BY 1, 2)
 SELECT l.l_orderkey, l.l_linenumber, l_quantity, round(ingreso, 2) AS ingreso FROM lineitem l LEFT JOIN e ON l.l_orderkey = e.l_orderkey AND l.l_linenumber = e.l_linenumber""")
 def _(t):
     keys = ["l_orderkey", "l_linenumber"]
-    income = t.lineitem.where("l_returnflag = 'A'").groupBy(*keys).agg(F.round(F.sum("l_extendedprice"), 2).alias("ingreso"))
+    income = t.lineitem.groupBy(*keys).agg(F.round(F.sum(F.when(F.col("l_returnflag") == "A", F.col("l_extendedprice"))), 2).alias("ingreso"))
     return t.lineitem.select(*keys, "l_quantity").join(income, keys, "left")
 
 
@@ -47,14 +47,14 @@ def _(t):
 
 
 @query("outer_assemble", """
-WITH a AS (SELECT c_nationkey AS k, count(*) AS nc FROM customer WHERE c_custkey % 7 = 0 GROUP BY 1),
-b AS (SELECT s_nationkey AS k, count(*) AS ns FROM supplier WHERE s_suppkey % 3 = 0 GROUP BY 1),
-c AS (SELECT n_nationkey AS k, n_name FROM nation WHERE n_nationkey > 4)
+WITH a AS (SELECT c_nationkey + 3 AS k, count(*) AS nc FROM customer GROUP BY 1),
+b AS (SELECT s_nationkey - 2 AS k, count(*) AS ns FROM supplier GROUP BY 1),
+c AS (SELECT n_nationkey AS k, n_name FROM nation)
 SELECT k, nc, ns, n_name FROM a FULL JOIN b USING (k) FULL JOIN c USING (k)""")
 def _(t):
-    a = t.customer.where("c_custkey % 7 = 0").groupBy(F.col("c_nationkey").alias("k")).agg(F.count(F.lit(1)).alias("nc"))
-    b = t.supplier.where("s_suppkey % 3 = 0").groupBy(F.col("s_nationkey").alias("k")).agg(F.count(F.lit(1)).alias("ns"))
-    c = t.nation.where("n_nationkey > 4").select(F.col("n_nationkey").alias("k"), "n_name")
+    a = t.customer.groupBy((F.col("c_nationkey") + 3).alias("k")).agg(F.count(F.lit(1)).alias("nc"))
+    b = t.supplier.groupBy((F.col("s_nationkey") - 2).alias("k")).agg(F.count(F.lit(1)).alias("ns"))
+    c = t.nation.select(F.col("n_nationkey").alias("k"), "n_name")
     return J.outer_assemble([a, b, c], "k")
 
 
@@ -84,9 +84,9 @@ def _(t):
 
 
 @query("name_to_key", """
-SELECT p_partkey, p_name, clave FROM part LEFT JOIN (SELECT lower(p_name) AS n, min(p_partkey) AS clave FROM part WHERE p_size < 20 GROUP BY 1) ON lower(p_name) = n""")
+SELECT p_partkey, p_name, clave FROM part LEFT JOIN (SELECT lower(CASE WHEN p_size < 20 THEN p_name ELSE p_name || ' bis' END) AS n, min(p_partkey) AS clave FROM part GROUP BY 1) ON lower(p_name) = n""")
 def _(t):
-    names = t.part.where("p_size < 20").groupBy("p_name").agg(F.min("p_partkey").alias("clave"))
+    names = t.part.groupBy(F.when(F.col("p_size") < 20, F.col("p_name")).otherwise(F.concat("p_name", F.lit(" bis"))).alias("p_name")).agg(F.min("p_partkey").alias("clave"))
     shouted = t.part.select("p_partkey", F.upper("p_name").alias("p_name"))
     return J.name_to_key(shouted, names, "p_name", "clave", X.clean_name).withColumn("p_name", F.lower("p_name"))
 
@@ -120,12 +120,12 @@ def _(t):
 
 
 @query("donor_fill", """
-WITH v AS (SELECT s_nationkey AS k, round(max(s_acctbal), 2) AS v FROM supplier WHERE s_nationkey % 2 = 0 GROUP BY 1),
-g AS (SELECT n_nationkey + 1 AS k, v.v AS dv FROM nation JOIN v ON v.k = n_nationkey WHERE n_nationkey % 2 = 0)
+WITH v AS (SELECT s_nationkey * 2 AS k, round(max(s_acctbal), 2) AS v FROM supplier GROUP BY 1),
+g AS (SELECT n_nationkey + 1 AS k, v.v AS dv FROM nation JOIN v ON v.k = n_nationkey)
 SELECT k, coalesce(v.v, dv) AS v FROM v FULL JOIN g USING (k)""")
 def _(t):
-    values = t.supplier.where("s_nationkey % 2 = 0").groupBy(F.col("s_nationkey").alias("k")).agg(F.round(F.max("s_acctbal"), 2).alias("v"))
-    donors = t.nation.where("n_nationkey % 2 = 0").select((F.col("n_nationkey") + 1).alias("k"), F.col("n_nationkey").alias("donor"))
+    values = t.supplier.groupBy((F.col("s_nationkey") * 2).alias("k")).agg(F.round(F.max("s_acctbal"), 2).alias("v"))
+    donors = t.nation.select((F.col("n_nationkey") + 1).alias("k"), F.col("n_nationkey").alias("donor"))
     return J.donor_fill(values, "k", "v", donors)
 
 
@@ -177,14 +177,14 @@ def _(t):
 
 
 @query("fuzzy_lookup", """
-WITH dim AS (SELECT p_brand, p_name, min(p_partkey) AS clave FROM part WHERE p_size <= 25 GROUP BY 1, 2),
+WITH dim AS (SELECT p_brand, CASE WHEN p_size <= 25 THEN p_name ELSE reverse(p_name) END AS p_name, min(p_partkey) AS clave FROM part GROUP BY 1, 2),
 asked AS (SELECT DISTINCT p_brand, replace(p_name, 'e', 'ee') AS n FROM part),
 s AS (SELECT asked.p_brand, n, dim.p_name AS dn, clave, 1.0e0 - levenshtein(n, dim.p_name) / greatest(length(n), length(dim.p_name)) AS sim FROM asked JOIN dim USING (p_brand)),
 best AS (SELECT *, row_number() OVER (PARTITION BY p_brand, n ORDER BY sim DESC, dn, clave) AS rn FROM s)
 SELECT p.p_partkey, p.p_brand, replace(p.p_name, 'e', 'ee') AS p_name, CASE WHEN sim > 0.75 THEN clave END AS clave, CASE WHEN sim > 0.75 THEN sim END AS similitud
 FROM part p LEFT JOIN best ON best.p_brand = p.p_brand AND best.n = replace(p.p_name, 'e', 'ee') AND rn = 1""")
 def _(t):
-    dim = t.part.where("p_size <= 25").groupBy("p_brand", "p_name").agg(F.min("p_partkey").alias("clave"))
+    dim = t.part.groupBy("p_brand", F.when(F.col("p_size") <= 25, F.col("p_name")).otherwise(F.reverse("p_name")).alias("p_name")).agg(F.min("p_partkey").alias("clave"))
     typos = t.part.select("p_partkey", "p_brand", F.replace("p_name", F.lit("e"), F.lit("ee")).alias("p_name"))
     return M.fuzzy_lookup(typos, dim, "p_name", "p_brand", "clave")
 

@@ -35,7 +35,7 @@ def _budget(t):
         F.concat(F.lit("Concepto "), (F.col("o_custkey") % 4).cast("string")).alias("concepto"), F.round("o_totalprice", -3).alias("monto_modificado"),
     )
     annual = line.withColumnRenamed("concepto", "desc_objeto_del_gasto")
-    quarterly = line.where("monto_modificado > 100000").withColumn("cve_programa", F.concat("id_modalidad", pad_left(F.col("id_pp").cast("string"), 3))).withColumnRenamed("concepto", "desc_concepto")
+    quarterly = line.withColumn("cve_programa", F.concat("id_modalidad", pad_left(F.col("id_pp").cast("string"), 3))).withColumnRenamed("concepto", "desc_concepto")
     return annual, quarterly
 
 
@@ -52,7 +52,7 @@ def _(t):
 def _facts(t):
     """(nivel, nivel_clave, fecha, plot, variable, valor) per customer and year."""
     yearly = t.orders.groupBy(pad_left(F.col("o_custkey").cast("string"), 5).alias("nivel_clave"), F.year("o_orderdate").cast("string").alias("fecha")).agg(
-        F.count(F.lit(1)).cast("string").alias("n"), F.max("o_totalprice").cast("string").alias("maximo"), F.max("o_orderpriority").alias("prioridad")
+        F.count(F.lit(1)).cast("string").alias("n"), F.floor(F.max("o_totalprice")).cast("long").cast("string").alias("maximo"), F.max("o_orderpriority").alias("prioridad")
     )
     long = gather(yearly, "variable", "valor", ["nivel_clave", "fecha"])
     plot = F.when(F.col("variable") == "n", "conteos").otherwise("montos")
@@ -60,7 +60,7 @@ def _facts(t):
 
 
 _FACTS = """f AS (SELECT lpad(CAST(o_custkey AS VARCHAR), greatest(5, CAST(length(CAST(o_custkey AS VARCHAR)) AS INTEGER)), '0') AS nivel_clave, CAST(year(o_orderdate) AS VARCHAR) AS fecha, CAST(count(*) AS VARCHAR) AS n, CAST(max(o_orderpriority) AS VARCHAR) AS prioridad, max(o_totalprice) AS maximo FROM orders GROUP BY 1, 2),
-l AS (SELECT nivel_clave, fecha, 'conteos' AS plot, 'n' AS variable, n AS valor FROM f UNION ALL SELECT nivel_clave, fecha, 'montos', 'prioridad', prioridad FROM f)"""
+l AS (SELECT nivel_clave, fecha, 'conteos' AS plot, 'n' AS variable, n AS valor FROM f UNION ALL SELECT nivel_clave, fecha, 'montos', 'prioridad', prioridad FROM f UNION ALL SELECT nivel_clave, fecha, 'montos', 'maximo', CAST(CAST(floor(maximo) AS BIGINT) AS VARCHAR) FROM f)"""
 
 
 def _dictionary(t):
@@ -106,8 +106,7 @@ _MAP = "map<string,struct<values:map<string,map<string,struct<valor:string>>>>>"
 
 @query("map_document", f"""WITH {_FACTS} SELECT 'm' AS nivel, nivel_clave, plot, fecha AS elemento, variable, valor FROM l""")
 def _(t):
-    facts = _facts(t).where("variable <> 'maximo'")
-    docs = D.map_document(facts, S.plot_info(_plots(t), _dictionary(t)))
+    docs = D.map_document(_facts(t), S.plot_info(_plots(t), _dictionary(t)))
     rows = docs.select("nivel", "nivel_clave", F.explode(F.from_json("values", _MAP)).alias("plot", "p")).select("nivel", "nivel_clave", "plot", F.explode("p.values").alias("elemento", "v"))
     return rows.select("nivel", "nivel_clave", "plot", "elemento", F.explode("v").alias("variable", "l")).select("nivel", "nivel_clave", "plot", "elemento", "variable", F.col("l.valor").alias("valor"))
 
@@ -135,13 +134,24 @@ def _(t):
 
 def _profiles(t):
     facts = _facts(t)
-    return S.place_profiles(facts, facts, facts.where("variable <> 'maximo'"), _dictionary(t), _plots(t))
+    return S.place_profiles(facts, facts, facts, _dictionary(t), _plots(t))
 
 
 @query("place_profiles", f"""
-WITH {_FACTS} SELECT unnest(['perfil_ubicaciones', 'temporal_ubicaciones', 'maps_ubicaciones']) AS tipo, 'm' AS nivel, nivel_clave FROM (SELECT DISTINCT nivel_clave FROM l)""")
-def _(t):
-    return _profiles(t).where(F.length("values") > 2).select("tipo", "nivel", "nivel_clave")
+WITH {_FACTS}, {_DIC}
+SELECT 'perfil_ubicaciones' AS tipo, 'm' AS nivel, nivel_clave, plot, CAST(NULL AS VARCHAR) AS fecha, variable, max(valor) AS valor FROM l JOIN d USING (variable) GROUP BY nivel_clave, plot, variable
+UNION ALL SELECT 'temporal_ubicaciones', 'm', nivel_clave, plot, fecha, variable, valor FROM l JOIN d USING (variable)
+UNION ALL SELECT 'maps_ubicaciones', 'm', nivel_clave, plot, fecha, variable, valor FROM l""")
+def _(t):
+    """Every leaf of the three kinds of documents."""
+    docs = _profiles(t)
+    key = ["tipo", "nivel", "nivel_clave"]
+    kind = lambda name, schema: docs.where(F.col("tipo") == name).select(*key, F.explode(F.from_json("values", schema)).alias("plot", "p"))
+    flat = kind("perfil_ubicaciones", f"map<string,struct<values:map<string,{_LEAF}>>>").select(*key, "plot", F.lit(None).cast("string").alias("fecha"), F.explode("p.values").alias("variable", "l"))
+    series = kind("temporal_ubicaciones", f"map<string,struct<values:map<string,struct<values:map<string,{_LEAF}>>>>>").select(*key, "plot", F.explode("p.values").alias("fecha", "v"))
+    series = series.select(*key, "plot", "fecha", F.explode("v.values").alias("variable", "l"))
+    maps = kind("maps_ubicaciones", _MAP).select(*key, "plot", F.explode("p.values").alias("fecha", "v")).select(*key, "plot", "fecha", F.explode("v").alias("variable", "l"))
+    return flat.unionByName(series).select(*key, "plot", "fecha", "variable", F.col("l.values").alias("valor")).unionByName(maps.select(*key, "plot", "fecha", "variable", F.col("l.valor").alias("valor")))
 
 
 @query("place_profiles_json")
