@@ -205,7 +205,7 @@ def digest(text: bytes, cut: np.ndarray) -> tuple[int, int, int, str]:
 
 
 RESULT = "doc long, tie int, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>"
-MIDDLE = f"{BLOBS}, text binary, cut array<long>, {RESULT}"
+MIDDLE = f"{BLOBS}, to int, text binary, cut array<long>, {RESULT}"
 
 
 def _row(kind: int, bucket: int, doc: int, tie: int, text: bytes, cut: np.ndarray, done: bool) -> dict:
@@ -224,12 +224,14 @@ def _arrow(rows: list[dict], schema: str) -> pa.Table:
 
 def compared(docs: pa.Table, verdicts: pa.Table, depth: int, buckets: int) -> pa.Table:
     """Between passes 2 and 3, one bucket of documents: finished rows (kind 0), rows that wait (kind 1), and what pass 3
-    needs: bytes of runs to compare (kind 2) and single windows of hot digits (kind 3)."""
+    needs, by the bucket it goes ``to``: bytes of runs to compare (kind 2), single windows of hot digits (kind 3), and ranges
+    found to repeat within this bucket (kind 4). All rows bear the documents' bucket, so each task writes one file."""
     known = ranges_by_doc(verdicts)
     rows: list[dict] = []
     runs: list[tuple[int, np.ndarray, bytes]] = []
     hot: list[np.ndarray] = []
-    for doc, tie, bucket, text in zip(*[docs.column(c).to_pylist() for c in ("doc", "tie", "bucket", "text")], strict=True):
+    bucket = docs.column("bucket")[0].as_py() if docs.num_rows else -1
+    for doc, tie, text in zip(*[docs.column(c).to_pylist() for c in ("doc", "tie", "text")], strict=True):
         raw = (text or "").encode()
         own = known.get((doc, tie), np.zeros(0, RANGE))
         full = own[own["kind"] == REPEATED]
@@ -253,16 +255,16 @@ def compared(docs: pa.Table, verdicts: pa.Table, depth: int, buckets: int) -> pa
             own = [runs[i] for i in np.flatnonzero(to == b).tolist()]
             ends = np.array([r for _, r, _ in own], RANGE)
             head = packed(ends)
-            rows.append({"bucket": b, "kind": 2, "n": len(own), "blob": head + b"".join(x for _, _, x in own)})
+            rows.append({"bucket": bucket, "to": b, "kind": 2, "n": len(own), "blob": head + b"".join(x for _, _, x in own)})
     if hot:
         w = np.concatenate(hot)
         w = w[np.lexsort((w["tie"], w["at"], w["doc"], w["code"]))]
         again = np.zeros(len(w), bool)
         again[1:] = (w["code"][1:] == w["code"][:-1]) & ((w["doc"][1:] != w["doc"][:-1]) | (w["at"][1:] != w["at"][:-1]))
         back = window_ranges(w[again], depth)
-        rows += [{"bucket": b, "kind": 4, "n": n, "blob": blob} for b, _, n, blob in deal(back, doc_bucket(back["doc"], back["tie"], buckets), 4)]
+        rows += [{"bucket": bucket, "to": b, "kind": 4, "n": n, "blob": blob} for b, _, n, blob in deal(back, doc_bucket(back["doc"], back["tie"], buckets), 4)]
         w = w[~again]
-        rows += [{"bucket": b, "kind": 3, "n": len(x), "blob": w[x].tobytes()} for b, x in _by(w["code"] % np.uint64(buckets))]
+        rows += [{"bucket": bucket, "to": b, "kind": 3, "n": len(x), "blob": w[x].tobytes()} for b, x in _by(w["code"] % np.uint64(buckets))]
     return _arrow(rows, MIDDLE)
 
 
@@ -349,7 +351,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     name = f"repeats_{uuid4().hex}"
     met.write.option("compression", "zstd").bucketBy(n, "bucket").saveAsTable(name)  # waiting documents stay where they are
     middle = spark.table(name)
-    later = middle.where(F.col("kind") >= 2).select("bucket", "kind", "n", "blob").repartition(n, "bucket").sortWithinPartitions("bucket")
+    later = middle.where(F.col("kind") >= 2).select(F.col("to").alias("bucket"), "kind", "n", "blob").repartition(n, "bucket").sortWithinPartitions("bucket")
     found = settle(later.mapInArrow(lambda b: repeated_windows(b, depth, buckets), BLOBS), "windows")
     waiting = middle.where(F.col("kind") == 1).select("bucket", "doc", "tie", "text", "cut")
     rest = waiting.groupBy("bucket").cogroup(found.groupBy("bucket")).applyInArrow(finished, RESULT)
