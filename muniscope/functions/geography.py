@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -158,9 +157,3 @@ def wkt_to_geojson(wkt) -> Column:
     coords = F.translate(pairs, "()", "[]")
     coords = F.when(kind == "Point", F.regexp_replace(coords, r"^\[(.*)\]$", "$1")).otherwise(coords)
     return F.concat(F.lit('{"type":"'), kind, F.lit('","coordinates":'), coords, F.lit("}"))
-
-
-def degrees_per_km(at_latitude: float = 0.0) -> tuple[float, float]:
-    """(latitude, longitude) degrees spanned by one km."""
-    lat = 360.0 / (2 * math.pi * EARTH_RADIUS_KM)
-    return lat, lat / max(math.cos(math.radians(at_latitude)), 1e-9)

@@ -68,14 +68,21 @@ def pack_blocks(df: DataFrame, keys: Sequence[str], payload: Column, spread: Seq
 
 
 def probe_blocks(probe: DataFrame, packed: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Meet every probe row with every block of its key. Rows are copied once per block, never per item."""
+    """Meet every probe row with every block of its key. Rows are copied once per block, never per item.
+
+    The packed side is the small one: it is copied to as many salts as there are shuffle partitions and probes are salted,
+    so a hot key, or no key at all, is met by all tasks.
+    """
+    salts = partitions(probe)
     if keys:
         counts = packed.groupBy(*keys).agg(F.max("blocks").alias("__nblocks"))
         left = probe.join(counts, list(keys), how)
     else:
         left = probe.withColumn("__nblocks", packed.agg(F.max("blocks")).scalar())
     left = left.withColumn("block", F.explode_outer(F.sequence(F.lit(0), F.col("__nblocks") - 1))).drop("__nblocks")
-    return left.join(packed.drop("blocks"), [*keys, "block"], how)
+    left = left.withColumn("__salt", F.pmod(F.xxhash64(*probe.columns), F.lit(salts)).cast("int"))
+    copies = packed.drop("blocks").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(copies, [*keys, "block", "__salt"], how).drop("__salt")
 
 
 def sort_key(*cols: Column | str) -> Column:

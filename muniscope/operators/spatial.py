@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import product
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geography import degrees_per_km, haversine, wkt_to_geojson
+from ..functions.geography import EARTH_RADIUS_KM, haversine, wkt_to_geojson
 from .scale import pack_blocks, probe_blocks, sorted_parts
 
 
@@ -27,7 +28,8 @@ def idw(
 
     A target on top of a source takes that source's value (the mean if several share the point). Sources
     travel in packed blocks; each target meets each block once and partial sums are added per target, so
-    no target-source pairs are produced and any number of sources works.
+    no target-source pairs are produced. Every target is weighed against every source, as the definition asks: the
+    sources are places of an administrative list (some thousands, whatever the targets' number).
     """
     name = name or value
     known = sources.where(F.col(value).isNotNull() & F.col(lat).isNotNull() & F.col(lon).isNotNull())
@@ -109,23 +111,24 @@ SERVICE_CLASSES = [("61", "Servicios Educativos"), ("62", "Servicios de Salud")]
 
 
 def variogram_bins(
-    df: DataFrame, value: str, width_km: float, max_km: float, lat: str = "lat", lon: str = "lon", max_abs_lat: float = 60.0, block: int = 512
+    df: DataFrame, value: str, width_km: float, max_km: float, lat: str = "lat", lon: str = "lon", block: int = 512
 ) -> DataFrame:
     """(bin, pairs, gamma): mean half squared difference of value over point pairs by distance bin.
 
     Points sharing a position are first reduced to (n, sum, sum of squares), from which all their pairs follow
-    by arithmetic; so copies of a place cost one row. Positions meet only positions of neighbouring cells of
-    ``max_km``. A cell with many positions is cut into blocks that meet block by block and add up their bins
-    inside the array, so pairs are never rows and a crowded cell is spread over many tasks.
-    Latitudes must lie within ``max_abs_lat``; longitudes must not straddle the date line.
+    by arithmetic; so copies of a place cost one row. Positions meet only positions of neighbouring cells: cubes of
+    ``max_km`` around the globe, as a chord is never longer than its arc, so poles and the date line are like any place.
+    A cell with many positions is cut into blocks that meet block by block (both numbers are in the key) and add up
+    their bins inside the array, so pairs are never rows and a crowded cell is spread over many tasks.
     """
-    lat_step, lon_step = (d * max_km for d in degrees_per_km(max_abs_lat))
+    globe = EARTH_RADIUS_KM * 1.001
+    y, x = F.radians("y"), F.radians("x")
+    axes = {"cx": F.cos(y) * F.cos(x), "cy": F.cos(y) * F.sin(x), "cz": F.sin(y)}
     spots = (
         df.where(F.col(value).isNotNull() & F.col(lat).isNotNull() & F.col(lon).isNotNull())
         .groupBy(F.col(lat).cast("double").alias("y"), F.col(lon).cast("double").alias("x"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("s"), F.sum(F.col(value) * F.col(value)).alias("q"))
-        .withColumn("cy", F.floor(F.col("y") / lat_step))
-        .withColumn("cx", F.floor(F.col("x") / lon_step))
+        .withColumns({c: F.floor(a * globe / max_km) for c, a in axes.items()})
     )
     own = spots.where(F.col("n") > 1).select(
         F.lit(0).cast("long").alias("bin"),
@@ -133,12 +136,13 @@ def variogram_bins(
         ((F.col("n") * F.col("q") - F.col("s") * F.col("s")) / 2).alias("half"),
     )
     item = F.struct(F.col("y").cast("double").alias("y"), F.col("x").alias("x"), F.col("n").cast("double").alias("n"), F.col("s").cast("double").alias("s"), F.col("q").cast("double").alias("q"))
-    packed = pack_blocks(spots, ["cy", "cx"], item, ["y", "x"], block)
-    near = F.explode(F.flatten(F.transform(F.array(*[F.lit(i) for i in (-1, 0, 1)]), lambda a: F.transform(F.array(*[F.lit(i) for i in (-1, 0, 1)]), lambda b: F.struct(a.alias("a"), b.alias("b"))))))
-    left = packed.select("cy", "cx", "block", F.col("items").alias("li"), near.alias("o")).select(
-        (F.col("cy") + F.col("o.a")).alias("cy"), (F.col("cx") + F.col("o.b")).alias("cx"), "li"
-    )
-    met = left.join(packed.select("cy", "cx", F.col("items").alias("ri")), ["cy", "cx"])
+    cell = list(axes)
+    packed = pack_blocks(spots, cell, item, ["y", "x"], block)
+    steps = F.array(*[F.struct(*[F.lit(d).alias(c) for c, d in zip(cell, o, strict=True)]) for o in product((-1, 0, 1), repeat=3)])
+    around = packed.select(*cell, "block", F.col("items").alias("li"), F.explode(steps).alias("o")).select(*[(F.col(c) + F.col(f"o.{c}")).alias(c) for c in cell], "block", "li")
+    there = packed.groupBy(*cell).agg(F.max("blocks").alias("n_blocks"))
+    left = around.join(there, cell).withColumn("r_block", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+    met = left.join(packed.select(*cell, F.col("block").alias("r_block"), F.col("items").alias("ri")), [*cell, "r_block"])
     zero = F.transform(F.sequence(F.lit(0), F.lit(int(-(-max_km // width_km)) - 1)), lambda _: F.struct(F.lit(0.0).alias("p"), F.lit(0.0).alias("h")))
 
     def add(acc, p):

@@ -151,6 +151,11 @@ def test_variogram_counts_coincident_points(spark):
     assert rows(S.variogram_bins(df, "v", 30, 90), "bin", "pairs", "gamma") == [(0, 1.0, 2.0), (1, 2.0, 0.5)]
 
 
+def test_variogram_crosses_date_line_and_pole(spark):
+    df = spark.createDataFrame([(10.0, 179.9, 1.0), (10.0, -179.9, 3.0), (89.9, 0.0, 5.0), (89.9, 180.0, 9.0)], "lat double, lon double, v double")
+    assert rows(S.variogram_bins(df, "v", 30, 60, block=1), "bin", "pairs", "gamma") == [(0, 2.0, 5.0)]
+
+
 def test_recode_unlisted_becomes_null(spark):
     df = spark.createDataFrame([(1, "a", "z"), (2, "q", "y")], "id int, x string, w string")
     table = spark.createDataFrame([("t", "x", "nuevo", "a", "10"), ("t", "w", "otro", None, None)], "tabla string, variable_inicial string, variable_final string, valor_inicial string, valor_final string")
