@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # longer methods are never compiled by the JVM: wide rule packs run several times faster without fusing them
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
