@@ -29,6 +29,17 @@ def settle(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_HELD: dict[str, dict] = {}
+
+
+def worker_memory(name: str) -> dict:
+    """What a Python worker keeps between tasks under ``name``. Whatever another operator kept in it is let go first, so
+    one worker's memory never adds up over the operators of a pipeline."""
+    for other in [k for k in _HELD if k != name]:
+        del _HELD[other]
+    return _HELD.setdefault(name, {})
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import sliced, text_bytes
+from .common import sliced, text_bytes, worker_memory
 
 SIZE = 13
 SLICE_CHARS = 32_000_000
@@ -87,9 +87,6 @@ def scan(raw: bytes, tree: ahocorasick.Automaton | None) -> tuple[int, list[tupl
     return len(w), out
 
 
-_TREES: dict[str, ahocorasick.Automaton] = {}
-
-
 def find_windows(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", size: int = SIZE, slice_chars: int = SLICE_CHARS) -> DataFrame:
     """Add ``n_words`` and ``spans`` (first word, words, byte range in the original text, items) to each document.
 
@@ -110,10 +107,11 @@ def _pass(docs: DataFrame, patterns, text: str, schema: str, first: bool) -> Dat
 
     def run(batches):
         key = patterns._path if hasattr(patterns, "_path") else id(patterns)
-        if key not in _TREES:
-            _TREES.clear()
-            _TREES[key] = automaton(patterns.value)
-        tree = _TREES[key]
+        kept = worker_memory("patterns")
+        if key not in kept:
+            kept.clear()
+            kept[key] = automaton(patterns.value)
+        tree = kept[key]
         for batch in sliced(batches, text, 8 << 20):
             raw, ends = text_bytes(batch.column(text))
             whole = raw.tobytes()

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_table, partitions, sliced, span_hashes, strings
+from .common import byte_table, partitions, sliced, span_hashes, strings, worker_memory
 
 LEAST, USUAL, MOST = 16, 40, 160
 STRICT, LOOSE = np.uint32(0xFC000000), np.uint32(0xF0000000)  # 6 and 4 of the bits that see the whole window
@@ -105,6 +105,7 @@ def fingerprint_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema) + ", fingerprint string"
 
     def run(batches):
+        worker_memory("")
         for batch in sliced(batches, text, 2 << 20):
             prints = [to_text(x) for x in fingerprints([t.encode() for t in strings(batch.column(text))])]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(prints, pa.string())], names=[*keep, "fingerprint"])
@@ -156,6 +157,7 @@ def compare_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
             yield from zip(batch.column("run").to_pylist(), batch.column("own").to_pylist(), batch.column("doc_id").to_pylist(), texts, fingerprints([t.encode() for t in texts]), strict=True)
 
     def run(batches):
+        worker_memory("")
         out: list[tuple] = []
         last = None
         held = 0

@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import sliced, text_bytes
+from .common import sliced, text_bytes, worker_memory
 
 WINDOW = 128
 PER_LANG = 300
@@ -56,6 +56,7 @@ def sample_windows(docs: DataFrame, text: str, lang: str, doc_id: str, per_lang:
     picked = texts.join(F.broadcast(chosen), "__id", "left_semi").select("lang", "text")  # per_lang ids a language
 
     def run(batches):
+        worker_memory("")
         for batch in sliced(batches, "text"):
             raw, ends = text_bytes(batch.column("text"))
             langs, rows = [], []
@@ -201,6 +202,7 @@ def identify(docs: DataFrame, model: ByteConvNet | None, text: str = "text") ->
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema) + ", lang_pred string, score double"
 
     def run(batches):
+        worker_memory("")
         for batch in sliced(batches, text, 2 << 20):
             raw, ends = text_bytes(batch.column(text))
             n = batch.num_rows

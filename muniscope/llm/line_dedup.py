@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import M1, mix, powers, settle, sliced, span_hashes, strings, text_bytes
+from .common import M1, mix, powers, settle, sliced, span_hashes, strings, text_bytes, worker_memory
 
 WINDOW, USUAL, LEAST = 3, 4, 2
 FACTORS = powers(int(M1), WINDOW + 1)[1:]
@@ -52,6 +52,7 @@ def chunks(docs: DataFrame) -> DataFrame:
     """doc, tie, at (first line), n (lines), digest of each chunk of several lines. Map-only."""
 
     def run(batches):
+        worker_memory("")
         for batch in sliced(batches, "text"):
             raw, borders = text_bytes(batch.column("text"))
             code, place, before = line_hashes(raw, borders)
@@ -79,6 +80,7 @@ def _texts(marked: DataFrame) -> DataFrame:
     """digest, doc, tie, at, is_first, chunk (its bytes) of each mark."""
 
     def run(batches):
+        worker_memory("")
         for batch in sliced(batches, "text"):
             out = []
             for doc, tie, text, marks in zip(*[batch.column(c).to_pylist() for c in ("doc", "tie", "text", "marks")], strict=True):
@@ -113,6 +115,7 @@ def _without(held: DataFrame, text: str, docs: DataFrame) -> DataFrame:
     kind = held.schema["rest"].dataType.simpleString()
 
     def run(batches):
+        worker_memory("")
         for batch in sliced(batches, "text"):
             out, lines_of, removed_of = [], [], []
             plain = strings(batch.column("text"))

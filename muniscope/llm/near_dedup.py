@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import M1, M2, mix, partitions, settle, sliced, span_hashes, text_bytes
+from .common import M1, M2, mix, partitions, settle, sliced, span_hashes, text_bytes, worker_memory
 from .links import components
 
 REGISTERS, ROWS, MANTISSA = 128, 4, 8
@@ -129,6 +129,7 @@ def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
     def run(batches):
+        worker_memory("")
         for batch in sliced(batches, "text"):
             raw, borders = text_bytes(batch.column("text"))
             code, counts = shingles(raw, borders, shingle)
@@ -165,6 +166,7 @@ def verify(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> Da
     sent = seats.join(texts, "doc_id").repartition(n, "a", "part").sortWithinPartitions("a", "part", "role").select("a", "part", "role", "doc_id", "text")
 
     def run(batches):
+        worker_memory("")
         group, centre = None, []
         for batch in sliced(batches, "text"):
             raw, borders = text_bytes(batch.column("text"))
@@ -192,6 +194,7 @@ def promising(pairs: DataFrame, regs: DataFrame, percent: int) -> DataFrame:
     floor = lowest_estimate(percent)
 
     def run(batches):
+        worker_memory("")
         for batch in batches:
             if batch.num_rows:
                 n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
@@ -234,7 +237,8 @@ def block_links(members: DataFrame, texts: DataFrame, shingle: int, percent: int
     floor = lowest_estimate(percent)
 
     def run(batches):
-        group, held, joined = None, [], {}
+        worker_memory("")
+        group, strays, joined = None, [], {}
         for batch in sliced(batches, "text"):
             raw, borders = text_bytes(batch.column("text"))
             code, counts = shingles(raw, borders, shingle)
@@ -248,11 +252,11 @@ def block_links(members: DataFrame, texts: DataFrame, shingle: int, percent: int
             edges = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 if keys[a] != group:
-                    group, held, joined = keys[a], [], {}
+                    group, strays, joined = keys[a], [], {}
                 split = a + int((role[a:b] == 0).sum())
-                held += [(int(ids[i]), int(comps[i]), int(sizes[i]), regs[i].copy(), sets[i].copy()) for i in range(a, split)]
+                strays += [(int(ids[i]), int(comps[i]), int(sizes[i]), regs[i].copy(), sets[i].copy()) for i in range(a, split)]
                 if b > split:
-                    found += _links(held, ids[split:b], comps[split:b], sizes[split:b], regs[split:b], sets[split:b], int(band[split]), joined, floor, percent)
+                    found += _links(strays, ids[split:b], comps[split:b], sizes[split:b], regs[split:b], sets[split:b], int(band[split]), joined, floor, percent)
             yield pa.RecordBatch.from_arrays([pa.array([min(p) for p in found], pa.int64()), pa.array([max(p) for p in found], pa.int64())], names=["a", "b"])
 
     return sent.mapInArrow(run, "a long, b long").distinct()

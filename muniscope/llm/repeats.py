@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, ranges, run_ends, settle, sliced, text_bytes
+from .common import partitions, ranges, run_ends, settle, sliced, text_bytes, worker_memory
 from .suffixes import Rolling, anchors
 
 DEPTH, DIGIT = 100, 24
@@ -85,6 +85,7 @@ def doc_bucket(doc: np.ndarray, tie: np.ndarray, n: int) -> np.ndarray:
 
 def sent_marks(batches, depth: int, digit: int, buckets: int, hot: int) -> Iterator[pa.RecordBatch]:
     """Pass 1, sending: anchors by the bucket of their digit, and ranges already known to repeat by the bucket of their document."""
+    worker_memory("")
     held, size = [], 0
 
     def flush():

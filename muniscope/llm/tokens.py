@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-from .common import ranges, text_bytes
+from .common import ranges, text_bytes, worker_memory
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 
@@ -106,11 +106,11 @@ def _spaced(raw: np.ndarray, ends: np.ndarray) -> tuple[bytes, np.ndarray]:
     return np.insert(low, at, 32).tobytes(), ends + np.searchsorted(at, ends, "left")
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
-    return _ENCODERS[path] if path in _ENCODERS else _ENCODERS.setdefault(path, WordEncoder(path))
+    kept = worker_memory("tokens")
+    if path not in kept:
+        kept[path] = WordEncoder(path)
+    return kept[path]
 
 
 def with_end(ids: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
