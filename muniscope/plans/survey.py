@@ -12,6 +12,7 @@ from ..functions.numbers import any_in
 from ..operators.aggregates import collapse_max, gap_ratio, weighted_indicator, weighted_table
 from ..operators.joins import natural_left
 from ..operators.rules import run_chunk
+from ..operators.scale import settle
 from .packs import DEPRIVATION, INCOME, poverty_rules
 
 DWELLING = ["fecha_creacion", "folioviv"]
@@ -34,8 +35,11 @@ def _names(pack: Mapping, chunk: str) -> list[str]:
 
 
 def survey_deprivation(people: DataFrame, homes: DataFrame, dwellings: DataFrame, jobs: DataFrame, income: DataFrame) -> DataFrame:
-    """Deprivation flags per person from the five survey tables (after cleaning and recoding)."""
-    members = people.where(F.col("parentesco") != VISITOR)
+    """Deprivation flags per person from the five survey tables (after cleaning and recoding).
+
+    What several packs and their grouped layers read is settled, so each survey table is read once for it.
+    """
+    members = settle(people.where(F.col("parentesco") != VISITOR))
     youngest = members.groupBy("data_date", *HOME).agg(F.min("edad").alias("min_edad"))
     home = youngest.join(homes, ["data_date", *HOME], "left")
     worker = members.join(jobs, ["data_date", *PERSON], "left")
@@ -45,11 +49,11 @@ def survey_deprivation(people: DataFrame, homes: DataFrame, dwellings: DataFrame
     food = run_chunk(home, DEPRIVATION["carencia_alimentaria"], ["i_menores18", "total_ia", "inseguridad_alimentaria", "ic_alimentacion"], HOME)
     services = run_chunk(dwellings, DEPRIVATION["carencia_servicios"], None, DWELLING)
     quality = run_chunk(dwellings, DEPRIVATION["carencia_vivienda"], None, DWELLING)
-    work = run_chunk(worker, DEPRIVATION["trabajo_enigh"], None, PERSON, return_all=True)
+    work = settle(run_chunk(settle(worker), DEPRIVATION["trabajo_enigh"], None, PERSON, return_all=True))
     health = collapse_max(run_chunk(work, DEPRIVATION["carencia_salud"], HEALTH_VARS, PERSON), PERSON, HEALTH_VARS)
     money_vars = _names(DEPRIVATION, "ingresos_enigh")
     money = collapse_max(run_chunk(earner, DEPRIVATION["ingresos_enigh"], None, PERSON), PERSON, money_vars)
-    insured = run_chunk(work.join(money, PERSON, "left"), DEPRIVATION["carencia_seguridad_social"], SECURITY_VARS, PERSON)
+    insured = run_chunk(settle(work.join(money, PERSON, "left")), DEPRIVATION["carencia_seguridad_social"], SECURITY_VARS, PERSON)
     insured = collapse_max(insured, PERSON, SECURITY_VARS).drop("sm_lab", "sm_cv")
     return (
         schooling.join(food, HOME, "left").join(health, PERSON, "left").join(insured, PERSON, "left")
@@ -67,7 +71,7 @@ def registry_deprivation(members: DataFrame, answers: DataFrame, home_answers: D
     def dated(df):
         return df if "fecha_creacion" in df.columns else df.withColumn("fecha_creacion", F.lit("r"))
 
-    people = dated(natural_left(answers, members.drop("fecha_creacion")))
+    people = settle(dated(natural_left(answers, members.drop("fecha_creacion"))))
     home = dated(home_answers)
     ids = ["hogar_id", "person_id"]
     schooling = run_chunk(people, DEPRIVATION["rezago_educativo"], None, ids)
@@ -77,9 +81,9 @@ def registry_deprivation(members: DataFrame, answers: DataFrame, home_answers: D
     services = run_chunk(home, DEPRIVATION["carencia_servicios"], None, ["hogar_id"])
     work = run_chunk(people, DEPRIVATION["trabajo_cuis"], ["trabajo", "pea", "tipo_trab"], ids, return_all=True)
     care = home_answers.select("hogar_id", "c_salud_hoga", "c_salud_hogb")
-    full = run_chunk(work.join(care, "hogar_id", "left"), DEPRIVATION["carencia_salud"], None, ids, return_all=True)
+    full = settle(run_chunk(settle(work.join(care, "hogar_id", "left")), DEPRIVATION["carencia_salud"], None, ids, return_all=True))
     insured = run_chunk(
-        run_chunk(full, DEPRIVATION["ingresos_cuis"], None, ids, return_all=True),
+        settle(run_chunk(full, DEPRIVATION["ingresos_cuis"], None, ids, return_all=True)),
         DEPRIVATION["carencia_seguridad_social"], SECURITY_VARS, ids, return_all=True,
     )
     security = collapse_max(insured, ["hogar_id"], [v for v in SECURITY_VARS if v not in ("sm_lab", "sm_cv")])
@@ -95,10 +99,10 @@ def income_predictors(
     people: DataFrame, homes: DataFrame, dwellings: DataFrame, jobs: DataFrame, summary: DataFrame
 ) -> DataFrame:
     """One row per household with the income predictors, current income and locality."""
-    members = people.where(F.col("parentesco") != VISITOR)
-    worker = members.join(jobs, ["data_date", *PERSON], "left")
+    members = settle(people.where(F.col("parentesco") != VISITOR))
+    worker = settle(members.join(jobs, ["data_date", *PERSON], "left"))
     rooms = dwellings.select(*DWELLING, "total_cuartosdor", "total_personas")
-    housed = members.join(rooms, DWELLING, "left").join(summary.select(*HOME, "remesas"), HOME, "left")
+    housed = settle(members.join(rooms, DWELLING, "left").join(summary.select(*HOME, "remesas"), HOME, "left"))
     equipped = dwellings.drop("data_date").join(homes, DWELLING, "left")
 
     def per_home(df, chunk, skip=()):
