@@ -41,7 +41,7 @@ def _(t):
 
 
 _LEGAL = ", ".join(
-    f"('{i:02d}', {P.FIRST_MUNICIPALITY.get(i, 1)}, {hi})" for i, hi in enumerate(P.LAST_MUNICIPALITY, start=1)
+    f"('{i:02d}', {lo}, {hi})" for i, lo, hi in P.MUNICIPALITIES
 )
 
 

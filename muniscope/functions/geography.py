@@ -12,11 +12,6 @@ from . import col
 EARTH_RADIUS_KM = 6371.0088
 
 
-def as_code_int(c) -> Column:
-    """Text or number to int, null when it is not a whole number. Quotes and blanks are ignored."""
-    return _whole(col(c))
-
-
 def _whole(c: Column) -> Column:
     text = F.trim(F.translate(c.cast("string"), "\"'", ""))
     return F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("int"))

@@ -24,10 +24,6 @@ def round_int(c) -> Column:
     return F.rint(F.trim(col(c).cast("string")).try_cast("double")).try_cast("int")
 
 
-def to_double(c) -> Column:
-    return F.trim(col(c).cast("string")).try_cast("double")
-
-
 def any_in(cols: Sequence, values: Sequence) -> Column:
     """True when any of the columns holds one of the values; nulls never match."""
     wanted = [F.lit(v) for v in values]

@@ -11,21 +11,19 @@ from pyspark.sql import types as T
 from ..functions.numbers import round_int
 from .scale import null_safe
 
-# Highest municipality number of each of the 32 states; numbers start at 1 except where noted.
-LAST_MUNICIPALITY = [
-    11, 5, 9, 11, 38, 10, 123, 67, 17, 39, 46, 81, 84, 125, 125, 113,
-    33, 20, 51, 570, 217, 18, 11, 17, 18, 72, 17, 43, 60, 212, 106, 58,
+# State, first and last municipality number; state 3 has only the listed ones.
+MUNICIPALITIES = [
+    (1, 1, 11), (2, 1, 5), (3, 1, 9), (4, 1, 11), (5, 1, 38), (6, 1, 10), (7, 1, 123), (8, 1, 67),
+    (9, 2, 17), (10, 1, 39), (11, 1, 46), (12, 1, 81), (13, 1, 84), (14, 1, 125), (15, 1, 125), (16, 1, 113),
+    (17, 1, 33), (18, 1, 20), (19, 1, 51), (20, 1, 570), (21, 1, 217), (22, 1, 18), (23, 1, 11), (24, 1, 17),
+    (25, 1, 18), (26, 1, 72), (27, 1, 17), (28, 1, 43), (29, 1, 60), (30, 1, 212), (31, 1, 106), (32, 1, 58),
 ]
-FIRST_MUNICIPALITY = {9: 2}
 LISTED_ONLY = {3: [1, 2, 3, 8, 9]}
 
 
 def legal_ranges(spark) -> DataFrame:
     """Dimension (cve_ent, lo, hi, only) of legal municipality numbers, one row per state."""
-    rows = [
-        (f"{i:02d}", FIRST_MUNICIPALITY.get(i, 1), hi, LISTED_ONLY.get(i))
-        for i, hi in enumerate(LAST_MUNICIPALITY, start=1)
-    ]
+    rows = [(f"{i:02d}", lo, hi, LISTED_ONLY.get(i)) for i, lo, hi in MUNICIPALITIES]
     return spark.createDataFrame(rows, "cve_ent string, lo int, hi int, only array<int>")
 
 

@@ -51,15 +51,6 @@ def safe_names(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
-def flatten_header(levels: Sequence[Sequence[str | None]], sep: str = "_") -> list[str]:
-    """One name per column from stacked header rows; empty and unnamed parts and footnote marks vanish."""
-    out = []
-    for parts in zip(*levels):
-        kept = [p.split("*")[0] for p in parts if p and "Unnamed" not in p]
-        out.append(sep.join(kept))
-    return out
-
-
 def propose_schema(df: DataFrame, all_text: bool = False) -> DataFrame:
     """(column, proposed) from text columns: INT (also for booleans), FLOAT, TIMESTAMP or TEXT. One aggregate."""
     if all_text:

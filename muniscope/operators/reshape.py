@@ -43,8 +43,8 @@ def weeks_long(df: DataFrame, ids: Sequence[str], prefix: str = "sem_", mean_col
 
 
 def spread(df: DataFrame, key: str, value: str, ids: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Long to wide; ``values`` names the wanted keys, so no extra job looks for them."""
-    return df.groupBy(*ids).pivot(key, list(values)).agg(F.first(value, ignorenulls=True))
+    """Long to wide; ``values`` names the wanted keys, so no extra job looks for them. Of repeated keys the largest value counts."""
+    return df.groupBy(*ids).pivot(key, list(values)).agg(F.max(value))
 
 
 def colpivot(

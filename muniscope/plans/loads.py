@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.geography import geo_key
 from ..functions.text import digits_or_null, pad_left
 from ..operators.documents import pack_json
-from ..operators.quality import drop_blank_rows, drop_exact_duplicates, nullify_sentinels, safe_names, stamp
+from ..operators.quality import drop_blank_rows, drop_exact_duplicates, nullify_sentinels, stamp
 from ..operators.reshape import gather, months_long, rename_regex, weeks_long
 from ..operators.windows import fill_down
 from .registry import preparer
@@ -50,6 +50,12 @@ def grain_prices(df: DataFrame, order: str) -> DataFrame:
     return weeks_long(filled, ids)
 
 
+@preparer("precios_granos")
+def precios_granos(df: DataFrame) -> DataFrame:
+    """``grain_prices`` in the order of the file's rows."""
+    return grain_prices(df.withColumn("__row", F.monotonically_increasing_id()), "__row").drop("__row")
+
+
 @preparer("asm")
 def asm(df: DataFrame) -> DataFrame:
     """Column names trimmed and lower-cased."""
@@ -79,7 +85,3 @@ def coneval_municipios(df: DataFrame) -> DataFrame:
     return out.withColumns(
         {"Clave de entidad": pad_left(F.trim("Clave de entidad"), 2), "Clave de municipio": pad_left(F.trim("Clave de municipio"), 5)}
     )
-
-
-def named_safely(df: DataFrame) -> DataFrame:
-    return safe_names(df)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import pad_left
-from ..functions.dates import age_band, data_date_to_date, first_of_month, month_number, parse_es_month
+from ..functions.dates import data_date_to_date, first_of_month, month_number, parse_es_month
 from ..functions.numbers import row_sum
 from ..operators.aggregates import density, event_rate, population_pyramid, rate_per_100k
 from ..operators.joins import assemble
@@ -56,9 +56,12 @@ EMPLOYED = [10, 11, 12, 13, 14, 15, 16]
 def census_indicators(profiles: DataFrame, key: str = "cve_muni") -> DataFrame:
     """Population shares, floating population, migration, gaps and pyramid per municipality.
 
-    ``profiles`` is the cleaned census table. Everything but the pyramid comes from one aggregate over it;
+    ``profiles`` is the cleaned census table. Commuters are told by comparing municipality keys, so ``key`` must be one
+    (states: sum the result's numbers up). Everything but the pyramid comes from one aggregate over it;
     the pyramid is a second one.
     """
+    if key != "cve_muni":
+        raise ValueError("census indicators are by municipality")
     unpaid = row_sum([f"acti_sin_pago{i}" for i in range(1, 9)], skip_null=False)
     school = F.concat(pad_left("ent_pais_asi", 2), pad_left("mun_asi", 3))
     work = F.concat(pad_left("ent_pais_trab", 2), pad_left("mun_trab", 3))
@@ -147,7 +150,3 @@ def assemble_matrix(threats: Sequence[DataFrame], vulnerabilities: Sequence[Data
     """Threat, vulnerability and capacity inputs side by side, one row per place of the first threat table."""
     base, *rest = [*threats, *vulnerabilities, *capacities]
     return assemble(base, rest, key)
-
-
-def age_groups(df: DataFrame, age: str, width: int = 5, top: int = 75) -> DataFrame:
-    return df.withColumn("grupo_edad", age_band(age, width, top))

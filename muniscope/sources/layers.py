@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..operators.quality import stamp
@@ -22,8 +21,8 @@ def scan_layer(spark: SparkSession, root: str, layer: str, name: str, fallback:
     """Read a layer table; when it does not exist read the ``fallback`` layer's table unchanged."""
     try:
         return spark.read.parquet(layer_path(root, layer, name))
-    except AnalysisException:
-        if fallback is None or fallback == layer:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND" or fallback is None or fallback == layer:
             raise
         return spark.read.parquet(layer_path(root, fallback, name))
 
@@ -72,11 +71,6 @@ def publish(df: DataFrame, targets: Sequence[str]) -> None:
         kept.unpersist()
 
 
-def loaded_periods(spark: SparkSession, path: str) -> DataFrame:
-    """Periods present in a period-partitioned table (partition listing only)."""
-    return spark.read.parquet(path).select(F.col("data_date").cast("string")).distinct()
-
-
 def checkpoint_root(spark: SparkSession) -> str | None:
     """Shared folder the cluster names for checkpoints."""
     return spark.conf.get("spark.checkpoint.dir", None)
