@@ -1,16 +1,17 @@
-"""Repeated runs of lines, by content-defined chunks.
+"""Repeated runs of lines, by windows of lines.
 
-A rolling hash over the last ``WINDOW`` line hashes ends a chunk where it falls into one of ``USUAL`` residues, so a
-boundary depends on a few lines before it only and inserted lines move no boundary far from them. Chunks of at least
-``LEAST`` lines that occur more than once in the corpus (by their digest) are compared byte by byte with the first
-occurrence (smallest doc_id, then first line); equal ones are removed from every later place.
+Every window of ``LEAST`` lines that also occurs earlier in the corpus (by its digest; smallest doc_id, then first line) is
+compared byte by byte with that first occurrence; where they are equal, all of its lines are removed. A run of any length
+is the union of its windows, so it goes whole wherever it starts and whatever lies around it. A window that overlaps its
+own first occurrence is not a later one. A single line that repeats between other neighbours is no run and stays.
 
-Texts meet their marks in one shuffle and are settled; a chunk's occurrences meet the first one in a join that can be
-split, so a chunk that a third of all documents share is no one task's work.
+Texts meet their marks in one shuffle and are settled; a window's occurrences meet the first one in a join that can be
+split, so a window that a third of all documents share is no one task's work.
 
 Defined cases: lines end at ``\\n``; null text stays null, empty text stays empty; rows that repeat a doc_id are one document
-(chunks of equal start are not later ones); a null doc_id comes first; other columns pass through, and
+(windows of equal start are not later ones); a null doc_id comes first; other columns pass through, and
 ``n_lines``/``n_removed_lines`` replace columns of that name. A document that loses all of its lines has empty text.
+``chunk_ends`` is the content-defined cut of lines that was used before; plain versions in the tests still compare with it.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import M1, mix, powers, settle, sliced, span_hashes, strings, text_bytes, worker_memory
+from .common import M1, mix, powers, ranges, settle, sliced, strings, text_bytes, worker_memory
 
 WINDOW, USUAL, LEAST = 3, 4, 2
 FACTORS = powers(int(M1), WINDOW + 1)[1:]
@@ -39,45 +40,39 @@ def chunk_ends(lines: np.ndarray) -> np.ndarray:
     return ends if len(ends) and ends[-1] == n else np.append(ends, n)
 
 
-def line_hashes(raw: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, start and end of every line of texts that lie one behind the other, and (as the last item) lines before each text."""
+def line_places(raw: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every line of texts that lie one behind the other, and lines before each text."""
     breaks = np.flatnonzero(raw == 10)
     starts = np.sort(np.concatenate([borders[:-1], breaks + 1]), kind="stable")
     ends = np.sort(np.concatenate([breaks, borders[1:]]), kind="stable")
     before = np.concatenate([[0], np.cumsum(1 + np.searchsorted(breaks, borders[1:]) - np.searchsorted(breaks, borders[:-1]))])
-    return span_hashes(raw, starts, ends, seed=3), np.stack([starts, ends]), before
+    return starts, ends, before
 
 
-def chunks(docs: DataFrame) -> DataFrame:
-    """doc, tie, at (first line), n (lines), digest of each chunk of several lines. Map-only."""
+def windows(docs: DataFrame) -> DataFrame:
+    """doc, tie, at (first line), digest of each window of lines. Map-only."""
 
     def run(batches):
         worker_memory("")
         for batch in sliced(batches, "text"):
             raw, borders = text_bytes(batch.column("text"))
-            code, place, before = line_hashes(raw, borders)
+            starts, ends, before = line_places(raw, borders)
             whole = raw.tobytes()
-            which, at, size, digest = [], [], [], []
-            for i, (a, b) in enumerate(zip(before[:-1].tolist(), before[1:].tolist(), strict=True)):
-                last = 0
-                for end in chunk_ends(code[a:b]).tolist():
-                    if end - last >= LEAST:
-                        which.append(i)
-                        at.append(last)
-                        size.append(end - last)
-                        digest.append(hashlib.blake2b(whole[place[0, a + last] : place[1, a + end - 1]], digest_size=16).digest())
-                    last = end
-            rows = pa.array(which, pa.int64())
+            many = np.maximum(np.diff(before) - LEAST + 1, 0)
+            first = ranges(before[:-1], many)
+            digest = [hashlib.blake2b(whole[a:b], digest_size=16).digest() for a, b in zip(starts[first].tolist(), ends[first + LEAST - 1].tolist(), strict=True)]
+            which = np.repeat(np.arange(batch.num_rows), many)
+            rows = pa.array(which)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc").take(rows), batch.column("tie").take(rows), pa.array(at, pa.int32()), pa.array(size, pa.int32()), pa.array(digest, pa.binary())],
-                names=["doc", "tie", "at", "n", "digest"],
+                [batch.column("doc").take(rows), batch.column("tie").take(rows), pa.array((first - before[which]).astype(np.int32)), pa.array(digest, pa.binary())],
+                names=["doc", "tie", "at", "digest"],
             )
 
-    return docs.select("doc", "tie", "text").mapInArrow(run, "doc long, tie int, at int, n int, digest binary")
+    return docs.select("doc", "tie", "text").mapInArrow(run, "doc long, tie int, at int, digest binary")
 
 
 def _texts(marked: DataFrame) -> DataFrame:
-    """digest, doc, tie, at, is_first, chunk (its bytes) of each mark."""
+    """digest, doc, tie, at, is_first, window (its bytes) of each mark."""
 
     def run(batches):
         worker_memory("")
@@ -85,28 +80,29 @@ def _texts(marked: DataFrame) -> DataFrame:
             out = []
             for doc, tie, text, marks in zip(*[batch.column(c).to_pylist() for c in ("doc", "tie", "text", "marks")], strict=True):
                 lines = (text or "").split("\n")
-                out += [(m["digest"], doc, tie, m["at"], m["is_first"], "\n".join(lines[m["at"] : m["at"] + m["n"]])) for m in marks]
+                out += [(m["digest"], doc, tie, m["at"], m["is_first"], "\n".join(lines[m["at"] : m["at"] + LEAST])) for m in marks]
             cols = list(zip(*out, strict=True)) or [()] * 6
             kinds = (pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["digest", "doc", "tie", "at", "is_first", "chunk"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["digest", "doc", "tie", "at", "is_first", "window"])
 
-    return marked.select("doc", "tie", "text", "marks").mapInArrow(run, "digest binary, doc long, tie int, at int, is_first boolean, chunk string")
+    return marked.select("doc", "tie", "text", "marks").mapInArrow(run, "digest binary, doc long, tie int, at int, is_first boolean, window string")
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with repeated chunks taken out of ``text``, and n_lines, n_removed_lines."""
+    """The documents with repeated runs of lines taken out of ``text``, and n_lines, n_removed_lines."""
     rest = [c for c in docs.columns if c not in (text, "n_lines", "n_removed_lines")]
     body = F.coalesce(F.col(text), F.lit(""))
     keyed = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(MISSING)).alias("doc"), F.hash(body).alias("tie"), F.col(text).alias("text"), F.struct(*rest).alias("rest"))
-    found = settle(chunks(keyed), "chunks")
-    firsts = found.groupBy("digest").agg(F.min(F.struct("doc", "at")).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1")
-    repeated = settle(firsts.select("digest", F.col("first.doc").alias("first_doc"), F.col("first.at").alias("first_at")), "repeated")
-    is_first = (F.col("doc") == F.col("first_doc")) & (F.col("at") == F.col("first_at"))
-    marks = found.join(repeated, "digest").groupBy("doc", "tie").agg(F.collect_set(F.struct("at", "n", "digest", is_first.alias("is_first"))).alias("marks"))
+    found = settle(windows(keyed), "windows")
+    firsts = found.groupBy("digest").agg(F.min(F.struct("doc", "at", "tie")).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1")
+    repeated = settle(firsts.select("digest", *[F.col("first")[c].alias(f"first_{c}") for c in ("doc", "at", "tie")]), "repeated")
+    overlaps = (F.col("tie") == F.col("first_tie")) & (F.col("at") < F.col("first_at") + LEAST)
+    is_first = (F.col("doc") == F.col("first_doc")) & ((F.col("at") == F.col("first_at")) | overlaps)
+    marks = found.join(repeated, "digest").groupBy("doc", "tie").agg(F.collect_set(F.struct("at", "digest", is_first.alias("is_first"))).alias("marks"))
     held = settle(keyed.join(marks, ["doc", "tie"], "left"), "marked")
-    texts = settle(_texts(held.where(F.col("marks").isNotNull())), "chunk-texts")
-    first_texts = texts.where("is_first").groupBy("digest").agg(F.min("chunk").alias("first_chunk"))
-    differing = texts.where("NOT is_first").join(settle(first_texts, "first-texts"), "digest").where(F.col("chunk") != F.col("first_chunk"))
+    texts = settle(_texts(held.where(F.col("marks").isNotNull())), "window-texts")
+    first_texts = texts.where("is_first").groupBy("digest").agg(F.min("window").alias("first_window"))
+    differing = texts.where("NOT is_first").join(settle(first_texts, "first-texts"), "digest").where(F.col("window") != F.col("first_window"))
     spared = settle(differing.groupBy("doc", "tie").agg(F.collect_set("at").alias("spared")), "spared")  # as good as always empty
     return _without(held.join(spared, ["doc", "tie"], "left"), text, docs)
 
@@ -122,12 +118,12 @@ def _without(held: DataFrame, text: str, docs: DataFrame) -> DataFrame:
             for body, marks, spared in zip(plain, batch.column("marks").to_pylist(), batch.column("spared").to_pylist(), strict=True):
                 lines = body.split("\n")
                 gone = [m for m in marks or () if not m["is_first"] and m["at"] not in (spared or ())]
+                keep = np.ones(len(lines), bool)
+                for m in gone:
+                    keep[m["at"] : m["at"] + LEAST] = False
                 lines_of.append(len(lines))
-                removed_of.append(sum(m["n"] for m in gone))
+                removed_of.append(len(lines) - int(keep.sum()))
                 if gone:
-                    keep = np.ones(len(lines), bool)
-                    for m in gone:
-                        keep[m["at"] : m["at"] + m["n"]] = False
                     body = "\n".join(lines[i] for i in np.flatnonzero(keep))
                 out.append(body)
             new = pa.array(out, pa.string())
