@@ -16,7 +16,8 @@ different runs is not gathered in pass 3: its windows are dealt by their own has
 
 Defined cases: null text is empty; texts shorter than ``depth`` lose nothing; a null doc_id comes first; rows that repeat
 a doc_id are one document, in which windows of equal start do not see each other (fully repeated rows get equal
-results); an empty table gives no rows; other columns are ignored.
+results); an empty table gives no rows; other columns are ignored. A text may have any length
+that a task's memory holds; arrays of several 8-byte numbers for each of its bytes are kept while it is scanned.
 """
 
 from __future__ import annotations
