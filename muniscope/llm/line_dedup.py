@@ -1,17 +1,24 @@
-"""Repeated runs of lines, by windows of lines.
-
-Every window of ``LEAST`` lines that also occurs earlier in the corpus (by its digest; smallest doc_id, then first line) is
-compared byte by byte with that first occurrence; where they are equal, all of its lines are removed. A run of any length
-is the union of its windows, so it goes whole wherever it starts and whatever lies around it. A window that overlaps its
-own first occurrence is not a later one. A single line that repeats between other neighbours is no run and stays.
-
-Texts meet their marks in one shuffle and are settled; a window's occurrences meet the first one in a join that can be
-split, so a window that a third of all documents share is no one task's work.
-
-Defined cases: lines end at ``\\n``; null text stays null, empty text stays empty; rows that repeat a doc_id are one document
-(windows of equal start are not later ones); a null doc_id comes first; other columns pass through, and
+"""Repeated runs of lines, by content-defined chunks of lines.
+
+Rolling hashes over line hashes cut each text into chunks, in several cuts at once. The coarse cut puts a boundary behind a
+line where the rolling hash over the last ``WINDOW`` lines is a multiple of ``USUAL``: long chunks, whose first lines still
+depend on what stands before them. Each of the ``CUTS`` fine cuts rolls over one line: a salted hash makes every line high or
+low, and there is a boundary everywhere but between a high line and a low one behind it. Whether two lines are a chunk of a
+fine cut depends on these two lines alone, so shifted text and foreign neighbours never move its borders. Two further fine
+cuts pair off a line that is repeated behind itself, from the start and from the end of its repetitions.
+
+Every chunk of ``LEAST`` lines or more, of any cut, that also occurs earlier in the corpus (by its digest; smallest doc_id,
+then first line) is compared byte by byte with that first occurrence; where they are equal, all of its lines are removed. A
+repeated run goes as the union of its chunks. Two unlike neighbours are a chunk of some fine cut with a chance of
+1 - 0.75 ** CUTS (0.9999). A single line that repeats between other neighbours stays, by method. A chunk that overlaps its
+own first occurrence is not a later one.
+
+Texts meet their marks in one shuffle and are settled; a chunk's occurrences meet the first one in a join that can be
+split, so a chunk that a third of all documents share is no one task's work.
+
+Defined cases: lines end at ``\n``; null text stays null, empty text stays empty; rows that repeat a doc_id are one document
+(chunks of equal start are not later ones); a null doc_id comes first; other columns pass through, and
 ``n_lines``/``n_removed_lines`` replace columns of that name. A document that loses all of its lines has empty text.
-``chunk_ends`` is the content-defined cut of lines that was used before; plain versions in the tests still compare with it.
 """
 
 from __future__ import annotations
@@ -23,14 +30,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import M1, mix, powers, ranges, settle, sliced, strings, text_bytes, worker_memory
+from .common import M1, mix, powers, run_ends, settle, sliced, span_hashes, strings, text_bytes, worker_memory
 
 WINDOW, USUAL, LEAST = 3, 4, 2
+CUTS = 32
 FACTORS = powers(int(M1), WINDOW + 1)[1:]
+SALTS = mix(np.arange(1, CUTS + 1, dtype=np.uint64)) | np.uint64(1)
 MISSING = -(2**63)
 
 
-def chunk_ends(lines: np.ndarray) -> np.ndarray:
+def coarse_ends(lines: np.ndarray) -> np.ndarray:
     """Number of lines before each chunk's end. ``lines``: hashes of the text's lines."""
     n = len(lines)
     rolled = np.zeros(n, np.uint64)
@@ -40,6 +49,28 @@ def chunk_ends(lines: np.ndarray) -> np.ndarray:
     return ends if len(ends) and ends[-1] == n else np.append(ends, n)
 
 
+def fine_starts(lines: np.ndarray) -> np.ndarray:
+    """First lines of the two-line chunks of all fine cuts."""
+    joined = np.zeros(max(len(lines) - 1, 0), bool)
+    for salt in SALTS:
+        high = mix(lines * salt) >> np.uint64(63) == 1
+        joined |= high[:-1] & ~high[1:]
+    first, many = run_ends(lines)  # a line that follows itself: pairs from the start and from the end of such a run
+    place = np.arange(len(lines)) - np.repeat(first, many)
+    left = np.repeat(many, many) - place
+    return np.flatnonzero(joined | ((left > 1) & ((place % 2 == 0) | (left % 2 == 0)))[:-1])
+
+
+def chunks(lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First line and number of lines of each chunk of ``LEAST`` lines or more, over all cuts; each once."""
+    ends = coarse_ends(lines)
+    begins = np.concatenate([[0], ends[:-1]])
+    fine = fine_starts(lines)
+    long = (ends - begins > LEAST) | ((ends - begins == LEAST) & ~np.isin(begins, fine))
+    starts, sizes = np.concatenate([fine, begins[long]]), np.concatenate([np.full(len(fine), LEAST), (ends - begins)[long]])
+    return starts.astype(np.int64), sizes.astype(np.int64)
+
+
 def line_places(raw: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every line of texts that lie one behind the other, and lines before each text."""
     breaks = np.flatnonzero(raw == 10)
@@ -49,30 +80,36 @@ def line_places(raw: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, before
 
 
-def windows(docs: DataFrame) -> DataFrame:
-    """doc, tie, at (first line), digest of each window of lines. Map-only."""
+def found_chunks(docs: DataFrame) -> DataFrame:
+    """doc, tie, at (first line), n (lines), digest of each chunk. Map-only."""
 
     def run(batches):
         worker_memory("")
         for batch in sliced(batches, "text"):
             raw, borders = text_bytes(batch.column("text"))
             starts, ends, before = line_places(raw, borders)
+            codes = span_hashes(raw, starts, ends, seed=3)
             whole = raw.tobytes()
-            many = np.maximum(np.diff(before) - LEAST + 1, 0)
-            first = ranges(before[:-1], many)
-            digest = [hashlib.blake2b(whole[a:b], digest_size=16).digest() for a, b in zip(starts[first].tolist(), ends[first + LEAST - 1].tolist(), strict=True)]
-            which = np.repeat(np.arange(batch.num_rows), many)
+            which, first, many = [], [], []
+            for i in range(batch.num_rows):
+                at, n = chunks(codes[before[i] : before[i + 1]])
+                which.append(np.full(len(at), i))
+                first.append(at)
+                many.append(n)
+            which, first, many = (np.concatenate(x).astype(np.int64) for x in (which, first, many))
+            top = before[which] + first
+            digest = [hashlib.blake2b(whole[a:b], digest_size=16).digest() for a, b in zip(starts[top].tolist(), ends[top + many - 1].tolist(), strict=True)]
             rows = pa.array(which)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc").take(rows), batch.column("tie").take(rows), pa.array((first - before[which]).astype(np.int32)), pa.array(digest, pa.binary())],
-                names=["doc", "tie", "at", "digest"],
+                [batch.column("doc").take(rows), batch.column("tie").take(rows), pa.array(first.astype(np.int32)), pa.array(many.astype(np.int32)), pa.array(digest, pa.binary())],
+                names=["doc", "tie", "at", "n", "digest"],
             )
 
-    return docs.select("doc", "tie", "text").mapInArrow(run, "doc long, tie int, at int, digest binary")
+    return docs.select("doc", "tie", "text").mapInArrow(run, "doc long, tie int, at int, n int, digest binary")
 
 
 def _texts(marked: DataFrame) -> DataFrame:
-    """digest, doc, tie, at, is_first, window (its bytes) of each mark."""
+    """digest, doc, tie, at, n, is_first, chunk (its bytes) of each mark."""
 
     def run(batches):
         worker_memory("")
@@ -80,12 +117,12 @@ def _texts(marked: DataFrame) -> DataFrame:
             out = []
             for doc, tie, text, marks in zip(*[batch.column(c).to_pylist() for c in ("doc", "tie", "text", "marks")], strict=True):
                 lines = (text or "").split("\n")
-                out += [(m["digest"], doc, tie, m["at"], m["is_first"], "\n".join(lines[m["at"] : m["at"] + LEAST])) for m in marks]
-            cols = list(zip(*out, strict=True)) or [()] * 6
-            kinds = (pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["digest", "doc", "tie", "at", "is_first", "window"])
+                out += [(m["digest"], doc, tie, m["at"], m["n"], m["is_first"], "\n".join(lines[m["at"] : m["at"] + m["n"]])) for m in marks]
+            cols = list(zip(*out, strict=True)) or [()] * 7
+            kinds = (pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["digest", "doc", "tie", "at", "n", "is_first", "chunk"])
 
-    return marked.select("doc", "tie", "text", "marks").mapInArrow(run, "digest binary, doc long, tie int, at int, is_first boolean, window string")
+    return marked.select("doc", "tie", "text", "marks").mapInArrow(run, "digest binary, doc long, tie int, at int, n int, is_first boolean, chunk string")
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -93,17 +130,17 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     rest = [c for c in docs.columns if c not in (text, "n_lines", "n_removed_lines")]
     body = F.coalesce(F.col(text), F.lit(""))
     keyed = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(MISSING)).alias("doc"), F.hash(body).alias("tie"), F.col(text).alias("text"), F.struct(*rest).alias("rest"))
-    found = settle(windows(keyed), "windows")
+    found = settle(found_chunks(keyed), "chunks")
     firsts = found.groupBy("digest").agg(F.min(F.struct("doc", "at", "tie")).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1")
     repeated = settle(firsts.select("digest", *[F.col("first")[c].alias(f"first_{c}") for c in ("doc", "at", "tie")]), "repeated")
-    overlaps = (F.col("tie") == F.col("first_tie")) & (F.col("at") < F.col("first_at") + LEAST)
+    overlaps = (F.col("tie") == F.col("first_tie")) & (F.col("at") < F.col("first_at") + F.col("n"))
     is_first = (F.col("doc") == F.col("first_doc")) & ((F.col("at") == F.col("first_at")) | overlaps)
-    marks = found.join(repeated, "digest").groupBy("doc", "tie").agg(F.collect_set(F.struct("at", "digest", is_first.alias("is_first"))).alias("marks"))
+    marks = found.join(repeated, "digest").groupBy("doc", "tie").agg(F.collect_set(F.struct("at", "n", "digest", is_first.alias("is_first"))).alias("marks"))
     held = settle(keyed.join(marks, ["doc", "tie"], "left"), "marked")
-    texts = settle(_texts(held.where(F.col("marks").isNotNull())), "window-texts")
-    first_texts = texts.where("is_first").groupBy("digest").agg(F.min("window").alias("first_window"))
-    differing = texts.where("NOT is_first").join(settle(first_texts, "first-texts"), "digest").where(F.col("window") != F.col("first_window"))
-    spared = settle(differing.groupBy("doc", "tie").agg(F.collect_set("at").alias("spared")), "spared")  # as good as always empty
+    texts = settle(_texts(held.where(F.col("marks").isNotNull())), "chunk-texts")
+    first_texts = texts.where("is_first").groupBy("digest").agg(F.min("chunk").alias("first_chunk"))
+    differing = texts.where("NOT is_first").join(settle(first_texts, "first-texts"), "digest").where(F.col("chunk") != F.col("first_chunk"))
+    spared = settle(differing.groupBy("doc", "tie").agg(F.collect_set(F.struct("at", "n")).alias("spared")), "spared")  # as good as always empty
     return _without(held.join(spared, ["doc", "tie"], "left"), text, docs)
 
 
@@ -117,10 +154,10 @@ def _without(held: DataFrame, text: str, docs: DataFrame) -> DataFrame:
             plain = strings(batch.column("text"))
             for body, marks, spared in zip(plain, batch.column("marks").to_pylist(), batch.column("spared").to_pylist(), strict=True):
                 lines = body.split("\n")
-                gone = [m for m in marks or () if not m["is_first"] and m["at"] not in (spared or ())]
+                gone = [m for m in marks or () if not m["is_first"] and {"at": m["at"], "n": m["n"]} not in (spared or ())]
                 keep = np.ones(len(lines), bool)
                 for m in gone:
-                    keep[m["at"] : m["at"] + LEAST] = False
+                    keep[m["at"] : m["at"] + m["n"]] = False
                 lines_of.append(len(lines))
                 removed_of.append(len(lines) - int(keep.sum()))
                 if gone:

@@ -57,21 +57,22 @@ def repeats(rows, depth=100):
 
 def lines(rows):
     """Number of lines, removed lines and the text left."""
-    seen, out = set(), {}
+    held = {}
     for i, t in rows:
         each = (t or "").split("\n")
         code = np.array([span_hashes(np.frombuffer(x.encode(), np.uint8), np.array([0]), np.array([len(x.encode())]), seed=3)[0] for x in each], np.uint64)
-        last, keep, gone = 0, [], 0
-        for end in line_dedup.chunk_ends(code).tolist():
-            chunk = "\n".join(each[last:end])
-            if end - last >= 2 and chunk in seen:
-                gone += end - last
-            else:
-                keep += each[last:end]
-                if end - last >= 2:
-                    seen.add(chunk)
-            last = end
-        out[i] = (len(each), gone, "\n".join(keep))
+        held[i] = each, [(k, "\n".join(each[k : k + n]), n) for k, n in zip(*[x.tolist() for x in line_dedup.chunks(code)], strict=True)]
+    first, out = {}, {}
+    for i, (_, own) in held.items():
+        for k, chunk, _ in sorted(own):
+            first.setdefault(chunk, (i, k))
+    for i, (each, own) in held.items():
+        gone = set()
+        for k, chunk, n in own:
+            doc, at = first[chunk]
+            if doc != i or k >= at + n:
+                gone |= set(range(k, k + n))
+        out[i] = (len(each), len(gone), "\n".join(x for k, x in enumerate(each) if k not in gone))
     return out
 
 

@@ -141,5 +141,8 @@ def test_line_boundaries_resist_shifts():
     rng = np.random.default_rng(1)
     code = rng.integers(0, 2**63, 400).astype(np.uint64)
     moved = np.concatenate([rng.integers(0, 2**63, 7).astype(np.uint64), code])
-    own, other = set(line_dedup.chunk_ends(code).tolist()), {e - 7 for e in line_dedup.chunk_ends(moved).tolist()}
+    own, other = set(line_dedup.coarse_ends(code).tolist()), {e - 7 for e in line_dedup.coarse_ends(moved).tolist()}
     assert {e for e in own if e > 2} == {e for e in other if e > 2}
+    assert {(a, n) for a, n in zip(*line_dedup.chunks(code), strict=True) if n == 2} <= {(a - 7, n) for a, n in zip(*line_dedup.chunks(moved), strict=True)}
+    assert len(line_dedup.fine_starts(code)) >= 398
+    assert len(line_dedup.coarse_ends(code)) > 60 and len(line_dedup.fine_starts(code[:1])) == 0
