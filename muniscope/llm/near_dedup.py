@@ -15,9 +15,12 @@ linked, or known to lie in one component, or rejected by estimate or by full set
 
 At similarity 0.8, a pair shares no band with a chance of 5e-8; the estimate rejects it with one of about 1e-6.
 
+Words of more than ``LONG_WORD`` bytes are hashed by blake2b: sums of powers modulo 2**64 give equal values for long words
+of a certain form.
+
 Defined cases: null, empty and word-free texts have an empty set and are linked with nothing; a row without id takes no
-part and is kept, with a null component; rows of one id are one document, linked by any of its rows; equal texts are linked
-if they have words; other columns are ignored.
+part and is kept, with a null component; rows that share an id are documents of their own, each linked by its text, and a
+component's id is the smallest id in it; equal texts are linked if they have words; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,6 +39,7 @@ from .links import components
 REGISTERS, ROWS, MANTISSA = 128, 4, 8
 SLACK = 5.0  # standard deviations below the threshold that still get verified
 MEMBERS, STRAYS, GROUP = 512, 256, 100
+LONG_WORD = 64
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
@@ -56,6 +60,8 @@ def shingles(raw: np.ndarray, borders: np.ndarray, shingle: int = 2) -> tuple[np
     end[inner - 1] = solid[inner - 1]
     starts, ends = np.flatnonzero(begin), np.flatnonzero(end) + 1
     word = span_hashes(low, starts, ends, seed=5)
+    for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+        word[i] = int.from_bytes(hashlib.blake2b(low[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
     first = np.searchsorted(starts, borders)
     n_words = np.diff(first)
     doc = np.repeat(np.arange(len(n_words)), n_words)
@@ -124,9 +130,14 @@ def estimate(agree: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
     return (agree / REGISTERS - c) / (1 - c)
 
 
+def with_digest(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """doc_id, text (null as empty), digest of the text."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("text"), F.substring(F.unhex(F.sha2(body, 256)), 1, 16).alias("digest"))
+
+
 def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 2) -> DataFrame:
-    """One narrow row a document: doc_id, n_shingles, digest (of the text's bytes), registers, bands. Map-only."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    """One narrow row a document: doc_id, n_shingles, digest (of the text), registers, bands. Map-only."""
 
     def run(batches):
         worker_memory("")
@@ -138,18 +149,16 @@ def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
             words = np.ascontiguousarray(regs).view(np.uint64).reshape(len(regs), -1) if len(regs) else np.zeros((0, REGISTERS // 4), np.uint64)
             bands = mix(mix(words) + np.arange(words.shape[1], dtype=np.uint64) * M1).view(np.int64) if len(regs) else np.zeros((0, REGISTERS // ROWS), np.int64)
             where = np.cumsum(full) - 1
-            whole = raw.tobytes()
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), pa.array(counts, pa.int64()),
-                    pa.array([hashlib.blake2b(whole[a:b], digest_size=16).digest() for a, b in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True)], pa.binary()),
+                    batch.column("doc_id"), pa.array(counts, pa.int64()), batch.column("digest"),
                     pa.array([regs[where[i]].tobytes() if full[i] else b"" for i in range(len(counts))], pa.binary()),
                     pa.array([bands[where[i]] if full[i] else [] for i in range(len(counts))], pa.list_(pa.int64())),
                 ],
                 names=["doc_id", "n_shingles", "digest", "registers", "bands"],
             )
 
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, digest binary, registers binary, bands array<long>")
+    return with_digest(docs, doc_id, text).select("doc_id", "digest", "text").mapInArrow(run, "doc_id long, n_shingles long, digest binary, registers binary, bands array<long>")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -159,11 +168,11 @@ def verify(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> Da
     over several parts by ``b``, each with its own copy of the centre.
     """
     parts = settle(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("parts")), "parts")
-    members = pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("part"), F.col("b").alias("doc_id"), F.lit(1).alias("role"))
-    centres = parts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("doc_id"), F.lit(0).alias("role"))
+    members = pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("part"), F.col("b").alias("node"), F.lit(1).alias("role"))
+    centres = parts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("node"), F.lit(0).alias("role"))
     seats = centres.unionByName(members)
     n = partitions(pairs.sparkSession)
-    sent = seats.join(texts, "doc_id").repartition(n, "a", "part").sortWithinPartitions("a", "part", "role").select("a", "part", "role", "doc_id", "text")
+    sent = seats.join(texts, "node").repartition(n, "a", "part").sortWithinPartitions("a", "part", "role").select("a", "part", "role", "node", "text")
 
     def run(batches):
         worker_memory("")
@@ -173,7 +182,7 @@ def verify(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> Da
             code, counts = shingles(raw, borders, shingle)
             ends = np.cumsum(counts)
             found_a, found_b = [], []
-            for i, (a, part, role, b) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("a", "part", "role", "doc_id")], strict=True)):
+            for i, (a, part, role, b) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("a", "part", "role", "node")], strict=True)):
                 own = code[ends[i] - counts[i] : ends[i]]
                 if (a, part) != group:
                     group, centre = (a, part), []
@@ -190,7 +199,7 @@ def verify(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> Da
 
 def promising(pairs: DataFrame, regs: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose estimated similarity is not far below the threshold."""
-    side = lambda c: regs.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("registers").alias(f"r_{c}"))
+    side = lambda c: regs.select(F.col("node").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("registers").alias(f"r_{c}"))
     floor = lowest_estimate(percent)
 
     def run(batches):
@@ -226,14 +235,14 @@ def block_links(members: DataFrame, texts: DataFrame, shingle: int, percent: int
     task: what does is a forest of links, at most one for each row that came in.
     """
     blocks = lambda n, size: F.greatest(F.lit(1), F.ceil(n / size)).cast("int")
-    counted = members.withColumns({"m_blocks": blocks(F.col("n"), MEMBERS), "s_blocks": blocks(F.col("strays"), STRAYS)}).join(texts, "doc_id")
-    placed = counted.withColumns({"m": F.pmod(F.xxhash64("doc_id", F.lit(1)), "m_blocks").cast("int"), "s": F.pmod(F.xxhash64("doc_id", F.lit(2)), "s_blocks").cast("int")})
-    keep = ["bucket", "band", "doc_id", "component", "n_shingles", "registers", "text"]
+    counted = members.withColumns({"m_blocks": blocks(F.col("n"), MEMBERS), "s_blocks": blocks(F.col("strays"), STRAYS)}).join(texts, "node")
+    placed = counted.withColumns({"m": F.pmod(F.xxhash64("node", F.lit(1)), "m_blocks").cast("int"), "s": F.pmod(F.xxhash64("node", F.lit(2)), "s_blocks").cast("int")})
+    keep = ["bucket", "band", "node", "component", "n_shingles", "registers", "text"]
     stray = placed.where((F.col("component") != F.col("head"))).select(*keep, "s", F.explode(F.sequence(F.lit(0), F.col("m_blocks") - 1)).alias("m"), F.lit(0).alias("role"))
-    all_of = placed.where(F.col("doc_id") != F.col("first")).select(*keep, F.explode(F.sequence(F.lit(0), F.col("s_blocks") - 1)).alias("s"), "m", F.lit(1).alias("role"))
+    all_of = placed.where(F.col("node") != F.col("first")).select(*keep, F.explode(F.sequence(F.lit(0), F.col("s_blocks") - 1)).alias("s"), "m", F.lit(1).alias("role"))
     n = partitions(members.sparkSession)
     order = ["bucket", "s", "m", "role"]
-    sent = stray.unionByName(all_of).repartition(n, *order[:3]).sortWithinPartitions(*order).select(*order, "band", "doc_id", "component", "n_shingles", "registers", "text")
+    sent = stray.unionByName(all_of).repartition(n, *order[:3]).sortWithinPartitions(*order).select(*order, "band", "node", "component", "n_shingles", "registers", "text")
     floor = lowest_estimate(percent)
 
     def run(batches):
@@ -246,7 +255,7 @@ def block_links(members: DataFrame, texts: DataFrame, shingle: int, percent: int
             sets = [code[e - c : e] for e, c in zip(ends.tolist(), counts.tolist(), strict=True)]
             keys = list(zip(*[batch.column(c).to_pylist() for c in order[:3]], strict=True))
             role, band = batch.column("role").to_numpy(), batch.column("band").to_numpy()
-            ids, comps, sizes = (batch.column(c).to_numpy() for c in ("doc_id", "component", "n_shingles"))
+            ids, comps, sizes = (batch.column(c).to_numpy() for c in ("node", "component", "n_shingles"))
             regs = _registers_of(batch.column("registers"))
             found: list[tuple[int, int]] = []
             edges = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
@@ -294,29 +303,31 @@ def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (least + most - shared)
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
-    spark = docs.sparkSession
-    signs = settle(signatures(docs, doc_id, text, shingle), "signatures")
+def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """All rows (node, doc_id, digest, n_shingles; node is a row number), and the nodes that are linked with their component:
+    node, component (its smallest node)."""
+    signs = settle(signatures(docs, doc_id, text, shingle).withColumn("node", F.monotonically_increasing_id()), "signatures")
     full = signs.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    classes = settle(full.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
-    copies = full.select("digest", "doc_id").join(classes, "digest").where(F.col("doc_id") != F.col("rep")).select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    reps = full.join(classes.withColumnRenamed("rep", "doc_id"), ["digest", "doc_id"], "left_semi")
-    banded = reps.select("doc_id", F.posexplode("bands").alias("band", "key")).select("doc_id", "band", F.xxhash64("band", "key").alias("bucket"))
-    sizes = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where(F.col("least") != F.col("most"))
-    members = settle(banded.join(settle(sizes.select("bucket", "size"), "sizes"), "bucket"), "members")
-    met = settle(members.groupBy("doc_id").agg(F.sum("size").alias("met")), "met")
-    firsts = members.join(met, "doc_id").groupBy("bucket").agg(F.max(F.struct("met", (-F.col("doc_id")).alias("minus"))).alias("x")).select("bucket", (-F.col("x.minus")).alias("first"))
+    classes = settle(full.groupBy("digest").agg(F.min("node").alias("rep")), "classes")
+    copies = full.select("digest", "node").join(classes, "digest").where(F.col("node") != F.col("rep")).select(F.col("rep").alias("a"), F.col("node").alias("b"))
+    reps = full.join(classes.select(F.col("rep").alias("node")), "node", "left_semi")
+    banded = reps.select("node", F.posexplode("bands").alias("band", "key")).select("node", "band", F.xxhash64("band", "key").alias("bucket"))
+    sizes = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
+    members = settle(banded.join(settle(sizes, "sizes"), "bucket"), "members")
+    met = settle(members.groupBy("node").agg(F.sum("size").alias("met")), "met")
+    firsts = members.join(met, "node").groupBy("bucket").agg(F.max(F.struct("met", (-F.col("node")).alias("minus"))).alias("x")).select("bucket", (-F.col("x.minus")).alias("first"))
     crowded = settle(members.drop("size").join(settle(firsts, "firsts"), "bucket"), "buckets")
-    stars = settle(crowded.where(F.col("doc_id") != F.col("first")).select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct(), "stars")
-    involved = settle(crowded.select("doc_id").distinct(), "involved")
-    texts = settle(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(involved, "doc_id", "left_semi"), "texts")
-    regs = settle(reps.join(involved, "doc_id", "left_semi").groupBy("doc_id").agg(F.max_by(F.struct("n_shingles", "registers"), "digest").alias("x")).select("doc_id", "x.n_shingles", "x.registers"), "registers")
+    stars = settle(crowded.where(F.col("node") != F.col("first")).select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    involved = crowded.select("node").distinct()
+    regs = settle(reps.join(involved, "node", "left_semi").select("node", "doc_id", "digest", "n_shingles", "registers"), "registers")
+    bodies = with_digest(docs, doc_id, text).join(regs.select("node", "doc_id", "digest"), ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"])
+    texts = settle(bodies.select("node", "text"), "texts")
+    regs = regs.select("node", "n_shingles", "registers")
     linked = settle(verify(settle(promising(stars, regs, percent), "promising"), texts, shingle, percent), "linked")
-    by_star = components(linked).withColumnRenamed("node", "doc_id")
-    known = settle(crowded.join(by_star, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")), "known")
+    by_star = components(linked)
+    known = settle(crowded.join(by_star, "node", "left").withColumn("component", F.coalesce("component", "node")), "known")
     unfinished = (
-        known.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("doc_id") == F.col("first")).alias("own"))
+        known.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("node") == F.col("first")).alias("own"))
         .groupBy("bucket").agg(
             F.sum("n").alias("n"), F.sum(F.when(~F.col("own"), F.col("n"))).alias("strays"),
             F.max(F.when(F.col("own"), F.col("component"))).alias("head"), F.count(F.lit(1)).alias("components"),
@@ -324,14 +335,31 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .where((F.col("components") > 1) & (F.col("n") > 2)).drop("components")
     )
     left = known.join(settle(unfinished, "unfinished"), "bucket")
-    again = settle(block_links(left.join(regs, "doc_id"), texts, shingle, percent), "linked")
-    found = components(linked.union(again).union(copies))
-    return signs.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    again = settle(block_links(left.join(regs, "node"), texts, shingle, percent), "linked")
+    return signs.select("node", "doc_id", "digest", "n_shingles"), components(linked.union(again).union(copies))
+
+
+def _with_first(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """All rows with the smallest doc_id of their component, and the first row of it: (doc_id, node)."""
+    members = settle(found.join(rows.select("node", "doc_id"), "node"), "grouped")
+    least = settle(members.groupBy("component").agg(F.min(F.struct("doc_id", "node")).alias("first")), "first-of-group")
+    return rows.join(members.join(least, "component").select("node", "first"), "node", "left")
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row."""
+    rows = _with_first(*groups(docs, doc_id, text, shingle, percent))
+    return rows.select("doc_id", "n_shingles", F.coalesce("first.doc_id", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **kw) -> DataFrame:
-    """The documents with one of each component left (the smallest id; of rows that repeat it, one). Rows without id stay."""
-    found = near_duplicates(docs, doc_id, text, **kw)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
-    left = docs.join(gone, docs[doc_id] == F.col("__gone"), "left_anti")
-    return left.where(F.col(doc_id).isNull()).unionByName(left.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id]))
+    """The documents with one row of each component left (smallest id). Rows without id and rows without words all stay."""
+    rows = settle(_with_first(*groups(docs, doc_id, text, **kw)), "first-rows")
+    gone = rows.where(F.col("first").isNotNull() & (F.col("first.node") != F.col("node"))).join(
+        rows.where(F.col("first.node") == F.col("node")).select("doc_id", "digest"), ["doc_id", "digest"], "left_anti"
+    ).select(F.col("doc_id").alias("__gone"), F.col("digest").alias("__digest_gone")).distinct()
+    body = F.coalesce(F.col(text), F.lit(""))
+    named = docs.withColumns({"__digest": F.substring(F.unhex(F.sha2(body, 256)), 1, 16), "__key": F.col(doc_id).cast("long")})
+    left = named.join(gone, (F.col("__key") == F.col("__gone")) & (F.col("__digest") == F.col("__digest_gone")), "left_anti")
+    several = F.col("__key").isNull() | ~body.rlike(r"[^\x20\x09-\x0D]")  # these are linked with nothing, repeated or not
+    return left.withColumn("__row", F.when(several, F.monotonically_increasing_id())).dropDuplicates(["__key", "__digest", "__row"]).select(*docs.columns)
