@@ -59,11 +59,9 @@ def format_chats(
     by_conv = Window.partitionBy("conv_id")
     order = by_conv.orderBy("turn", "role", F.to_json("parts"))
     numbered = base.withColumn("no", F.row_number().over(order))
-    flat = numbered.select("conv_id", "no", "role", F.size(F.coalesce("parts", F.array().cast(df.schema[parts].dataType))).alias("n_parts"), F.posexplode_outer("parts").alias("at_part", "part"))
+    flat = numbered.select("conv_id", "no", "role", F.posexplode_outer("parts").alias("at_part", "part"))
     part = F.col("part")
     kind = F.coalesce(_field(part, part_type, "kind"), F.lit("text"))
-    text = escape(F.coalesce(_field(part, part_type, "text").cast("string"), F.lit("")))
-    shown = F.coalesce(*[F.when(kind == k, F.lit(v)) for k, v in PLACEHOLDERS.items()], text)
     tokens = (
         F.when(kind == "image", F.ceil(_field(part, part_type, "width") / patch) * F.ceil(_field(part, part_type, "height") / patch))
         .when(kind == "audio", F.ceil(_field(part, part_type, "seconds") * audio_rate))
@@ -71,22 +69,33 @@ def format_chats(
     )
     opening = F.coalesce(*[F.when(F.col("role") == r, F.lit(o)) for r, (o, _) in TURNS.items()], F.concat(F.lit(OTHER[0]), escape(F.col("role")), F.lit(OTHER[1])))
     closing = F.coalesce(*[F.when(F.col("role") == r, F.lit(c)) for r, (_, c) in TURNS.items()], F.lit(OTHER[2]))
-    pieces = flat.select(
+    typed = flat.select(
         "conv_id", "no", "role", F.coalesce("at_part", F.lit(0)).alias("at_part"),
-        F.when(F.coalesce("at_part", F.lit(0)) == 0, opening).otherwise("").alias("head"),
-        shown.alias("shown"),
-        F.when(F.coalesce("at_part", F.lit(0)) >= F.col("n_parts") - 1, closing).otherwise("").alias("tail"),
         F.when(kind.isin(*PLACEHOLDERS), kind).alias("kind"),
+        F.coalesce(_field(part, part_type, "text").cast("string"), F.lit("")).alias("text"),
         _field(part, part_type, "ref").cast("string").alias("ref"),
         F.coalesce(tokens.cast("long"), F.lit(0)).alias("tokens"),
     )
+    # neighbouring text parts are one segment, each placeholder is its own: even numbers are text, odd ones placeholders
+    in_turn = Window.partitionBy("conv_id", "no")
+    before = F.sum(F.col("kind").isNotNull().cast("int")).over(in_turn.orderBy("at_part"))
+    segments = typed.withColumn("segment", 2 * before - F.col("kind").isNotNull().cast("int")).groupBy("conv_id", "no", "role", "segment").agg(
+        F.max("kind").alias("kind"), F.max("ref").alias("ref"), F.max("tokens").alias("tokens"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at_part", "text"))), lambda p: p["text"]), "").alias("text"),
+    )
+    shown = F.coalesce(*[F.when(F.col("kind") == k, F.lit(v)) for k, v in PLACEHOLDERS.items()], escape(F.col("text")))
+    pieces = segments.select(
+        "conv_id", "no", "role", "segment", "kind", "ref", "tokens", shown.alias("shown"),
+        F.when(F.col("segment") == F.min("segment").over(in_turn), opening).otherwise("").alias("head"),
+        F.when(F.col("segment") == F.max("segment").over(in_turn), closing).otherwise("").alias("tail"),
+    )
     piece = F.concat("head", "shown", "tail")
-    running = by_conv.orderBy("no", "at_part").rowsBetween(Window.unboundedPreceding, -1)
+    running = by_conv.orderBy("no", "segment").rowsBetween(Window.unboundedPreceding, -1)
     placed = pieces.withColumn("piece", piece).withColumn("at", F.coalesce(F.sum(F.octet_length("piece")).over(running), F.lit(0)) + len(BOS) + F.octet_length("head"))
     gathered = placed.groupBy("conv_id").agg(
         F.max("no").cast("long").alias("n_turns"),
         F.sum("tokens").alias("attachment_tokens"),
-        F.array_sort(F.collect_list(F.struct("no", "at_part", "piece"))).alias("pieces"),
+        F.array_sort(F.collect_list(F.struct("no", "segment", "piece"))).alias("pieces"),
         F.array_sort(F.collect_list(F.when((F.col("role") == "assistant") & (F.octet_length("shown") > 0), F.struct(F.col("at").alias("start"), F.octet_length("shown").cast("long").alias("length"))))).alias("loss_spans"),
         F.array_sort(F.collect_list(F.when(F.col("kind").isNotNull(), F.struct(F.col("at").alias("start"), "kind", "ref", "tokens")))).alias("attachments"),
     )
