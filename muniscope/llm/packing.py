@@ -4,8 +4,9 @@ Documents are encoded, ended and cut into pieces of at most ``size`` ids. Only t
 to the driver. Lengths are placed longest first, all pieces of a length together: they join the shortest packs (those with
 most room) while these fit, splitting a packing pattern's count where only some of its packs are used, and open new packs
 otherwise. The patterns are joined back to the pieces by rank: the r-th piece of a length takes the r-th place that the
-patterns have for it. Ranks are counted in salted parts of a length, so a length that a third of all pieces share is
-ranked by many tasks.
+patterns have for it. A rank is the piece's number among the pieces of its length that its own task made, plus those of the
+tasks before, so a length that a third of all pieces share is ranked by many tasks. ``sequences`` then brings the ids of a
+sequence together; ids travel as little-endian unsigned 32-bit integers in one binary value (``numpy.frombuffer(x, "<u4")``).
 
 Defined cases: null text is empty and is the end id alone; repeated rows are packed each; null ids are kept; an empty
 table packs nothing; other columns are ignored.
@@ -13,38 +14,45 @@ table packs nothing; other columns are ignored.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Mapping
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import list_array, partitions, sliced
+from .common import run_ends, sliced
 from .tokens import encoder, with_end
 
 SIZE = 2048
-PIECES = "doc_id long, start long, length int, doc_tokens long, ids_crc32 long, ids array<int>"
+PIECES = "doc_id long, start long, length int, doc_tokens long, task int, nth long, ids binary"
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, end: int, size: int = SIZE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Pieces of at most ``size`` ids: doc_id, start, length, doc_tokens, ids_crc32 (little-endian unsigned 32-bit), ids."""
+    """Pieces of at most ``size`` ids: doc_id, start, length, doc_tokens, ids, and task and nth (its place among the pieces of
+    its length that one task made)."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def run(batches):
+        task, seen = TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
         for batch in sliced(batches, "text", 4 << 20):
             ids, counts = with_end(*encoder(tokenizer).encode(batch.column("text")), end)
             pieces = -(-counts // size)
             doc = np.repeat(np.arange(len(counts)), pieces)
             start = (np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * size
             length = np.minimum(size, counts[doc] - start)
-            raw = memoryview(ids.astype("<u4")).cast("B")
-            borders = np.concatenate([[0], np.cumsum(length)]).tolist()
-            sums = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(borders[:-1], borders[1:], strict=True)]
+            by_length = np.argsort(length, kind="stable")
+            first, many = run_ends(length[by_length])
+            nth = np.empty(len(doc), np.int64)
+            nth[by_length] = np.arange(len(doc)) - np.repeat(first, many)
+            nth += seen[length]
+            seen += np.bincount(length, minlength=size + 1)
+            borders = pa.array((4 * np.concatenate([[0], np.cumsum(length)])).astype(np.int32))
+            packed = pa.BinaryArray.from_buffers(pa.binary(), len(doc), [None, borders.buffers()[1], pa.py_buffer(ids.astype("<u4"))])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(doc)), pa.array(start), pa.array(length.astype(np.int32)), pa.array(counts[doc]), pa.array(sums, pa.int64()), list_array(pa.array(ids), length)],
-                names=["doc_id", "start", "length", "doc_tokens", "ids_crc32", "ids"],
+                [batch.column("doc_id").take(pa.array(doc)), pa.array(start), pa.array(length.astype(np.int32)), pa.array(counts[doc]), pa.array(np.full(len(doc), task, np.int32)), pa.array(nth), packed],
+                names=["doc_id", "start", "length", "doc_tokens", "task", "nth", "ids"],
             )
 
     return rows.mapInArrow(run, PIECES)
@@ -95,29 +103,47 @@ def places(patterns: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int,
     return out
 
 
-def with_rank(pieces: DataFrame, keys: tuple[str, ...] = ("doc_id", "start", "ids_crc32")) -> DataFrame:
-    """Add ``rank``: 0, 1, ... within each length."""
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64(*keys), F.lit(partitions(pieces.sparkSession))))
-    counts = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    local = salted.withColumn("nth", F.row_number().over(Window.partitionBy("length", "salt").orderBy(*keys)))
-    return local.join(base, ["length", "salt"]).withColumn("rank", F.col("base") + F.col("nth") - 1).drop("salt", "base", "nth")
+def with_rank(pieces: DataFrame) -> DataFrame:
+    """Add ``rank``: 0, 1, ... within each length, in place of task and nth."""
+    counts = pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    return pieces.join(base, ["length", "task"]).withColumn("rank", F.col("base") + F.col("nth")).drop("task", "nth", "base")
 
 
 def pack(spark: SparkSession, pieces: DataFrame, size: int = SIZE) -> DataFrame:
-    """Add sequence_id and offset to the pieces' narrow columns. Give a settled table: it is read twice."""
+    """Add sequence_id and offset to the pieces. Give a settled table: it is read twice."""
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     runs = spark.createDataFrame(places(pack_histogram(histogram, size)), "length int, first long, behind long, base_sequence long, offset long")
-    ranked = with_rank(pieces.drop("ids"))
+    ranked = with_rank(pieces)
     met = ranked.join(F.broadcast(runs), (ranked["length"] == runs["length"]) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("behind"))).drop(runs["length"])
     return met.withColumn("sequence_id", F.col("base_sequence") + F.col("rank") - F.col("first")).drop("rank", "first", "behind", "base_sequence")
 
 
-def sequences(pieces: DataFrame, packed: DataFrame, size: int = SIZE, pad: int = 0) -> DataFrame:
-    """Whole sequences of ``size`` ids: sequence_id, ids (padded with ``pad``), n_used. At most ``size`` pieces meet in one."""
-    keys = ["doc_id", "start", "ids_crc32"]
-    cond = [pieces[k].eqNullSafe(packed[k]) for k in keys]
-    held = pieces.dropDuplicates(keys).join(packed, cond).select("sequence_id", packed["offset"], pieces["ids"])
-    joined = held.groupBy("sequence_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("offset", "ids"))), lambda p: p["ids"])).alias("used"))
-    return joined.select("sequence_id", F.concat("used", F.array_repeat(F.lit(pad), size - F.size("used"))).alias("ids"), F.size("used").alias("n_used"))
+def sequences(packed: DataFrame, size: int = SIZE, pad: int = 0) -> DataFrame:
+    """Whole sequences of ``size`` ids: sequence_id, ids (padded with ``pad``), n_used, and their pieces in order: doc_id,
+    start, length, doc_tokens, offset. At most ``size`` pieces meet in one."""
+    piece = F.struct("offset", "doc_id", "start", "length", "doc_tokens")
+    joined = packed.groupBy("sequence_id").agg(
+        F.expr("listagg(ids) WITHIN GROUP (ORDER BY offset)").alias("used"), F.array_sort(F.collect_list(piece)).alias("pieces"), F.sum("length").cast("int").alias("n_used")
+    )
+    padding = F.unhex(F.repeat(F.lit(pad.to_bytes(4, "little").hex()), size - F.col("n_used")))
+    return joined.select("sequence_id", F.concat("used", padding).alias("ids"), "n_used", "pieces")
+
+
+def write_sequences(packed: DataFrame, path: str, size: int = SIZE, pad: int = 0) -> DataFrame:
+    """Write the sequences as Parquet and read them back."""
+    whole = sequences(packed, size, pad)
+    whole.write.option("compression", "zstd").parquet(path)
+    return packed.sparkSession.read.schema(whole.schema).parquet(path)
+
+
+def placements(stored: DataFrame) -> DataFrame:
+    """The pieces that written sequences hold: doc_id, start, length, ids_crc32 (of the ids found there), doc_tokens,
+    sequence_id, offset."""
+    one = stored.select("sequence_id", "ids", F.explode("pieces").alias("piece"))
+    held = F.expr("substring(ids, CAST(4 * piece.offset + 1 AS INT), 4 * piece.length)")
+    return one.select(
+        "piece.doc_id", "piece.start", F.col("piece.length").cast("long").alias("length"), F.crc32(held).alias("ids_crc32"),
+        "piece.doc_tokens", "sequence_id", "piece.offset",
+    )

@@ -136,7 +136,7 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = settle(packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=1), "pieces")
-    return packing.pack(spark, pieces).select("doc_id", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    return packing.placements(packing.write_sequences(packing.pack(spark, pieces), workspace(spark, "sequences")))
 
 
 @query
