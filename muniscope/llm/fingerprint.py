@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import byte_table, partitions, sliced, span_hashes, strings, worker_memory
@@ -113,6 +113,16 @@ def fingerprint_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(*keep).mapInArrow(run, schema)
 
 
+def range_of(key: Column, cuts: list[int]) -> Column:
+    """How many of the sorted ``cuts`` are smaller than ``key``, by binary search in one array literal."""
+    if not cuts:
+        return F.lit(0)
+    held = F.split(F.lit(",".join(map(str, cuts))), ",").cast("array<bigint>")  # folded into one literal by the optimizer
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
+    fits = lambda at, step: (at + step <= len(cuts)) & (F.get(held, at + step - 1) < key)
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(fits(at, step), at + step).otherwise(at))
+
+
 def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows in runs of descending id such that each run's rows stand one behind the other, then the row that follows the run.
 
@@ -125,7 +135,7 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     m = 4 * n  # several ranges a task even out what hashing deals unevenly
     cuts = sorted(set(rows.agg(F.percentile_approx("key", F.array(*[F.lit(i / m) for i in range(1, m)]), 100 * m)).first()[0] or []))
     # ranges are numbered upwards; run r holds keys in (cuts[r-1], cuts[r]]
-    place = F.array_size(F.filter(F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>"), lambda c: c < F.col("key")))
+    place = range_of(F.col("key"), cuts)
     heads = rows.select("key", place.alias("run")).groupBy("run").agg(F.max("key").alias("key")).orderBy(F.desc("run")).collect()  # a row a range
     follows = [(heads[i]["key"], heads[i - 1]["run"]) for i in range(len(heads))]  # heads[-1] is the lowest range: its follower is the first of all
     also = docs.sparkSession.createDataFrame(follows or [(0, -1)], "key long, before int")
