@@ -51,7 +51,11 @@ def sample_windows(docs: DataFrame, text: str, lang: str, doc_id: str, per_lang:
     """(lang, window) rows of the bounded training sample, evenly spaced over each chosen text."""
     order = Window.partitionBy("__lang").orderBy("__h", "__id")
     narrow = docs.where(F.col(lang).isNotNull() & F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(F.col(doc_id).alias("__id"), F.col(lang).alias("__lang"), F.xxhash64(F.col(doc_id)).alias("__h"))
-    chosen = narrow.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= per_lang).select("__id").distinct()
+    # hashes are uniform: below this one lie twice the rows wanted, so only those are sorted
+    share = F.least(F.lit(1.0), (2.0 * per_lang + 100) / F.count(F.lit(1)))
+    limits = narrow.groupBy("__lang").agg((F.lit(-(2.0**63)) + share * F.lit(2.0**64)).alias("__limit"))
+    near = narrow.join(F.broadcast(limits), "__lang").where(F.col("__h") <= F.col("__limit"))  # a row a language
+    chosen = near.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= per_lang).select("__id").distinct()
     texts = docs.select(F.col(doc_id).alias("__id"), F.col(lang).alias("lang"), F.col(text).alias("text")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     picked = texts.join(F.broadcast(chosen), "__id", "left_semi").select("lang", "text")  # per_lang ids a language
 
