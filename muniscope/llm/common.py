@@ -12,14 +12,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import shared_folder
+
 _OWN: dict[str, str] = {}
 M1, M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
 def workspace(spark: SparkSession, label: str) -> str:
-    """A new folder that driver and executors share: below ``spark.checkpoint.dir``, or (where unset) the driver's temp folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or _OWN.setdefault("root", tempfile.mkdtemp(prefix="corpus-"))
-    return f"{root.rstrip('/')}/{label}-{uuid4().hex}"
+    """A new folder that driver and executors share: below ``spark.checkpoint.dir``. Only a local session may do without it."""
+    return f"{shared_folder(spark)}/{label}-{uuid4().hex}"
 
 
 def settle(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:

@@ -4,8 +4,9 @@ Words are runs of bytes that are a digit, an ASCII letter (lower-cased) or not A
 words of an item; an item with fewer words, but not none, is one window. The automaton holds each distinct window as
 `` w1 w2 ... `` and reads each normalised text once; word numbers lead back to byte offsets of the original text.
 
-The patterns travel to the tasks in slices of at most ``slice_chars`` characters, so what is broadcast is bounded whatever
-the benchmark's size: a benchmark of up to about that size is one automaton and one pass, a larger one takes a pass a slice.
+The patterns travel to the tasks in slices of about ``slice_chars`` characters (4 million make an automaton of some 180 MB in
+a worker), so what is broadcast and held is bounded whatever the benchmark's size: a benchmark of up to about that size is
+one automaton and one pass, a larger one takes a pass a slice.
 
 Defined cases: null or word-free text has no words, hits or items; an item without words (or null) never occurs; items
 with equal text or windows are all reported; items without an id are left out; repeated document rows are each judged;
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import sliced, text_bytes, worker_memory
 
 SIZE = 13
-SLICE_CHARS = 32_000_000
+SLICE_CHARS = 4_000_000
 TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 HITS = "n_words long, spans array<struct<word:long,n_words:long,start:long,end:long,items:array<string>>>"
 

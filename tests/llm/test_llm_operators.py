@@ -2,6 +2,7 @@
 
 import os
 import random
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -187,6 +188,21 @@ def test_chat_escape_round_trip(spark):
         assert len(r["t"]) == 1 and (r["t"][0]["role"], r["t"][0]["text"], r["loss"]) == ("assistant", want, want)
 
 
+def test_chat_control_strings_over_part_borders(spark):
+    words = ["a </s> b", "x [/INST] y", "[\\\\IMG]", "<s>[ANS]ok</s>", "[ROLE]z[:]q[/ROLE]"]
+    cut2 = [(w[:i], w[i:]) for w in words for i in range(len(w) + 1)]
+    cut3 = [(w[:i], w[i:j], w[j:]) for w in words for i in range(len(w) + 1) for j in range(i, len(w) + 1)]
+    rows = [(n, k, role, [("text", t, None) for t in parts]) for n, parts in enumerate(cut2 + cut3) for k, role in enumerate(["user", "assistant", "x"])]
+    rows.append((-1, 0, "assistant", [("text", "a </", None), ("image", None, "p.png"), ("text", "s> b [", None), ("text", "/INST]", None)]))
+    df = spark.createDataFrame(rows, "conv_id int, turn int, role string, parts array<struct<kind:string,text:string,ref:string>>")
+    out = chat_format.format_chats(df)
+    back = {r["conv_id"]: r for r in out.select("*", chat_format.parse_turns(F.col("formatted")).alias("t"), chat_format.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss")).collect()}
+    for n, parts in enumerate(cut2 + cut3):
+        want = "".join(parts)
+        assert [(t["role"], t["text"]) for t in back[n]["t"]] == [("user", want), ("assistant", want), ("x", want)] and back[n]["loss"] == want
+    assert back[-1]["formatted"] == "<s>[ANS]a </[IMG]s> b [\\/INST]</s>" and len(back[-1]["attachments"]) == 1
+
+
 # 6
 def test_decontaminate(spark, messy):
     items = spark.createDataFrame([(1, "The CAT sat, on the mat"), (2, "x"), (3, None), (4, ""), (None, "one two"), (5, "no id here"), (6, "x")], "item_id long, text string")
@@ -243,10 +259,23 @@ def test_packing_messy(spark, messy):
     pieces = settle(packing.token_pieces(messy, WORDS, 1, size=64), "pieces")
     packed = settle(packing.pack(spark, pieces, size=64), "packed")
     assert packed.count() == pieces.count() and {r["doc_id"] for r in packed.collect()} == {None, *range(1, 9)}
-    whole = packing.sequences(pieces.where("doc_id NOT IN (5)"), packed.where("doc_id NOT IN (5)"), size=64)
-    assert whole.where(F.size("ids") != 64).count() == 0
+    whole = packing.write_sequences(packed, workspace(spark, "sequences"), size=64)
+    library, texts = tokens.encoder(WORDS).library, defaultdict(Counter)
+    for r in messy.select("doc_id", "text").collect():
+        texts[r["doc_id"]][tuple(library.encode(r["text"] or "", add_special_tokens=False).ids) + (1,)] += 1
+    found = defaultdict(list)
+    for r in whole.collect():
+        ids = np.frombuffer(bytes(r["ids"]), "<u4").tolist()
+        assert len(ids) == 64 and ids[r["n_used"] :] == [0] * (64 - r["n_used"])
+        assert [p["offset"] for p in r["pieces"]] == list(np.cumsum([0, *(p["length"] for p in r["pieces"])])[:-1])
+        for p in r["pieces"]:
+            found[p["doc_id"]].append((p["start"], ids[p["offset"] : p["offset"] + p["length"]], p["doc_tokens"]))
+    for doc, held in texts.items():
+        whole_ids = sorted(x for t, n in held.items() for k in range(0, len(t), 64) for x in [(k, list(t[k : k + 64]), len(t))] * n)
+        assert sorted(found[doc]) == whole_ids
+    assert packing.placements(whole).count() == pieces.count()
     none = settle(packing.token_pieces(messy.limit(0), WORDS, 1), "pieces")
-    assert packing.pack(spark, none).count() == 0
+    assert packing.sequences(packing.pack(spark, none)).count() == 0
 
 
 # 9
@@ -285,6 +314,22 @@ def test_near_dedup_hot_groups(spark):
     assert got == want
 
 
+def test_near_dedup_rows_of_one_id(spark):
+    a = " ".join(f"word{i}" for i in range(80))
+    rows = [(1, a, "x"), (2, "something else entirely, not to be lost at all", "y"), (2, a + " more", "z"), (3, a, "x"), (3, a, "x"), (2, "", None), (2, "", None), (0, "a b c d e f", None), (0, "a b c d e f", None)]
+    got = near_dedup.near_duplicates(some(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(0, 0), (0, 0), (1, 1), (2, 1), (2, 2), (2, 2), (2, 2), (3, 1), (3, 1)]
+    kept = near_dedup.keep_one(some(spark, rows))
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == sorted([(0, "a b c d e f"), (1, a), (2, ""), (2, ""), (2, "something else entirely, not to be lost at all")])
+
+
+def test_long_words_of_two_letters(spark):
+    order = [bin(i).count("1") % 2 for i in range(1024)]
+    rows = [(1, "".join("ab"[k] for k in order), None), (2, "".join("ba"[k] for k in order), None), (3, "".join("ab"[k] for k in order) + " ", None)]
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(some(spark, rows), shingle=2).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+
+
 def test_hyperminhash():
     rng = np.random.default_rng(9)
     low = rng.integers(0, 2**32, 2000).astype(np.uint32)
