@@ -125,7 +125,7 @@ def test_pipeline(spark, corpus):
     docs, rows = corpus
     model = language_id.fit(docs.where("crc32(CAST(doc_id AS STRING)) % 3 <> 1"))
     named = {r["doc_id"]: r for r in language_id.identify(docs, model).collect()}
-    rows = [(i, t) for i, t in rows if named[i]["lang_pred"] != "und" and (named[i]["score"] >= 0.5 or len(t.encode()) < language_id.WINDOW)]
+    rows = [(i, t) for i, t in rows if named[i]["lang_pred"] != "und"]
     rows = [(i, t) for i, (n, gone, t) in brute.lines(rows).items() if not (gone and gone == n)]
     groups = brute.components(rows, 5)
     rows = [(i, t) for i, t in rows if groups[i][1] == i]
