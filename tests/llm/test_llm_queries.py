@@ -141,8 +141,11 @@ def test_line_boundaries_resist_shifts():
     rng = np.random.default_rng(1)
     code = rng.integers(0, 2**63, 400).astype(np.uint64)
     moved = np.concatenate([rng.integers(0, 2**63, 7).astype(np.uint64), code])
-    own, other = set(line_dedup.coarse_ends(code).tolist()), {e - 7 for e in line_dedup.coarse_ends(moved).tolist()}
-    assert {e for e in own if e > 2} == {e for e in other if e > 2}
-    assert {(a, n) for a, n in zip(*line_dedup.chunks(code), strict=True) if n == 2} <= {(a - 7, n) for a, n in zip(*line_dedup.chunks(moved), strict=True)}
-    assert len(line_dedup.fine_starts(code)) >= 398
-    assert len(line_dedup.coarse_ends(code)) > 60 and len(line_dedup.fine_starts(code[:1])) == 0
+    own, other = set(line_dedup.coarse_ends(code, np.arange(400)).tolist()), {e - 7 for e in line_dedup.coarse_ends(moved, np.arange(407)).tolist()}
+    assert {e for e in own if e > 2} == {e for e in other if e > 2} and len(own) > 60
+    alone, behind = (list(zip(*[x.tolist() for x in line_dedup.chunks(c)], strict=True)) for c in (code, moved))
+    pairs = [(a, n) for a, n in alone if n == 2]
+    assert set(pairs) <= {(a - 7, n) for a, n in behind} and len(pairs) >= 398
+    both = line_dedup.chunks(np.concatenate([code, moved]), np.concatenate([np.arange(400), np.arange(407)]))
+    assert sorted(zip(*[x.tolist() for x in both], strict=True)) == sorted(alone + [(400 + a, n) for a, n in behind])
+    assert len(line_dedup.chunks(code[:1])[0]) == 0
