@@ -39,35 +39,39 @@ SALTS = mix(np.arange(1, CUTS + 1, dtype=np.uint64)) | np.uint64(1)
 MISSING = -(2**63)
 
 
-def coarse_ends(lines: np.ndarray) -> np.ndarray:
-    """Number of lines before each chunk's end. ``lines``: hashes of the text's lines."""
-    n = len(lines)
-    rolled = np.zeros(n, np.uint64)
-    for age in range(min(WINDOW, n)):
-        rolled[age:] += lines[: n - age] * FACTORS[age]
-    ends = np.flatnonzero((mix(rolled) % np.uint64(USUAL) == 0) & (np.arange(n) >= WINDOW - 1)) + 1
-    return ends if len(ends) and ends[-1] == n else np.append(ends, n)
+def coarse_ends(lines: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Index behind the last line of each coarse chunk. ``lines``: hashes of the lines of texts that lie one behind the other;
+    ``place``: number of each line in its text."""
+    rolled = np.zeros(len(lines), np.uint64)
+    for age in range(min(WINDOW, len(lines))):
+        rolled[age:] += np.where(place[age:] >= age, lines[: len(lines) - age], np.uint64(0)) * FACTORS[age]
+    last = np.append(place[1:] == 0, True)
+    return np.flatnonzero(((mix(rolled) % np.uint64(USUAL) == 0) & (place >= WINDOW - 1)) | last) + 1
 
 
-def fine_starts(lines: np.ndarray) -> np.ndarray:
+def fine_starts(lines: np.ndarray, place: np.ndarray) -> np.ndarray:
     """First lines of the two-line chunks of all fine cuts."""
     joined = np.zeros(max(len(lines) - 1, 0), bool)
     for salt in SALTS:
         high = mix(lines * salt) >> np.uint64(63) == 1
         joined |= high[:-1] & ~high[1:]
-    first, many = run_ends(lines)  # a line that follows itself: pairs from the start and from the end of such a run
-    place = np.arange(len(lines)) - np.repeat(first, many)
-    left = np.repeat(many, many) - place
-    return np.flatnonzero(joined | ((left > 1) & ((place % 2 == 0) | (left % 2 == 0)))[:-1])
+    joined &= place[1:] > 0
+    new = np.append(True, (lines[1:] != lines[:-1]) | (place[1:] == 0))
+    first = np.flatnonzero(new)  # a line that follows itself: pairs from the start and from the end of such a run
+    many = np.diff(np.append(first, len(lines)))
+    nth = np.arange(len(lines)) - np.repeat(first, many)
+    left = np.repeat(many, many) - nth
+    return np.flatnonzero(joined | ((left > 1) & ((nth % 2 == 0) | (left % 2 == 0)))[:-1])
 
 
-def chunks(lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def chunks(lines: np.ndarray, place: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """First line and number of lines of each chunk of ``LEAST`` lines or more, over all cuts; each once."""
-    ends = coarse_ends(lines)
-    begins = np.concatenate([[0], ends[:-1]])
-    fine = fine_starts(lines)
+    place = np.arange(len(lines)) if place is None else place
+    ends = coarse_ends(lines, place)
+    begins = np.append(0, ends[:-1])
+    fine = fine_starts(lines, place)
     long = (ends - begins > LEAST) | ((ends - begins == LEAST) & ~np.isin(begins, fine))
-    starts, sizes = np.concatenate([fine, begins[long]]), np.concatenate([np.full(len(fine), LEAST), (ends - begins)[long]])
+    starts, sizes = np.append(fine, begins[long]), np.append(np.full(len(fine), LEAST), (ends - begins)[long])
     return starts.astype(np.int64), sizes.astype(np.int64)
 
 
@@ -88,18 +92,13 @@ def found_chunks(docs: DataFrame) -> DataFrame:
         for batch in sliced(batches, "text"):
             raw, borders = text_bytes(batch.column("text"))
             starts, ends, before = line_places(raw, borders)
-            codes = span_hashes(raw, starts, ends, seed=3)
             whole = raw.tobytes()
-            which, first, many = [], [], []
-            for i in range(batch.num_rows):
-                at, n = chunks(codes[before[i] : before[i + 1]])
-                which.append(np.full(len(at), i))
-                first.append(at)
-                many.append(n)
-            which, first, many = (np.concatenate(x).astype(np.int64) for x in (which, first, many))
-            top = before[which] + first
+            text_of = np.repeat(np.arange(batch.num_rows), np.diff(before))
+            place = np.arange(len(starts)) - before[text_of]
+            top, many = chunks(span_hashes(raw, starts, ends, seed=3), place)
+            first = place[top]
             digest = [hashlib.blake2b(whole[a:b], digest_size=16).digest() for a, b in zip(starts[top].tolist(), ends[top + many - 1].tolist(), strict=True)]
-            rows = pa.array(which)
+            rows = pa.array(text_of[top])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc").take(rows), batch.column("tie").take(rows), pa.array(first.astype(np.int32)), pa.array(many.astype(np.int32)), pa.array(digest, pa.binary())],
                 names=["doc", "tie", "at", "n", "digest"],
@@ -108,8 +107,14 @@ def found_chunks(docs: DataFrame) -> DataFrame:
     return docs.select("doc", "tie", "text").mapInArrow(run, "doc long, tie int, at int, n int, digest binary")
 
 
+def _to_compare(marks: list[dict]) -> list[dict]:
+    inside = {k for m in marks if m["n"] > LEAST and not m["is_first"] for k in range(m["at"], m["at"] + m["n"] - 1)}
+    return [m for m in marks if m["n"] > LEAST or m["is_first"] or m["at"] not in inside]
+
+
 def _texts(marked: DataFrame) -> DataFrame:
-    """digest, doc, tie, at, n, is_first, chunk (its bytes) of each mark."""
+    """digest, doc, tie, at, n, is_first, chunk (its bytes) of each mark, but for pairs of lines inside a repeated coarse chunk,
+    which stands for them."""
 
     def run(batches):
         worker_memory("")
@@ -117,7 +122,7 @@ def _texts(marked: DataFrame) -> DataFrame:
             out = []
             for doc, tie, text, marks in zip(*[batch.column(c).to_pylist() for c in ("doc", "tie", "text", "marks")], strict=True):
                 lines = (text or "").split("\n")
-                out += [(m["digest"], doc, tie, m["at"], m["n"], m["is_first"], "\n".join(lines[m["at"] : m["at"] + m["n"]])) for m in marks]
+                out += [(m["digest"], doc, tie, m["at"], m["n"], m["is_first"], "\n".join(lines[m["at"] : m["at"] + m["n"]])) for m in _to_compare(marks)]
             cols = list(zip(*out, strict=True)) or [()] * 7
             kinds = (pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["digest", "doc", "tie", "at", "n", "is_first", "chunk"])
@@ -154,7 +159,7 @@ def _without(held: DataFrame, text: str, docs: DataFrame) -> DataFrame:
             plain = strings(batch.column("text"))
             for body, marks, spared in zip(plain, batch.column("marks").to_pylist(), batch.column("spared").to_pylist(), strict=True):
                 lines = body.split("\n")
-                gone = [m for m in marks or () if not m["is_first"] and {"at": m["at"], "n": m["n"]} not in (spared or ())]
+                gone = [m for m in marks or () if not m["is_first"] and not any(s["at"] <= m["at"] and m["at"] + m["n"] <= s["at"] + s["n"] for s in spared or ())]
                 keep = np.ones(len(lines), bool)
                 for m in gone:
                     keep[m["at"] : m["at"] + m["n"]] = False
