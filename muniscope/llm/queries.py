@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import chat_format, decontaminate, fingerprint, language_id, line_dedup, near_dedup, packing, repeats, reshard, token_files
+from . import chat_format, decontaminate, fingerprint, language_id, line_dedup, near_dedup, packing, repeats, reshard, spelling, structure, token_files
 from .common import settle, ship, workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,131 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_lines", "n_removed_lines", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars_left"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows with faults made by crc32("conv_id:turn") % 20: dropped, emptied, without full stops, said twice, role user."""
+    space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    rows = conversations.select("conv_id", "turn", space("role").alias("role"), space("text").alias("text"), (F.crc32(F.concat(space("conv_id"), F.lit(":"), space("turn"))) % 20).alias("kind"))
+    copies = F.when(F.col("kind") == 0, F.array().cast("array<int>")).when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    return rows.withColumn("copy", F.explode(copies)).select("conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"))
+
+
+@query
+def op11_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = table(spark, sf_dir, "conversations")
+    faults = structure.find_faults(damaged(said))
+    found = structure.summaries(faults, structure.plan_repairs(faults))
+    every = said.select("conv_id").distinct().withColumn("conv", structure.conversation_key(F.col("conv_id")))
+    none = {**dict.fromkeys(["gaps", "blank", "duplicate", "truncated", "illegal", "cost"], F.lit(0).cast("long")), "audit": F.lit(""), "repaired_sha256": F.sha2(F.lit(""), 256)}
+    return every.join(found, "conv", "left").select("conv_id", *[F.coalesce(F.col(c), none[c]).alias(c) for c in none])
+
+
+def _structure_sql() -> str:
+    """The same by a recursion over rows: for each state the least (cost, audit), with the repaired rows so far."""
+    made = lambda q, cost, letter, out: f"CASE WHEN {q} IS NOT NULL THEN {{'c': {q}.c + {cost}, 'a': {q}.a || '{letter}', 'o': {q}.o || {out}}} END"
+    extra = "CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END"
+    stays = "fault IS NULL OR fault = 'truncated'"
+
+    def turn(q: str, initial: str, role: str) -> str:
+        kept = made(q, extra, "K", "chr(10) || role || ':' || text")
+        new = made(q, f"3 + {extra}", "R", f"chr(10) || '{role}:' || text")
+        return f"CASE WHEN {stays} THEN CASE WHEN ini = '{initial}' THEN {kept} ELSE {new} END END"
+
+    gone = lambda q: made(q, 4, "D", "''")
+    system = f"CASE WHEN ({stays}) AND ini = 's' THEN {made('q0', extra, 'K', "chr(10) || role || ':' || text")} END"
+    asked = [turn(q, "u", "user") for q in ("q0", "q1", "q3")]
+    user = lambda q: made(q, 3, "I", "chr(10) || 'user:'")
+    both = lambda q: made(q, 6, "II", "chr(10) || 'user:' || chr(10) || 'assistant:'")
+    state = "STRUCT(c BIGINT, a VARCHAR, o VARCHAR)"
+    return rf"""
+WITH RECURSIVE base AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+kinds AS (
+  SELECT *, xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(range(1, length(k) + 1),
+         lambda i: list_transform(range(0, 8), lambda b: (ascii(substr(k, i, 1)) >> b) & 1)))),
+         lambda c, b: xor(c >> 1, (xor(c, b) & 1) * 3988292384))) % 20 AS kind FROM base),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM kinds, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) t(copy)),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+         regexp_replace(text, '[ 	-
+]', '', 'g') AS shown FROM damaged),
+faulty AS (
+  SELECT conv_id, turn, role, text, i, substr(role, 1, 1) AS ini,
+         CASE WHEN shown = '' THEN 'blank' WHEN i > min(i) OVER (PARTITION BY conv_id, role, text) THEN 'duplicate' WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault
+  FROM numbered),
+walks AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, CAST({{'c': 0, 'a': '', 'o': ''}} AS {state}) AS q0, CAST(NULL AS {state}) AS q1,
+         CAST({{'c': 3, 'a': 'I', 'o': chr(10) || 'user:'}} AS {state}) AS q2,
+         CAST({{'c': 6, 'a': 'II', 'o': chr(10) || 'user:' || chr(10) || 'assistant:'}} AS {state}) AS q3 FROM faulty
+  UNION ALL
+  SELECT conv_id, i, m0, m1, list_min([m2, {user('m0')}, {user('m1')}, {user('m3')}]),
+         list_min([m3, {made('m2', 3, 'I', "chr(10) || 'assistant:'")}, {both('m0')}, {both('m1')}])
+  FROM (SELECT w.conv_id, f.i, {gone('q0')} AS m0, list_min([{gone('q1')}, {system}]) AS m1,
+               list_min([{gone('q2')}, {', '.join(asked)}]) AS m2, list_min([{gone('q3')}, {turn('q2', 'a', 'assistant')}]) AS m3
+        FROM walks w JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1)),
+ends AS (SELECT conv_id, arg_max(list_min([q0, q3]), i) AS best FROM walks GROUP BY conv_id),
+pairs AS (SELECT conv_id, ini, lag(ini) OVER (PARTITION BY conv_id ORDER BY i) AS prior FROM faulty),
+bad AS (SELECT conv_id, count(*) FILTER (WHERE prior IS NOT NULL AND prior || ini NOT IN ('su', 'ua', 'au')) AS illegal FROM pairs GROUP BY conv_id),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+         count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated
+  FROM faulty GROUP BY conv_id)
+SELECT a.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+       coalesce(c.truncated, 0) AS truncated, coalesce(b.illegal, 0) AS illegal, CAST(coalesce(e.best.c, 0) AS BIGINT) AS cost,
+       coalesce(e.best.a, '') AS audit, sha256(coalesce(substr(e.best.o, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN bad b ON b.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
+
+
+ORACLE["op11_structure"] = _structure_sql()
+
+
+@query
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the documents, of which one run in 31 has lost a letter."""
+    found = spelling.runs(table(spark, sf_dir, "documents"))
+    code = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run")))
+    at = (F.col("code") % F.char_length("run")).cast("int")
+    less = F.concat(F.col("run").substr(F.lit(1), at), F.col("run").substr(at + 2, F.char_length("run")))
+    words = found.withColumn("code", code).select(F.when(F.col("code") % 31 == 0, less).otherwise(F.col("run")).alias("word"))
+    return spelling.group_variants(spelling.count_words(words)).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+ORACLE["op12_spelling"] = r"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]{7,}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents),
+told AS (SELECT id, run, count(*) AS times, encode(id || ':' || run) AS k FROM runs GROUP BY id, run),
+coded AS (
+  SELECT run, times, xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(range(0, octet_length(k)),
+         lambda i: list_transform(range(0, 8), lambda b: (('0x' || substr(hex(k), 2 * i + 1, 2))::BIGINT >> b) & 1)))),
+         lambda c, b: xor(c >> 1, (xor(c, b) & 1) * 3988292384))) AS h FROM told),
+words AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+    SELECT times, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM coded)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+less AS (SELECT DISTINCT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM words, unnest(range(0, length(word))) t(i)),
+near AS (
+  SELECT a.word, b.word AS near FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word FROM less a JOIN words b ON a.rest = b.word),
+best AS (
+  SELECT p.word, count(*) AS n_near, max(w.n) AS most, min(p.near) FILTER (WHERE w.n = m.most) AS form
+  FROM near p JOIN words w ON w.word = p.near
+  JOIN (SELECT p.word, max(w.n) AS most FROM near p JOIN words w ON w.word = p.near GROUP BY p.word) m ON m.word = p.word GROUP BY p.word),
+forms AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.most >= 10 * w.n THEN b.form END AS form, CASE WHEN b.most >= 10 * w.n THEN b.most END AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word),
+chain AS (
+  SELECT word, form, word AS root FROM forms
+  UNION ALL SELECT c.word, f.form, f.word FROM chain c JOIN forms f ON f.word = c.form)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM forms f JOIN chain c ON c.word = f.word AND c.form IS NULL
+"""
