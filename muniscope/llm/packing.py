@@ -22,10 +22,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import run_ends, sliced
+from .common import run_ends, settle, sliced
 from .tokens import encoder, with_end
 
 SIZE = 2048
+SENT = 1 << 20  # rows of 16 bytes that may be sent to all tasks
 PIECES = "doc_id long, start long, length int, doc_tokens long, task int, nth long, ids binary"
 
 
@@ -107,7 +108,9 @@ def with_rank(pieces: DataFrame) -> DataFrame:
     """Add ``rank``: 0, 1, ... within each length, in place of task and nth."""
     counts = pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    base = settle(counts.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "bases")
+    if base.count() <= SENT:  # a row for each task and length; where these are more, the pieces are dealt by both
+        base = F.broadcast(base)
     return pieces.join(base, ["length", "task"]).withColumn("rank", F.col("base") + F.col("nth")).drop("task", "nth", "base")
 
 

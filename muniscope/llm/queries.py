@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import chat_format, decontaminate, fingerprint, language_id, line_dedup, near_dedup, packing, repeats, reshard, spelling, structure, token_files
+from . import chat_format, decontaminate, fingerprint, language_id, line_dedup, near_dedup, packing, repeats, reshard, spelling, structure, templates, token_files
 from .common import settle, ship, workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -287,3 +287,20 @@ chain AS (
   UNION ALL SELECT c.word, f.form, f.word FROM chain c JOIN forms f ON f.word = c.form)
 SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM forms f JOIN chain c ON c.word = f.word AND c.form IS NULL
 """
+
+
+@query
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+# these pages hold their article in one article element of headings and paragraphs; no block recurs on half of a host's pages
+ORACLE["op13_html_text"] = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|</body>|</html>|$)', 1) AS x FROM pages),
+b AS (
+  SELECT page_id, url, list_filter(list_transform(string_split_regex(x, '</?(p|h1)>'), lambda t:
+         trim(regexp_replace(replace(replace(replace(regexp_replace(regexp_replace(t, '<br>', ' ', 'g'), '<[^>]*>', '', 'g'),
+         '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '\s+', ' ', 'g'))), lambda t: t <> '') AS blocks FROM a),
+c AS (SELECT page_id, url, regexp_replace(replace(array_to_string(blocks, chr(10) || chr(10)), '&#x27;', chr(39)), '&amp;?', '&', 'g') AS text FROM b)
+SELECT page_id, url, text, length(text) AS n_chars FROM c
+"""

@@ -205,11 +205,12 @@ def _weights(blocks: DataFrame) -> DataFrame:
 LEGAL = {"su", "ua", "au"}
 
 
-def plan_repairs(faults: DataFrame) -> DataFrame:
+def plan_repairs(faults: DataFrame, size: int = BLOCK) -> DataFrame:
     """conv, cost, audit, illegal (adjacent rows whose initials do not follow each other), and ``block``, ``edits``: for each
-    row of a block (number, turns inserted before it, edit, new role). cost, audit and illegal stand in block 0 alone."""
+    row of a block (number, turns inserted before it, edit, new role). cost, audit and illegal stand in block 0 alone. Blocks
+    have ``size`` rows."""
     initial = F.when(F.length("role") > 0, F.substring("role", 1, 1)).otherwise("-")
-    narrow = faults.select("conv", "at", F.floor(F.col("at") / BLOCK).alias("block"), symbols(F.col("fault"), F.col("role")).alias("symbol"), initial.alias("initial"))
+    narrow = faults.select("conv", "at", F.floor(F.col("at") / size).alias("block"), symbols(F.col("fault"), F.col("role")).alias("symbol"), initial.alias("initial"))
     told = lambda name: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", name))), lambda x: x[name]), "")
     blocks = narrow.groupBy("conv", "block").agg(told("symbol").alias("rows"), told("initial").alias("initials"))
     dealt = _weights(blocks).repartition(partitions(faults.sparkSession), "conv").sortWithinPartitions("conv", "block")
@@ -224,8 +225,8 @@ def plan_repairs(faults: DataFrame) -> DataFrame:
             cost, audit = finished(best, width)
             letters = "".join(rows)
             steps, at = walk(audit, letters), 0
-            for k in range(0, len(letters) // BLOCK + 1):
-                edits = [{"at": at + i, "before": b, "edit": e, "role": r} for i, (b, e, r) in zip(range(BLOCK), steps)]
+            for k in range(len(letters) // size + 1):
+                edits = [{"at": at + i, "before": b, "edit": e, "role": r} for i, (b, e, r) in zip(range(size), steps)]
                 at += len(edits)
                 first = k == 0
                 yield {"conv": conv, "block": k, "cost": cost if first else None, "audit": audit if first else None, "illegal": illegal if first else None, "edits": edits}
