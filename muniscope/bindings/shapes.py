@@ -105,7 +105,7 @@ HOME = {
     "tipo_escusado": code(_C, 6, 1),
     "c_salud_hoga": holed(_K, 9, 6),
     "c_salud_hogb": holed(f"{_K} + 1", 9, 5),
-    "ubica_geo": f"lpad(CAST({_K} % 30000 AS STRING), greatest(9, CAST(length(CAST({_K} % 30000 AS STRING)) AS INTEGER)), '0')",
+    "ubica_geo": f"lpad(CAST({_K} AS STRING), greatest(9, CAST(length(CAST({_K} AS STRING)) AS INTEGER)), '0')",
     "ing_cor": "o_totalprice",
     "remesas": "o_totalprice - 100000",
     "escusado_exclusivo": code(f"{_K} + 1", 2),
@@ -141,7 +141,7 @@ HOME = {
 CRIME = {
     "anio": "CAST(2024 AS INT)",
     "mes": "CASE WHEN user_id % 3 = 0 THEN 'Abril' WHEN user_id % 3 = 1 THEN 'Enero' ELSE 'Agosto' END",
-    "cve_muni": "lpad(CAST(user_id % 200 AS STRING), greatest(5, CAST(length(CAST(user_id % 200 AS STRING)) AS INTEGER)), '0')",
+    "cve_muni": "lpad(CAST(user_id AS STRING), greatest(5, CAST(length(CAST(user_id AS STRING)) AS INTEGER)), '0')",
     "subtipodedelito": "event_type",
     "incidencia_delictiva": "value",
 }
@@ -185,7 +185,7 @@ RAW_BENEFICIARY = {
             f"CASE WHEN {_P} % 50 = 0 THEN '19900231' ELSE concat(CAST(1930 + {_P} % 85 AS STRING), lpad(CAST(1 + {_S} % 12 AS STRING), greatest(2, CAST(length(CAST(1 + {_S} % 12 AS STRING)) AS INTEGER)), '0'), lpad(CAST(1 + {_L} * 3 AS STRING), 2, '0')) END",
             f"CASE WHEN {_S} % 3 = 0 THEN 'H' WHEN {_S} % 3 = 1 THEN '\"M\"' ELSE '' END",
             f"CAST({_P} % 14 AS STRING)",
-            f"concat('N', CAST({_O} % 3000 AS STRING))",
+            f"concat('N', CAST({_O} AS STRING))",
             f"CASE WHEN {_P} % 20 = 0 THEN '' ELSE CAST(CAST(floor(l_extendedprice) AS BIGINT) AS STRING) END",
             f"CAST({_S} % 6 * 7 AS STRING)",
             f"CASE WHEN {_P} % 30 = 0 THEN '999' ELSE CAST({_P} % 13 AS STRING) END",

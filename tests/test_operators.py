@@ -201,3 +201,30 @@ def test_sections_and_folder(spark, tmp_path):
     folder.mkdir()
     (folder / "a.csv").write_text("x|y\n1|2\nx|y\n3|4\n")
     assert rows(readers.read_folder(spark, str(folder)), "x", "y", "source_file") == [("1", "2", "a.csv"), ("3", "4", "a.csv")]
+
+
+def test_nearest_equals_all_pairs(spark):
+    import math
+    import random
+
+    rng = random.Random(4)
+    places = [(90.0, 0.0), (-90.0, 10.0), (0.0, 180.0), (0.0, -179.99), (10.0, 10.0), (10.0, 10.0)] + [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(60)]
+    sources = [(i, 20 + rng.gauss(0, 0.2), -100 + rng.gauss(0, 0.2)) for i in range(300)] + [(300 + i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(40)]
+    sources += [(400, 0.0, 180.0), (401, 0.0, 180.0), (402, 89.9, 120.0)]
+
+    def arc(a, b, c, d):
+        a, b, c, d = map(math.radians, (a, b, c, d))
+        h = math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2
+        return 2 * S.EARTH_RADIUS_KM * math.asin(min(1, math.sqrt(h)))
+
+    df = spark.createDataFrame(sources, "id int, lat double, lon double").withColumn("v", F.col("id").cast("double"))
+    where = spark.createDataFrame(sorted(set(places)), "__lat double, __lon double")
+    for k in (1, 5):
+        got = {(r["__lat"], r["__lon"]): [p["d"] for p in r["near"]] for r in S.nearest(where, df, k, block=16).collect()}
+        for lat, lon in set(places):
+            want = sorted(arc(lat, lon, a, b) for _, a, b in sources)[:k]
+            assert all(math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-6) for x, y in zip(got[lat, lon], want, strict=True))
+    few = S.idw(spark.createDataFrame([(1, 5.0, 5.0), (2, None, 1.0)], "t int, lat double, lon double"), df.where("id > 400"), "v", "t", "id", k=5).collect()
+    assert {r["t"]: r["v"] is None for r in few} == {1: False, 2: True}
+    none = S.idw(spark.createDataFrame([(1, 5.0, 5.0)], "t int, lat double, lon double"), df.limit(0), "v", "t", "id", k=2).collect()
+    assert [r["v"] for r in none] == [None]
