@@ -6,7 +6,8 @@ most room) while these fit, splitting a packing pattern's count where only some
 otherwise. The patterns are joined back to the pieces by rank: the r-th piece of a length takes the r-th place that the
 patterns have for it. A rank is the piece's number among the pieces of its length that its own task made, plus those of the
 tasks before, so a length that a third of all pieces share is ranked by many tasks. ``sequences`` then brings the ids of a
-sequence together; ids travel as little-endian unsigned 32-bit integers in one binary value (``numpy.frombuffer(x, "<u4")``).
+sequence together; ids travel as little-endian unsigned integers of ``width`` bytes in one binary value
+(``numpy.frombuffer(x, "<u4")``): four, or two where the vocabulary is small enough, which halves what is moved and stored.
 
 Defined cases: null text is empty and is the end id alone; repeated rows are packed each; null ids are kept; an empty
 table packs nothing; other columns are ignored.
@@ -14,6 +15,7 @@ table packs nothing; other columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Mapping
 
 import numpy as np
@@ -22,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import run_ends, settle, sliced
+from .common import offsets, run_ends, settle, sliced, text_bytes
 from .tokens import encoder, with_end
 
 SIZE = 2048
@@ -30,7 +32,7 @@ SENT = 1 << 20  # rows of 16 bytes that may be sent to all tasks
 PIECES = "doc_id long, start long, length int, doc_tokens long, task int, nth long, ids binary"
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, end: int, size: int = SIZE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, end: int, size: int = SIZE, doc_id: str = "doc_id", text: str = "text", width: int = 4) -> DataFrame:
     """Pieces of at most ``size`` ids: doc_id, start, length, doc_tokens, ids, and task and nth (its place among the pieces of
     its length that one task made)."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -49,8 +51,10 @@ def token_pieces(docs: DataFrame, tokenizer: str, end: int, size: int = SIZE, do
             nth[by_length] = np.arange(len(doc)) - np.repeat(first, many)
             nth += seen[length]
             seen += np.bincount(length, minlength=size + 1)
-            borders = pa.array((4 * np.concatenate([[0], np.cumsum(length)])).astype(np.int32))
-            packed = pa.BinaryArray.from_buffers(pa.binary(), len(doc), [None, borders.buffers()[1], pa.py_buffer(ids.astype("<u4"))])
+            if len(ids) and int(ids.max()) >> (8 * width):
+                raise ValueError(f"an id does not fit into {width} bytes")
+            borders = pa.array((width * np.concatenate([[0], np.cumsum(length)])).astype(np.int32))
+            packed = pa.BinaryArray.from_buffers(pa.binary(), len(doc), [None, borders.buffers()[1], pa.py_buffer(ids.astype(f"<u{width}"))])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(doc)), pa.array(start), pa.array(length.astype(np.int32)), pa.array(counts[doc]), pa.array(np.full(len(doc), task, np.int32)), pa.array(nth), packed],
                 names=["doc_id", "start", "length", "doc_tokens", "task", "nth", "ids"],
@@ -123,30 +127,45 @@ def pack(spark: SparkSession, pieces: DataFrame, size: int = SIZE) -> DataFrame:
     return met.withColumn("sequence_id", F.col("base_sequence") + F.col("rank") - F.col("first")).drop("rank", "first", "behind", "base_sequence")
 
 
-def sequences(packed: DataFrame, size: int = SIZE, pad: int = 0) -> DataFrame:
+def sequences(packed: DataFrame, size: int = SIZE, pad: int = 0, width: int = 4) -> DataFrame:
     """Whole sequences of ``size`` ids: sequence_id, ids (padded with ``pad``), n_used, and their pieces in order: doc_id,
     start, length, doc_tokens, offset. At most ``size`` pieces meet in one."""
     piece = F.struct("offset", "doc_id", "start", "length", "doc_tokens")
     joined = packed.groupBy("sequence_id").agg(
         F.expr("listagg(ids) WITHIN GROUP (ORDER BY offset)").alias("used"), F.array_sort(F.collect_list(piece)).alias("pieces"), F.sum("length").cast("int").alias("n_used")
     )
-    padding = F.unhex(F.repeat(F.lit(pad.to_bytes(4, "little").hex()), size - F.col("n_used")))
+    padding = F.unhex(F.repeat(F.lit(pad.to_bytes(width, "little").hex()), size - F.col("n_used")))
     return joined.select("sequence_id", F.concat("used", padding).alias("ids"), "n_used", "pieces")
 
 
-def write_sequences(packed: DataFrame, path: str, size: int = SIZE, pad: int = 0) -> DataFrame:
+def write_sequences(packed: DataFrame, path: str, size: int = SIZE, pad: int = 0, width: int = 4) -> DataFrame:
     """Write the sequences as Parquet and read them back."""
-    whole = sequences(packed, size, pad)
+    whole = sequences(packed, size, pad, width)
     whole.write.option("compression", "zstd").parquet(path)
     return packed.sparkSession.read.schema(whole.schema).parquet(path)
 
 
-def placements(stored: DataFrame) -> DataFrame:
-    """The pieces that written sequences hold: doc_id, start, length, ids_crc32 (of the ids found there), doc_tokens,
-    sequence_id, offset."""
-    one = stored.select("sequence_id", "ids", F.explode("pieces").alias("piece"))
-    held = F.expr("substring(ids, CAST(4 * piece.offset + 1 AS INT), 4 * piece.length)")
-    return one.select(
-        "piece.doc_id", "piece.start", F.col("piece.length").cast("long").alias("length"), F.crc32(held).alias("ids_crc32"),
-        "piece.doc_tokens", "sequence_id", "piece.offset",
-    )
+def placements(stored: DataFrame, width: int = 4) -> DataFrame:
+    """The pieces that written sequences hold: doc_id, start, length, ids_crc32 (of the ids found there, as little-endian
+    unsigned 32-bit integers), doc_tokens, sequence_id, offset. Map-only."""
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            pieces = batch.column("pieces")
+            many = np.diff(offsets(pieces))
+            each = pieces.flatten()
+            place, length = (each.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("offset", "length"))
+            raw, borders = text_bytes(batch.column("ids"))
+            wide = memoryview(raw.view(f"<u{width}").astype("<u4")).cast("B")
+            start = np.repeat(borders[:-1] // width, many) + place
+            sums = [zlib.crc32(wide[4 * a : 4 * b]) for a, b in zip(start.tolist(), (start + length).tolist(), strict=True)]
+            of = pa.array(np.repeat(np.arange(batch.num_rows), many))
+            yield pa.RecordBatch.from_arrays(
+                [each.field("doc_id"), each.field("start"), pa.array(length), pa.array(sums, pa.int64()), each.field("doc_tokens"), batch.column("sequence_id").take(of), pa.array(place)],
+                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
+            )
+
+    kind = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+    return stored.select("sequence_id", "ids", "pieces").mapInArrow(run, kind)

@@ -135,8 +135,9 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = settle(packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=1), "pieces")
-    return packing.placements(packing.write_sequences(packing.pack(spark, pieces), workspace(spark, "sequences")))
+    width = 2  # bytes of an id: the vocabulary has some 49,000
+    pieces = settle(packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=1, width=width), "pieces")
+    return packing.placements(packing.write_sequences(packing.pack(spark, pieces), workspace(spark, "sequences"), width=width), width)
 
 
 @query
