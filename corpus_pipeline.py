@@ -14,6 +14,7 @@ from muniscope.llm import decontaminate, language_id, line_dedup, near_dedup, pa
 from muniscope.llm.common import settle, ship, workspace
 
 END_ID = 1
+ID_BYTES = 2  # the vocabulary has some 49,000 ids
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +49,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Writes sequences of 2048 token ids and returns, from these files, the pieces that they hold."""
     ship(spark)
-    pieces = settle(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), END_ID), "pieces")
-    return packing.placements(packing.write_sequences(packing.pack(spark, pieces), workspace(spark, "sequences")))
+    pieces = settle(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), END_ID, width=ID_BYTES), "pieces")
+    return packing.placements(packing.write_sequences(packing.pack(spark, pieces), workspace(spark, "sequences"), width=ID_BYTES), ID_BYTES)
 
 
 STAGES = [
