@@ -7,8 +7,8 @@ another are computed by one aggregate and joined back once; keys that are null g
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,6 +65,65 @@ class Rule:
         return set(re.findall(r"[A-Za-z_]\w*", text))
 
 
+def _renamed(text: str, names: dict[str, str]) -> str:
+    """SQL text with other column names; quoted strings stay."""
+    parts = re.split(r"('[^']*')", text)
+    return "".join(p if p.startswith("'") else re.sub(r"[A-Za-z_]\w*", lambda m: names.get(m[0], m[0]), p) for p in parts)
+
+
+@dataclass(frozen=True)
+class Step:
+    """A chunk in a run of several: ``after`` names the step whose variables it starts from (else the table's)."""
+
+    chunk: Sequence[Rule]
+    variables: Sequence[str] | None = None
+    after: str | None = None
+
+
+def run_steps(df: DataFrame, steps: Mapping[str, Step]) -> tuple[DataFrame, dict[str, dict[str, str]]]:
+    """All rules of several chunks over one table, by levels of dependency.
+
+    Each rule's variable becomes a column of its own, also where chunks (or one chunk twice) give the same name to
+    different values. A row rule is as deep as what it reads, a grouped rule one deeper. So all grouped rules of a level
+    over the same keys, of whatever chunk, are one aggregate and one join. Returns the table with all columns, and for each
+    step the column that holds each of its variables.
+    """
+    taken = {c: 0 for c in df.columns}  # level of each column
+    layers: dict[int, list[Rule]] = {}
+    groups: dict[int, list[Rule]] = {}
+    held: dict[str, dict[str, str]] = {}
+    for label, step in steps.items():
+        names = dict(held[step.after]) if step.after else {}
+        for rule in step.chunk:
+            if step.variables is not None and rule.name not in step.variables:
+                continue
+            own = replace(
+                rule, expr=_renamed(rule.expr, names), where=rule.where and _renamed(rule.where, names),
+                branches=tuple((_renamed(c, names), v if not isinstance(v, str) else _renamed(v, names)) for c, v in rule.branches),
+                by=tuple(names.get(k, k) for k in rule.by),
+            )
+            level = max([0, *(taken[c] for c in own.reads() if c in taken)]) + bool(own.by)
+            name = rule.name if rule.name not in taken else f"{rule.name}__{len(taken)}"
+            names[rule.name], taken[name] = name, level
+            (groups if own.by else layers).setdefault(level, []).append(replace(own, name=name))
+        held[label] = names
+    for level in range(max([0, *layers, *groups]) + 1):
+        if level in groups:
+            tables = []
+            for by in dict.fromkeys(r.by for r in groups[level]):
+                tables += [(t, by) for t in _group_tables(df, [r for r in groups[level] if r.by == by], by)]
+            for table, by in tables:
+                df = df.join(table, list(by), "left")
+            df = df.withColumns({r.name: F.coalesce(F.col(r.name), F.lit(0)) for r in groups[level]})
+        layer: dict[str, Column] = {}
+        for rule in layers.get(level, []):
+            if set(layer) & rule.reads():
+                df, layer = df.withColumns(layer), {}
+            layer[rule.name] = F.expr(rule.value_sql())
+        df = df.withColumns(layer) if layer else df
+    return df, held
+
+
 def run_chunk(
     df: DataFrame,
     chunk: Sequence[Rule],
@@ -109,8 +168,16 @@ def run_chunk(
 
 
 def _join_groups(df: DataFrame, rules: Sequence[Rule], by: tuple[str, ...]) -> DataFrame:
-    """One aggregate for all rules over the same keys, joined back; distinct counts go through a per-member step."""
+    """One aggregate for all rules over the same keys, joined back; keys without a value get 0."""
     names = [r.name for r in rules]
+    out = df.drop(*names)
+    for t in _group_tables(df, rules, by):
+        out = out.join(t, list(by), "left")
+    return out.withColumns({n: F.coalesce(F.col(n), F.lit(0)) for n in names})
+
+
+def _group_tables(df: DataFrame, rules: Sequence[Rule], by: tuple[str, ...]) -> list[DataFrame]:
+    """Rows of keys and values of the rules over them; distinct counts go through a per-member step."""
     present = df.where(" AND ".join(f"`{k}` IS NOT NULL" for k in by))
 
     def guarded(r):
@@ -139,8 +206,4 @@ def _join_groups(df: DataFrame, rules: Sequence[Rule], by: tuple[str, ...]) -> D
     else:
         tables.append(present.groupBy(*by).agg(*[_AGG[r.agg](guarded(r)).alias(r.name) for r in plain]))
 
-    out = df.drop(*names)
-    for t in tables:
-        out = out.join(t, list(by), "left")
-    out = out.withColumns({n: F.coalesce(F.col(n), F.lit(0)) for n in names})
-    return out
+    return tables

@@ -11,7 +11,7 @@ from ..functions.text import pad_left
 from ..functions.numbers import any_in
 from ..operators.aggregates import collapse_max, gap_ratio, weighted_indicator, weighted_table
 from ..operators.joins import natural_left
-from ..operators.rules import run_chunk
+from ..operators.rules import Step, run_chunk, run_steps
 from ..operators.scale import settle
 from .packs import DEPRIVATION, INCOME, poverty_rules
 
@@ -34,31 +34,45 @@ def _names(pack: Mapping, chunk: str) -> list[str]:
     return list(dict.fromkeys(r.name for r in pack[chunk]))
 
 
+def _picked(df: DataFrame, held: Mapping[str, Mapping[str, str]], wanted: Mapping[str, Sequence[str]], ids: Sequence[str]) -> DataFrame:
+    """Id columns and the wanted variables of several steps; a variable of two steps is taken from the first."""
+    columns: dict[str, str] = {}
+    for step, names in wanted.items():
+        for name in names:
+            columns.setdefault(name, held[step][name])
+    return df.select(*ids, *[F.col(c).alias(n) for n, c in columns.items()])
+
+
 def survey_deprivation(people: DataFrame, homes: DataFrame, dwellings: DataFrame, jobs: DataFrame, income: DataFrame) -> DataFrame:
     """Deprivation flags per person from the five survey tables (after cleaning and recoding).
 
-    What several packs and their grouped layers read is settled, so each survey table is read once for it.
+    Work, health and social security run as steps of one table of persons and jobs: their grouped layers are one aggregate
+    and one join by household, and they are collapsed to persons together.
     """
-    members = settle(people.where(F.col("parentesco") != VISITOR))
+    members = people.where(F.col("parentesco") != VISITOR)
     youngest = members.groupBy("data_date", *HOME).agg(F.min("edad").alias("min_edad"))
     home = youngest.join(homes, ["data_date", *HOME], "left")
-    worker = members.join(jobs, ["data_date", *PERSON], "left")
     earner = members.select("data_date", *PERSON, "edad").join(income, ["data_date", *PERSON], "left")
 
     schooling = run_chunk(members, DEPRIVATION["rezago_educativo"], ["nivel_edu", "a_nacimiento", "ic_rezago_educativo"], PERSON)
     food = run_chunk(home, DEPRIVATION["carencia_alimentaria"], ["i_menores18", "total_ia", "inseguridad_alimentaria", "ic_alimentacion"], HOME)
-    services = run_chunk(dwellings, DEPRIVATION["carencia_servicios"], None, DWELLING)
-    quality = run_chunk(dwellings, DEPRIVATION["carencia_vivienda"], None, DWELLING)
-    work = settle(run_chunk(settle(worker), DEPRIVATION["trabajo_enigh"], None, PERSON, return_all=True))
-    health = collapse_max(run_chunk(work, DEPRIVATION["carencia_salud"], HEALTH_VARS, PERSON), PERSON, HEALTH_VARS)
+    roofed, told = run_steps(dwellings, {n: Step(DEPRIVATION[n]) for n in ("carencia_servicios", "carencia_vivienda")})
+    dwelled = _picked(roofed, told, {n: _names(DEPRIVATION, n) for n in told}, DWELLING)
+
     money_vars = _names(DEPRIVATION, "ingresos_enigh")
-    money = collapse_max(run_chunk(earner, DEPRIVATION["ingresos_enigh"], None, PERSON), PERSON, money_vars)
-    insured = run_chunk(settle(work.join(money, PERSON, "left")), DEPRIVATION["carencia_seguridad_social"], SECURITY_VARS, PERSON)
-    insured = collapse_max(insured, PERSON, SECURITY_VARS).drop("sm_lab", "sm_cv")
-    return (
-        schooling.join(food, HOME, "left").join(health, PERSON, "left").join(insured, PERSON, "left")
-        .join(services, DWELLING, "left").join(quality, DWELLING, "left")
-    )
+    earned, told = run_steps(earner, {"money": Step(DEPRIVATION["ingresos_enigh"])})
+    money = settle(collapse_max(_picked(earned, told, {"money": money_vars}, PERSON), PERSON, money_vars))
+    steps = {
+        "work": Step(DEPRIVATION["trabajo_enigh"]),
+        "health": Step(DEPRIVATION["carencia_salud"], HEALTH_VARS, after="work"),
+        "security": Step(DEPRIVATION["carencia_seguridad_social"], SECURITY_VARS, after="work"),
+    }
+    worker = settle(members.join(jobs, ["data_date", *PERSON], "left").join(money, PERSON, "left"))
+    flagged, told = run_steps(worker, steps)
+    security_vars = [v for v in SECURITY_VARS if v not in ("sm_lab", "sm_cv")]
+    covered = _picked(flagged, told, {"health": HEALTH_VARS, "security": security_vars}, PERSON)
+    covered = collapse_max(covered, PERSON, covered.columns[len(PERSON):])
+    return schooling.join(food, HOME, "left").join(covered, PERSON, "left").join(dwelled, DWELLING, "left")
 
 
 def registry_deprivation(members: DataFrame, answers: DataFrame, home_answers: DataFrame, home_size: DataFrame) -> DataFrame:
@@ -98,33 +112,31 @@ def registry_deprivation(members: DataFrame, answers: DataFrame, home_answers: D
 def income_predictors(
     people: DataFrame, homes: DataFrame, dwellings: DataFrame, jobs: DataFrame, summary: DataFrame
 ) -> DataFrame:
-    """One row per household with the income predictors, current income and locality."""
-    members = settle(people.where(F.col("parentesco") != VISITOR))
-    worker = settle(members.join(jobs, ["data_date", *PERSON], "left"))
+    """One row per household with the income predictors, current income and locality.
+
+    What reads persons runs as steps of one table, what reads persons and jobs as steps of another: grouped layers are one
+    aggregate and one join a level and key, and each table is collapsed to households once.
+    """
+    members = people.where(F.col("parentesco") != VISITOR)
     rooms = dwellings.select(*DWELLING, "total_cuartosdor", "total_personas")
+    worker = settle(members.join(jobs, ["data_date", *PERSON], "left"))
     housed = settle(members.join(rooms, DWELLING, "left").join(summary.select(*HOME, "remesas"), HOME, "left"))
     equipped = dwellings.drop("data_date").join(homes, DWELLING, "left")
 
-    def per_home(df, chunk, skip=()):
-        names = [n for n in _names(INCOME, chunk) if n not in skip]
-        return collapse_max(run_chunk(df, INCOME[chunk], None, HOME), HOME, names)
+    def per_home(df, chunks, skip=()):
+        out, held = run_steps(df, {n: Step(INCOME[n]) for n in chunks})
+        found = _picked(out, held, {n: [v for v in _names(INCOME, n) if v not in skip] for n in chunks}, HOME)
+        return collapse_max(found, HOME, found.columns[len(HOME):])
 
-    language = ("habla_lenguaind",)
     housing = run_chunk(dwellings, INCOME["condiciones_vivienda"], None, DWELLING).drop("no_sanitario", "sanitario_cagua", "total_cuartosdor")
-    location = dwellings.select(*DWELLING, F.col("ubica_geo").alias("cve_loc"))
-    parts = [
-        per_home(worker, "seguridad_social"),
-        per_home(worker, "condicion_laboral"),
-        per_home(housed, "condiciones_demograficas1"),
-        per_home(housed, "condiciones_demograficas2", language),
-        per_home(equipped, "enseres_hogar"),
-        run_chunk(homes, INCOME["seguridad_alimentaria"], None, HOME),
-        summary.select(*HOME, "ing_cor"),
-    ]
-    out = per_home(members, "educacion")
-    for part in parts:
-        out = out.join(part, HOME, "left")
-    return out.join(housing, DWELLING, "left").join(location, DWELLING, "left")
+    dwelled = natural_left(housing, dwellings.select(*DWELLING, F.col("ubica_geo").alias("cve_loc")))
+    told = natural_left(run_chunk(homes, INCOME["seguridad_alimentaria"], None, HOME), summary.select(*HOME, "ing_cor"))
+    out = per_home(housed, ["educacion", "condiciones_demograficas1", "condiciones_demograficas2"], ("habla_lenguaind",))
+    known = F.col(HOME[0]).isNotNull() & F.col(HOME[1]).isNotNull() & F.col(HOME[2]).isNotNull()  # households that can be met by key
+    first = {*HOME, *_names(INCOME, "educacion")}
+    out = out.withColumns({c: F.when(known, F.col(c)) for c in out.columns if c not in first})
+    out = out.join(per_home(worker, ["seguridad_social", "condicion_laboral"]), HOME, "left").join(per_home(equipped, ["enseres_hogar"]), HOME, "left")
+    return out.join(told, HOME, "left").join(dwelled, DWELLING, "left")
 
 
 # Indicators reported per state.
