@@ -6,7 +6,7 @@ node, edits). A walk without edits is the word's own path, known from building t
 that path a row makes its one edit: it skips the word's letter there, or takes another letter's edge. Then all rows go on
 level by level, each level one join with the edge table on (node, next letter), until none is left; rows that end with
 their word at a node where a word ends are neighbours. Edits in a word's first half are found from the back, where tries
-are sparse too. Insertions are the skips of the other word, and the smaller letter finds a replacement, so every pair is
+are sparse too, so the tries hold the second halves alone. Insertions are the skips of the other word, and the smaller letter finds a replacement, so every pair is
 found once at least and then turned round.
 
 Nothing is bounded by a cap: a node has at most as many edges as there are letters, so a level's rows grow with the words.
@@ -53,21 +53,29 @@ def _node(side: Column, letters: Column) -> Column:
     return F.xxhash64(side, letters)
 
 
+def _read(word: Column, side: Column) -> Column:
+    """The word as its side reads it."""
+    return F.when(side == 0, word).otherwise(F.reverse(word))
+
+
 def build_tries(words: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Paths (word, side, text, m, path: the nodes the word meets) and edges (parent, letter, label, child) of both tries."""
-    m = F.char_length("word")
-    sides = F.array(F.struct(F.lit(0).alias("side"), F.col("word").alias("text")), F.struct(F.lit(1).alias("side"), F.reverse("word").alias("text")))
-    read = words.select("word", m.alias("m"), F.explode(sides).alias("x")).select("word", "m", "x.side", "x.text")
-    places = read.select("*", F.explode(F.sequence(F.lit(0), F.col("m"))).alias("at")).select(
-        "*", _node(F.col("side"), _letters(F.col("text"), F.lit(0), F.col("at"))).alias("node"), _letters(F.col("text"), F.col("at"), F.lit(1)).alias("letter")
-    )
-    seen = places.groupBy("node").agg(F.min("letter").alias("least"), F.max("letter").alias("most"))
-    nodes = seen.where((F.col("least") != F.col("most")) | (F.col("most") == "")).select("node")  # words branch or end here
-    paths = settle(
-        places.join(nodes, "node").groupBy("word", "side", "text", "m").agg(F.array_sort(F.collect_list(F.struct("at", "node"))).alias("path")), "paths"
-    )  # a word's path is no longer than the word
+    """Paths (word, side, path: the nodes the word meets) and edges (parent, letter, label, child) of both tries.
+
+    A word enters its nodes from just before its middle on: no walk of a word of about this length starts earlier, and what
+    longer words do there does not matter to it. Rows are kept narrow, as there is one for each letter.
+    """
+    m, side, at = F.char_length("word"), F.col("side"), F.col("at")
+    text = _read(F.col("word"), side)
+    first = F.floor((m - 1) / 2).cast("int")
+    read = words.select("word", F.explode(F.array(F.lit(0).cast("byte"), F.lit(1).cast("byte"))).alias("side"))
+    places = read.select("word", "side", F.explode(F.sequence(first, m)).alias("at"))
+    nodes = places.select(_node(side, _letters(text, F.lit(0), at)).alias("node"), _letters(text, at, F.lit(1)).alias("letter"))
+    seen = nodes.groupBy("node").agg(F.min("letter").alias("least"), F.max("letter").alias("most"))
+    open_nodes = seen.where((F.col("least") != F.col("most")) | (F.col("most") == "")).select("node")  # words branch or end here
+    met = places.select("word", "side", "at", _node(side, _letters(text, F.lit(0), at)).alias("node")).join(open_nodes, "node")
+    paths = settle(met.groupBy("word", "side").agg(F.array_sort(F.collect_list(F.struct("at", "node"))).alias("path")), "paths")  # no longer than the word
     steps = F.transform(F.sequence(F.lit(1), F.size("path") - 1), lambda i: F.struct(F.get("path", i - 1).alias("a"), F.get("path", i).alias("b")))
-    walked = paths.where(F.size("path") > 1).select("text", F.explode(steps).alias("s"))
+    walked = paths.where(F.size("path") > 1).select(text.alias("text"), F.explode(steps).alias("s"))
     label = _letters(F.col("text"), F.col("s.a.at"), F.col("s.b.at") - F.col("s.a.at"))
     edges = walked.select(F.col("s.a.node").alias("parent"), label.alias("label"), F.col("s.b.node").alias("child")).distinct()
     return paths, settle(edges.withColumn("letter", F.substring("label", 1, 1)), "edges")
@@ -76,12 +84,13 @@ def build_tries(words: DataFrame) -> tuple[DataFrame, DataFrame]:
 def neighbours(words: DataFrame) -> DataFrame:
     """word, near: all ordered pairs of words that differ by one inserted, deleted or replaced code point. Settled."""
     paths, edges = build_tries(words)
-    text, at, m, label = F.col("text"), F.col("at"), F.col("m"), F.col("label")
-    half = F.when(F.col("side") == 0, F.floor(m / 2)).otherwise(m - F.floor(m / 2))
-    own = paths.select("word", "text", "m", "side", F.explode("path").alias("x")).select("word", "text", "m", "side", "x.at", "x.node", F.lit(0).alias("edits"))
-    start = own.where((at >= half) & (at < m)).drop("side")
+    at, m, side, label = F.col("at"), F.char_length("word"), F.col("side"), F.col("label")
+    text = _read(F.col("word"), side)
+    half = F.when(side == 0, F.floor(m / 2)).otherwise(m - F.floor(m / 2))
+    own = paths.select("word", "side", F.explode("path").alias("x")).select("word", "side", "x.at", "x.node", F.lit(0).alias("edits"))
+    start = own.where((at >= half) & (at < m))
     letter = _letters(text, at, F.lit(1))
-    state = ["word", "text", "m", "at", "node", "edits"]
+    state = ["word", "side", "at", "node", "edits"]
     # of equal letters in a row, the last is the one to skip
     skipped = start.where((at + 1 == m) | (_letters(text, at + 1, F.lit(1)) != letter)).withColumn("at", at + 1)
     behind = F.char_length(label)
@@ -91,13 +100,13 @@ def neighbours(words: DataFrame) -> DataFrame:
         .withColumns({"at": at + behind, "node": F.col("child")})
     )
     states = settle(skipped.select(state).unionByName(replaced.select(state)).withColumn("edits", F.lit(1)), "frontier")
-    ended = states.where("at = m")
-    while not (active := states.where("at < m")).isEmpty():
+    ended = states.where(at == m)
+    while not (active := states.where(at < m)).isEmpty():
         met = active.join(edges, (F.col("node") == F.col("parent")) & (F.col("letter") == letter)).where(label == _letters(text, at, behind))
         states = settle(met.withColumns({"at": at + behind, "node": F.col("child")}).select(state), "frontier")
-        ended = ended.unionByName(states.where("at = m"))
-    ends = words.select(F.col("word").alias("near"), F.explode(F.array(_node(F.lit(0), F.col("word")), _node(F.lit(1), F.reverse("word")))).alias("node"))
-    pairs = ended.join(ends, "node").where(F.levenshtein("word", "near", 1) == 1).select("word", "near")
+        ended = ended.unionByName(states.where(at == m))
+    ends = words.select(F.col("word").alias("near"), F.explode(F.array(_node(F.lit(0).cast("byte"), F.col("word")), _node(F.lit(1).cast("byte"), F.reverse("word")))).alias("node"))
+    pairs = ended.select("word", "node").join(ends, "node").where(F.levenshtein("word", "near", 1) == 1).select("word", "near")
     return settle(pairs.unionByName(pairs.select(F.col("near").alias("word"), F.col("word").alias("near"))).distinct(), "neighbours")
 
 
