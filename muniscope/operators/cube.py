@@ -48,15 +48,16 @@ def dimension_cube(
             raise ValueError(f"groupings {combos[used]} and {names} use the same keys")
         combos[used] = names
 
-    reduced = df.groupBy(*keys, who).agg(F.sum(amount).alias("__amount")).repartition(who)
+    place = F.when(F.col(who).isNull(), F.xxhash64(*keys)).otherwise(F.xxhash64(who))  # rows without a person count by their keys
+    reduced = df.groupBy(*keys, who).agg(F.sum(amount).alias("__amount")).withColumn("__place", place).repartition("__place")
     bit = {k: 1 << i for i, k in enumerate(keys)}
     masks = {sum(bit[k] for k in used): names for used, names in combos.items()}
     nulls = reduce(add, [F.when(F.col(k).isNull(), bit[k]).otherwise(0) for k in keys])
     wanted = F.filter(F.array(*[F.lit(m) for m in masks]), lambda m: m.bitwiseAND(F.col("__nulls")) == 0)
-    copies = reduced.withColumn("__nulls", nulls).select(*keys, who, "__amount", F.explode(wanted).alias("__gid"))
+    copies = reduced.withColumn("__nulls", nulls).select(*keys, who, "__place", "__amount", F.explode(wanted).alias("__gid"))
     persons = (
-        copies.select(who, "__amount", "__gid", *[F.when(F.col("__gid").bitwiseAND(bit[k]) != 0, F.col(k)).alias(k) for k in keys])
-        .groupBy(who, "__gid", *keys)
+        copies.select(who, "__place", "__amount", "__gid", *[F.when(F.col("__gid").bitwiseAND(bit[k]) != 0, F.col(k)).alias(k) for k in keys])
+        .groupBy("__place", who, "__gid", *keys)
         .agg(F.sum("__amount").alias("__amount"))
     )
     totals = persons.groupBy("__gid", *keys).agg(F.count(who).alias(count_name), F.sum("__amount").alias(sum_name))

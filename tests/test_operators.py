@@ -203,6 +203,29 @@ def test_sections_and_folder(spark, tmp_path):
     assert rows(readers.read_folder(spark, str(folder)), "x", "y", "source_file") == [("1", "2", "a.csv"), ("3", "4", "a.csv")]
 
 
+def test_cube_spreads_rows_without_a_person(spark):
+    df = spark.range(4000).selectExpr("CAST(id % 7 AS INT) AS a", "CAST(id % 11 AS INT) AS b", "CASE WHEN id % 3 > 0 THEN id % 50 END AS who", "1 AS m")
+    axes = {"x": {"one": ["a"], "none": []}, "y": {"two": ["b"], "none": []}}
+    out = {(r["x"], r["y"], r["a"], r["b"]): (r["n_beneficiarios"], r["suma_importe"]) for r in C.dimension_cube(df, axes, "who", "m").collect()}
+    assert out["none", "none", None, None] == (50, 4000) and len(out) == 77 + 7 + 11 + 1
+    assert sum(n for (x, y, _, _), (_, n) in out.items() if (x, y) == ("one", "two")) == 4000
+
+
+def test_rules_of_several_steps(spark):
+    from muniscope.operators.rules import Step, run_steps
+
+    df = spark.createDataFrame([(1, 1, 5, "a b"), (1, 2, 7, "x"), (2, 3, None, "a b"), (None, 4, 9, "x")], "h int, p int, v int, t string")
+    first = [Rule("v", "v + 1"), Rule.grouped("top", "max", "v", ["h"]), Rule.dummy("is_top", "v = top")]
+    second = [Rule("v", "v * 10", where="t = 'a b'"), Rule.grouped("top", "max", "v", ["h"]), Rule.grouped("n", "count_distinct", "p", ["h"])]
+    third = [Rule("w", "v + top"), Rule("v", "w + is_top")]
+    out, held = run_steps(df, {"one": Step(first), "two": Step(second), "three": Step(third, after="one"), "part": Step(first, ["v"])})
+    got = {r["p"]: {s: {k: r[c] for k, c in names.items()} for s, names in held.items()} for r in out.collect()}
+    assert got[1] == {"one": {"v": 6, "top": 8, "is_top": 0}, "two": {"v": 50, "top": 50, "n": 2}, "three": {"v": 14, "top": 8, "is_top": 0, "w": 14}, "part": {"v": 6}}
+    assert got[2]["one"] == {"v": 8, "top": 8, "is_top": 1} and got[2]["two"] == {"v": None, "top": 50, "n": 2} and got[2]["three"]["v"] == 17
+    assert got[3]["one"] == {"v": None, "top": 0, "is_top": None} and got[3]["two"]["top"] == 0 and got[4]["one"]["top"] == 0
+    assert out.select("h", "p", "v", "t").collect() and out.count() == 4
+
+
 def test_nearest_equals_all_pairs(spark):
     import math
     import random
