@@ -7,24 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scale import pack_blocks, probe_blocks, sorted_parts
+from .scale import pack_blocks, probe_blocks, settle, sorted_parts
 from .windows import first_per_key
 
 SLICE = 500
+CONSTANTS = 2_000  # patterns that may become constants of the plan
+GRAM = 3  # letters that stand for a pattern in the index
 
 
 def keyword_match(
-    texts: DataFrame, keywords: DataFrame, text: str, text_id: str, keyword_id: str, keyword: str = "palabra"
+    texts: DataFrame, keywords: DataFrame, text: str, text_id: str, keyword_id: str, keyword: str = "palabra", constants: int = CONSTANTS
 ) -> DataFrame:
     """Distinct (text_id, keyword_id) where the keyword pattern occurs in the text.
 
-    The patterns are a dictionary that people write, so they become constants of the plan, compiled once. Any number of
-    them is evaluated beside the text in one projection, in slices only because of the size of an expression: texts are
-    neither copied nor shuffled, and only hits leave the scan.
+    A dictionary of up to ``constants`` patterns (its size is counted first) is evaluated beside the text in one projection:
+    texts are neither copied nor shuffled, and only hits leave the scan. A larger one stays a table: see ``match_by_index``.
     """
-    words = keywords.select(F.col(keyword_id).alias("__kid"), F.col(keyword).alias("__kw")).where(F.col("__kw").isNotNull()).distinct()
+    words = settle(keywords.select(F.col(keyword_id).alias("__kid"), F.col(keyword).alias("__kw")).where(F.col("__kw").isNotNull()).distinct())
+    if words.count() > constants:
+        return match_by_index(texts, words, text, text_id).select(text_id, F.col("__kid").alias(keyword_id))
     kind = words.schema["__kid"].dataType
-    rows = sorted(words.toLocalIterator(), key=str)
+    rows = sorted(words.collect(), key=str)
     slices = [
         F.array_compact(F.array(*[F.when(F.col(text).rlike(r["__kw"]), F.lit(r["__kid"])) for r in rows[i : i + SLICE]]))
         for i in range(0, len(rows), SLICE)
@@ -33,6 +36,42 @@ def keyword_match(
     return texts.select(text_id, F.explode(F.array_distinct(hits)).alias(keyword_id)).distinct()
 
 
+def _grams(text: Column) -> Column:
+    return F.transform(F.sequence(F.lit(1), F.length(text) - (GRAM - 1)), lambda i: F.substr(text, i, F.lit(GRAM)))
+
+
+def required_grams(pattern: Column) -> Column:
+    """Grams that every match of a pattern holds; none for patterns with alternatives, groups, classes or escapes."""
+    certain = F.regexp_replace(pattern, r"(?s).[?*]", ".")  # a letter that may be missing
+    pieces = F.filter(F.split(certain, r"[.^$+]+"), lambda p: F.length(p) >= GRAM)
+    found = F.array_distinct(F.flatten(F.transform(pieces, _grams)))
+    return F.when(pattern.rlike(r"[|(){}\\\[\]]"), F.array().cast("array<string>")).otherwise(found)
+
+
+def match_by_index(texts: DataFrame, words: DataFrame, text: str, text_id: str) -> DataFrame:
+    """Distinct (text_id, __kid) for a dictionary (__kid, __kw) of any size.
+
+    Each pattern waits under its rarest required gram (counted over the texts) and meets only texts that hold it, by an
+    equi-join that can be split; the pattern itself is then tried on the text. Patterns without a gram travel in blocks that
+    every text meets.
+    """
+    told = texts.select(F.col(text_id).alias("__id"), F.col(text).alias("__text")).where(F.col("__text").isNotNull())
+    asked = words.withColumn("__grams", required_grams(F.col("__kw")))
+    listed = asked.where(F.size("__grams") > 0).select("__kid", "__kw", F.explode("__grams").alias("__gram"))
+    long = told.where(F.length("__text") >= GRAM).select("__id", F.explode(F.array_distinct(_grams(F.col("__text")))).alias("__gram"))
+    held = settle(long.join(listed.select("__gram").distinct(), "__gram", "left_semi"))
+    often = held.groupBy("__gram").agg(F.count(F.lit(1)).alias("__n"))
+    rarest = listed.join(often, "__gram", "left").groupBy("__kid", "__kw").agg(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), F.col("__gram").alias("gram"))).alias("__r"))
+    waiting = rarest.where("__r.n > 0").select("__kid", "__kw", F.col("__r.gram").alias("__gram"))
+    pairs = waiting.join(held, "__gram").select("__kid", "__kw", F.col("__id").alias("__of"))
+    tried = pairs.join(told, F.col("__of").eqNullSafe(F.col("__id"))).where(F.rlike(F.col("__text"), F.col("__kw")))
+    packed = pack_blocks(asked.where(F.size("__grams") == 0), [], F.struct("__kid", "__kw"), ["__kid", "__kw"], 64)
+    met = probe_blocks(told, packed, [])
+    fitting = F.filter("items", lambda p: F.rlike(F.col("__text"), p["__kw"]))
+    rest = met.select("__id", F.explode(F.transform(fitting, lambda p: p["__kid"])).alias("__kid"))
+    return tried.select("__id", "__kid").unionByName(rest).distinct().select(F.col("__id").alias(text_id), "__kid")
+
+
 def matches_to_array(matches: DataFrame, key: str, member: str, name: str = "ids", size: int = 100_000, buckets: int | None = None) -> DataFrame:
     """Members per key in sorted order, as arrays of at most ``size``: (key, part, ids), part 0 first."""
     parts = sorted_parts(matches.select(key, member).distinct(), [key], [member], size, buckets)

@@ -132,6 +132,24 @@ def test_many_keywords_take_the_same_path(spark, monkeypatch):
     assert M.keyword_match(texts, words.limit(0), "t", "id", "kid").count() == 0
 
 
+def test_dictionary_of_any_size_is_a_table(spark):
+    import random
+    import re
+
+    rng = random.Random(8)
+    letters = "abcd é"
+    texts = [(i, "".join(rng.choice(letters) for _ in range(rng.randrange(0, 60)))) for i in range(80)] + [(None, "abcabc"), (500, None), (7, "zzz abcd")]
+    patterns = ["abc", "ab.cd", "a+bca?d", "^abc", "cd$", "x", "", "a|zzz", "(ab){2}", "[zé]a", "\\bab", "bcd*a", "zz+z", "dé?é", "never there"]
+    patterns += ["".join(rng.choice("abcdé") for _ in range(5)) for _ in range(300)]
+    words = [(f"k{i}", p) for i, p in enumerate(patterns)] + [("none", None), ("k0", "abc")]
+    df = spark.createDataFrame(texts, "id int, t string")
+    dictionary = spark.createDataFrame(words, "kid string, palabra string")
+    want = {(i, k) for i, t in texts if t is not None for k, p in words if p is not None and re.search(p, t)}
+    for constants in (10, 10_000):
+        got = M.keyword_match(df, dictionary, "t", "id", "kid", constants=constants).collect()
+        assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
 def test_long_codes_are_not_cut(spark):
     from muniscope.functions.text import pad_left
 
