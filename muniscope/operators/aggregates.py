@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scale import sorted_parts
+from .scale import settle, sorted_parts
 
 _FN = {"sum": F.sum, "mean": F.avg, "max": F.max, "min": F.min, "median": F.median}
 
@@ -199,10 +201,64 @@ def collapse_max(df: DataFrame, ids: Sequence[str], variables: Sequence[str]) ->
     return df.groupBy(*ids).agg(*[F.max(v).alias(v) for v in variables])
 
 
-def median_of_sums(df: DataFrame, by: Sequence[str], inner: Sequence[str], value: str, name: str) -> DataFrame:
+SMALL_GROUP = 100_000  # different values of a group that one task may hold
+RANGES = 64
+
+
+def median_of_sums(df: DataFrame, by: Sequence[str], inner: Sequence[str], value: str, name: str, small: int = SMALL_GROUP) -> DataFrame:
     """Median over ``inner`` of the sums of ``value``."""
     sums = df.groupBy(*by, *inner).agg(F.sum(value).alias("__s"))
-    return sums.groupBy(*by).agg(F.median("__s").alias(name))
+    return exact_median(sums, by, "__s", name, small)
+
+
+def exact_median(df: DataFrame, by: Sequence[str], value: str, name: str, small: int = SMALL_GROUP) -> DataFrame:
+    """Exact median of ``value`` per group (null values skipped, null where a group has no other).
+
+    Equal values are counted first, in each task. Where a group has more than ``small`` different ones, they are cut at
+    quantiles of a sketch into ``RANGES`` ranges, the rows of each range are counted, and only the ranges that hold the
+    middle are kept; these are cut again until they are small. The sketch only chooses the cuts, the counts are exact. So no
+    task holds a large group, whatever its distribution, and each round reads one narrow table.
+    """
+    values = settle(df.groupBy(*by, F.col(value).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__c")))
+    known = F.when(F.col("__v").isNotNull(), F.col("__c"))
+    total = F.coalesce(F.sum(known), F.lit(0))
+    # __k and __k2: ranks of the middle values (from 0) among the rows between __lo and __hi; __d: different values there
+    middle = settle(
+        values.groupBy(*by).agg(total.alias("__n"), F.count("__v").alias("__d"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+        .select(*by, F.floor((F.col("__n") - 1) / 2).alias("__k"), F.floor(F.col("__n") / 2).alias("__k2"), "__d", "__lo", "__hi")
+    )
+
+    def inside(table):
+        """The values between __lo and __hi of their group's row."""
+        named = table.withColumnsRenamed({k: f"__r_{k}" for k in by})
+        cond = (F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi"))
+        for k in by:
+            cond = cond & values[k].eqNullSafe(named[f"__r_{k}"])
+        return values.join(named, cond).drop(*[f"__r_{k}" for k in by])
+
+    parts = [middle.where("__d = 0").select(*by, F.lit(None).cast("double").alias(name))]
+    while True:
+        upto = F.sum("__c").over(Window.partitionBy(*by).orderBy("__v"))  # of at most ``small`` rows
+        counted = inside(middle.where((F.col("__d") > 0) & (F.col("__d") <= small))).withColumn("__upto", upto)
+        hit = lambda k: F.when((F.col("__upto") > F.col(k)) & (F.col("__upto") - F.col("__c") <= F.col(k)), F.col("__v"))
+        parts.append(counted.groupBy(*by).agg((F.max(hit("__k")) / 2 + F.max(hit("__k2")) / 2).alias(name)))
+        large = settle(middle.where(F.col("__d") > small))
+        if large.isEmpty():
+            return reduce(DataFrame.unionByName, parts)
+        grid = F.percentile_approx("__v", [i / RANGES for i in range(1, RANGES)], 100 * RANGES)
+        bounds = settle(inside(large).groupBy(*by).agg(grid.alias("__grid")))
+        with_grid = large.join(bounds.withColumnsRenamed({k: f"__g_{k}" for k in by}), reduce(and_, [large[k].eqNullSafe(F.col(f"__g_{k}")) for k in by], F.lit(True)))
+        place = F.size(F.filter("__grid", lambda g: g < F.col("__v")))
+        ranges = inside(with_grid.drop(*[f"__g_{k}" for k in by])).withColumn("__b", place).groupBy(*by, "__k", "__k2", "__b").agg(
+            F.sum("__c").alias("__n"), F.count(F.lit(1)).alias("__d"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi")
+        )
+        before = F.sum("__n").over(Window.partitionBy(*by).orderBy("__b")) - F.col("__n")  # of at most RANGES rows
+        around = ranges.withColumn("__before", before).where((F.col("__before") <= F.col("__k2")) & (F.col("__before") + F.col("__n") > F.col("__k")))
+        middle = settle(
+            around.groupBy(*by, "__k", "__k2")
+            .agg(F.min("__before").alias("__skip"), F.sum("__d").alias("__d"), F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi"))
+            .select(*by, (F.col("__k") - F.col("__skip")).alias("__k"), (F.col("__k2") - F.col("__skip")).alias("__k2"), "__d", "__lo", "__hi")
+        )
 
 
 def weighted_rollup(df: DataFrame, by: Sequence[str], weight: str, cols: Sequence[str]) -> DataFrame:

@@ -150,6 +150,21 @@ def test_dictionary_of_any_size_is_a_table(spark):
         assert {tuple(r) for r in got} == want and len(got) == len(want)
 
 
+def test_median_of_large_groups(spark):
+    import random
+    import statistics
+
+    rng = random.Random(3)
+    groups = {
+        "even": [rng.gauss(0, 5) for _ in range(5000)], "odd": [rng.expovariate(1e-6) for _ in range(4001)], "ties": [7.0] * 3000 + [1.0, 9.0], "two": [1.0] * 1500 + [2.0] * 1500,
+        "far": [-1e300, 1e300, *[1e-9 * i for i in range(1000)]], "small": [3.0, 1.0], None: [float(i) for i in range(900)],
+    }
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs] + [("none", None), ("small", None)], "g string, v double")
+    for small in (100, 100_000):
+        got = {r["g"]: r["m"] for r in A.exact_median(df, ["g"], "v", "m", small).collect()}
+        assert got == {**{g: statistics.median(vs) for g, vs in groups.items()}, "none": None}
+
+
 def test_long_codes_are_not_cut(spark):
     from muniscope.functions.text import pad_left
 
