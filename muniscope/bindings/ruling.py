@@ -86,7 +86,7 @@ def _recode_table(t):
         F.lit("orders").alias("tabla"), F.lit("o_orderpriority").alias("variable_inicial"), F.lit("prioridad").alias("variable_final"),
         F.col("o_orderpriority").alias("valor_inicial"), F.substring("o_orderpriority", 1, 1).alias("valor_final"),
     ).where("valor_final < '4'")
-    status = prio.limit(1).select("tabla", F.lit("o_orderstatus").alias("variable_inicial"), F.lit("estado").alias("variable_final"), F.lit(None).cast("string").alias("valor_inicial"), F.lit(None).cast("string").alias("valor_final"))
+    status = prio.select("tabla").distinct().select("tabla", F.lit("o_orderstatus").alias("variable_inicial"), F.lit("estado").alias("variable_final"), F.lit(None).cast("string").alias("valor_inicial"), F.lit(None).cast("string").alias("valor_final"))
     return prio.unionByName(status)
 
 

@@ -15,6 +15,7 @@ from ..operators.aggregates import dedupe_max
 from ..operators.cube import BENEFICIARY_AXES, multi_level, pair_dimension_cube
 from ..operators.projections import filter_valid_codes, legal_ranges, redact_minors
 from ..sources.readers import split_lines
+from .registry import cleaner
 
 # Fields of a raw line in order.
 RAW_FIELDS = [
@@ -66,6 +67,7 @@ def beneficiary_cube(clean: DataFrame, axes: Mapping[str, Mapping[str, Sequence[
     return pair_dimension_cube(clean, axes, "new_id", "nu_imp_monetario")
 
 
+@cleaner("pub_agrupaciones")
 def clean_cube(cube: DataFrame) -> DataFrame:
     """Cube rows with legal municipality codes, one row per key combination with the largest amount."""
     legal = filter_valid_codes(cube, legal_ranges(cube.sparkSession))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import AnalysisException
 
@@ -62,13 +61,13 @@ def copy_layer(spark: SparkSession, root: str, src: str, dst: str, name: str) ->
 
 
 def publish(df: DataFrame, targets: Sequence[str]) -> None:
-    """Write one result to several targets from a single computation."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for path in targets:
-            kept.write.mode("overwrite").parquet(path)
-    finally:
-        kept.unpersist()
+    """Write one result to several targets from a single computation: the others are copied from the first, so that they
+    hold the same rows also where an executor was lost between the writes."""
+    first, *others = targets
+    df.write.mode("overwrite").parquet(first)
+    stored = df.sparkSession.read.schema(df.schema).parquet(first)
+    for path in others:
+        stored.write.mode("overwrite").parquet(path)
 
 
 def checkpoint_root(spark: SparkSession) -> str | None:

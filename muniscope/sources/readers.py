@@ -6,9 +6,11 @@ import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.scale import running, sort_key
+
 
 def read_delimited(
     spark: SparkSession,
@@ -72,14 +74,19 @@ def stack_sections(
 ) -> DataFrame:
     """Label the sections of each file: lines before the first marker line get the first label, and so on.
 
-    Marker lines themselves are dropped. Only the marker positions (one per section) are gathered per file.
+    Marker lines themselves are dropped. Markers are counted along the lines in ranges, with the count carried from range to
+    range, so a long file is labelled by many tasks.
     """
-    is_marker = F.col(value).contains(marker)
-    cuts = lines.where(is_marker).groupBy(F.col(file).alias("__f")).agg(F.array_sort(F.collect_list(order)).alias("__cuts"))
-    joined = lines.where(~is_marker).join(cuts, F.col(file) == F.col("__f"), "left")
-    section = F.size(F.filter(F.coalesce("__cuts", F.array().cast(cuts.schema["__cuts"].dataType)), lambda c: c < F.col(order)))
+    marked = lines.withColumn("__marker", F.coalesce(F.col(value).contains(marker), F.lit(False)))
+    is_marker = F.col("__marker").cast("int")
+    told = running(
+        marked, [file], sort_key(order),
+        local={"__here": lambda w: F.sum(is_marker).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))}, block={"__all": lambda k: F.sum(is_marker)},
+        carry={"__before": lambda w: F.sum("__all").over(w.rowsBetween(Window.unboundedPreceding, -1))},
+    )
+    section = (F.col("__here") + F.coalesce("__before", F.lit(0))).cast("int")
     names = F.array(*[F.lit(x) for x in labels])
-    return joined.select(*lines.columns, F.get(names, section).alias(label))
+    return told.where(~F.col("__marker")).select(*lines.columns, F.get(names, section).alias(label))
 
 
 def read_json(spark: SparkSession, path, where: str | None = None, schema=None) -> DataFrame:

@@ -150,6 +150,24 @@ def test_dictionary_of_any_size_is_a_table(spark):
         assert {tuple(r) for r in got} == want and len(got) == len(want)
 
 
+def test_preparers_by_source_name(spark):
+    from muniscope.plans import beneficiaries, cleaners, loads  # noqa: F401  (they register themselves)
+    from muniscope.plans.registry import CLEANERS, PREPARERS, prepare
+
+    assert "pub_agrupaciones" in CLEANERS and {"asm", "cfe", "cuis_39_9", "coneval_municipios", "precios_granos", "evaluaciones", "delitos_comun"} <= set(PREPARERS)
+    assert prepare("asm", spark.createDataFrame([(1, 2)], "` Uno ` int, DOS int")).columns == ["uno", "dos"]
+    cfe = prepare("cfe", spark.createDataFrame([("01", 3, 4)], "cve string, Enero int, Febrero int"))
+    assert "usuarios" in cfe.columns and sorted(r["usuarios"] for r in cfe.collect()) == [3, 4]
+    cuis = prepare("cuis_39_9", spark.createDataFrame([("12a", "N/A"), ("34", "x")], "TIE_CURP string, otro string"))
+    assert sorted((str(r["TIE_CURP"]), str(r["otro"])) for r in cuis.collect()) == [("34", "x"), ("None", "None")]
+    towns = prepare("coneval_municipios", spark.createDataFrame([(" 1", "1001 ", "na")], "`Clave de entidad` string, `Clave de municipio` string, otro string")).first()
+    assert tuple(towns) == ("01", "01001", None)
+    grain = prepare("precios_granos", spark.createDataFrame([("maiz", "a", "1", "--"), ("", "b", "2", "3"), ("trigo", "c", "4", "5")], "producto string, lugar string, sem_1 string, sem_2 string"))
+    found = {(r["producto"], r["lugar"]) for r in grain.collect()}
+    assert found == {("maiz", "a"), ("maiz", "b"), ("trigo", "c")}
+    assert prepare("unknown", grain) is grain
+
+
 def test_median_of_large_groups(spark):
     import random
     import statistics
