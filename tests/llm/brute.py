@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 
-from muniscope.llm import line_dedup
+from muniscope.llm import fingerprint, line_dedup
 from muniscope.llm.common import span_hashes
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -76,6 +76,34 @@ def lines(rows):
     return out
 
 
+def chunks(raw):
+    """Content-defined chunks of a text, byte by byte."""
+    out, at = [], 0
+    while at < len(raw):
+        end, stop = None, min(at + fingerprint.MOST, len(raw))
+        if len(raw) - at > fingerprint.LEAST:
+            for p in range(at + fingerprint.LEAST, stop + 1):
+                gear = 0
+                for age in range(16):
+                    if p - 1 - age >= 0:
+                        gear += int(fingerprint.GEAR[raw[p - 1 - age]]) << age
+                mask = fingerprint.STRICT if p <= at + fingerprint.USUAL else fingerprint.LOOSE
+                if gear % 2**32 & int(mask) == 0:
+                    end = p
+                    break
+        end = end or (stop if len(raw) - at > fingerprint.LEAST else len(raw))
+        out.append(raw[at:end])
+        at = end
+    return out
+
+
+def containment(a, b):
+    """Share of the bytes of a's different chunks that b has too."""
+    a, b = set(chunks(a)), set(chunks(b))
+    total = sum(map(len, a))
+    return sum(len(c) for c in a & b) / total if total else float(not b)
+
+
 def hit_words(text, windows):
     """Words of a text and those inside a benchmark window."""
     w = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))

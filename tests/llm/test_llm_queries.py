@@ -8,6 +8,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -76,14 +77,27 @@ def test_language_id(spark, corpus):
 def test_fingerprints(spark, corpus):
     got = by_id(QUERIES["op7_fingerprints"](spark, SMALL))
     rows = corpus[1][::-1]
+    printed = {}
     for (i, t), (_, after) in zip(rows, rows[1:] + rows[:1], strict=True):
         half = len(t) // 2
         changed = t[: len(t) - half] + after[:half]
-        a, b, c = (fingerprint.fingerprints([x.encode()])[0] for x in (t, changed, after))
         r = got[i]
         assert (r["n_chars"], r["edited_sha256"]) == (len(t), hashlib.sha256(changed.encode()).hexdigest())
-        assert (r["fingerprint"], r["edited_fingerprint"]) == (fingerprint.to_text(a), fingerprint.to_text(b))
-        assert (r["near_edited"], r["near_next"]) == (fingerprint.containment(a, b), fingerprint.containment(a, c))
+        assert abs(r["near_edited"] - brute.containment(t.encode(), changed.encode())) < 1e-12
+        assert abs(r["near_next"] - brute.containment(t.encode(), after.encode())) < 1e-12
+        lengths = sorted(int(e) & 0xFFFF for e in fingerprint.from_text(r["fingerprint"]))
+        assert lengths == sorted(len(c) for c in set(brute.chunks(t.encode())))
+        for text, key in ((t, "fingerprint"), (changed, "edited_fingerprint")):
+            assert printed.setdefault(text, r[key]) == r[key]
+
+
+def test_ranges_by_binary_search(spark):
+    cuts = [-5, 0, 3, 3 + 2**40, 2**62]
+    keys = [-(2**63), -5, -4, 0, 1, 3, 4, 2**40, 2**62, 2**63 - 1]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    for some in (cuts, cuts[:1], cuts[:4], []):
+        got = df.select("k", fingerprint.range_of(F.col("k"), some).alias("r")).collect()
+        assert all(r["r"] == sum(c < r["k"] for c in some) for r in got)
 
 
 def check_packing(rows, ids, end=1, size=2048):
