@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from ..functions.text import pad_left
@@ -9,6 +11,8 @@ from ..plans import indices as I
 from ..plans import loads, registry
 from ..plans import places as P
 from ..plans.cleaners import CLEANERS, STATE_NAMES, imco_corrupcion_partidos, sequia
+from ..session import shared_folder
+from ..sources.layers import write_bucketed
 from .core import query
 
 _MUNI = "lpad(CAST(c_nationkey AS VARCHAR), greatest(2, CAST(length(CAST(c_nationkey AS VARCHAR)) AS INTEGER)), '0') || lpad(CAST(c_custkey AS VARCHAR), greatest(6, CAST(length(CAST(c_custkey AS VARCHAR)) AS INTEGER)), '0')"
@@ -193,14 +197,30 @@ def _(t):
     return out.withColumns({"personal_medico_100_h": F.round("personal_medico_100_h", 6), "personal_medico_100_h_norm": F.round("personal_medico_100_h_norm", 8)})
 
 
-@query("assemble_matrix", """
+_MATRIX = """
 WITH a AS (SELECT o_custkey AS cve_muni, max(o_totalprice) AS ipc_dif FROM orders GROUP BY 1), v AS (SELECT c_custkey + 7 AS cve_muni, c_acctbal AS pobreza_porcentaje FROM customer), k AS (SELECT s_suppkey AS cve_muni, s_acctbal AS cobertura_dren FROM supplier)
-SELECT cve_muni, ipc_dif, pobreza_porcentaje, cobertura_dren FROM a LEFT JOIN v USING (cve_muni) LEFT JOIN k USING (cve_muni)""")
-def _(t):
+SELECT cve_muni, ipc_dif, pobreza_porcentaje, cobertura_dren FROM a LEFT JOIN v USING (cve_muni) LEFT JOIN k USING (cve_muni)"""
+
+
+def _matrix_inputs(t):
     a = t.orders.groupBy(F.col("o_custkey").alias("cve_muni")).agg(F.max("o_totalprice").alias("ipc_dif"))
     v = t.customer.select((F.col("c_custkey") + 7).alias("cve_muni"), F.col("c_acctbal").alias("pobreza_porcentaje"))
     k = t.supplier.select(F.col("s_suppkey").alias("cve_muni"), F.col("s_acctbal").alias("cobertura_dren"))
-    return P.assemble_matrix([a], [v], [k])
+    return {"precios": a, "pobreza": v, "drenaje": k}
+
+
+@query("assemble_matrix", _MATRIX)
+def _(t):
+    return P.assemble_matrix(*[[x] for x in _matrix_inputs(t).values()])
+
+
+@query("assemble_matrix_stored", _MATRIX)
+def _(t):
+    """The same over layer tables that are laid out for the key."""
+    spark = t.orders.sparkSession
+    root = f"{shared_folder(spark)}/matrix-{uuid4().hex}"
+    stored = [write_bucketed(df, root, "features", f"{name}_{uuid4().hex}", ["cve_muni"], 8) for name, df in _matrix_inputs(t).items()]
+    return P.assemble_matrix(*[[x] for x in stored])
 
 
 # --- per-source cleaners -------------------------------------------------------------------------------------------

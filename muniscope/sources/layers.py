@@ -36,6 +36,30 @@ def write_layer(df: DataFrame, root: str, layer: str, name: str, partition_by: S
     return path
 
 
+def write_bucketed(df: DataFrame, root: str, layer: str, name: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Overwrite a layer table that is laid out for joins: its rows are dealt by ``keys`` into ``buckets`` files, each sorted.
+
+    Tables of equal keys (of equal types) and bucket numbers are joined and grouped without a shuffle. The layout is known to
+    the session's catalog (table ``layer__name``), the files lie below ``root`` like those of any other layer table; another
+    session makes them known by ``open_bucketed``.
+    """
+    path, table = layer_path(root, layer, name), f"{layer}__{name.lower()}"
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS `{table}`")
+    # dealt before the write, each task holds whole buckets: as many files as buckets
+    df.repartition(buckets, *keys).write.mode("overwrite").option("path", path).format("parquet").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+def open_bucketed(spark: SparkSession, root: str, layer: str, name: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """A table that ``write_bucketed`` wrote, with its layout; the catalog learns of it where it does not know it."""
+    path, table = layer_path(root, layer, name), f"{layer}__{name.lower()}"
+    if not spark.catalog.tableExists(table):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+        by = ", ".join(f"`{k}`" for k in keys)
+        spark.sql(f"CREATE TABLE `{table}` ({columns}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(table)
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", **options) -> None:
     df.write.mode(mode).options(**options).format(fmt).save(path)
 

@@ -150,6 +150,34 @@ def test_dictionary_of_any_size_is_a_table(spark):
         assert {tuple(r) for r in got} == want and len(got) == len(want)
 
 
+def test_bucketed_layers_join_without_a_shuffle(spark, tmp_path):
+    from muniscope.operators.joins import assemble
+    from muniscope.sources.layers import open_bucketed, scan_layer, write_bucketed
+
+    root = str(tmp_path)
+    for k, name in enumerate(["a", "B", "c"]):
+        write_bucketed(spark.range(200).selectExpr("id AS cve", f"id * {k + 1} AS v{k}"), root, "features", name, ["cve"], 4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        stored = [spark.table(f"features__{n}") for n in ("a", "b", "c")]
+        for again in (False, True):
+            if again:  # a session that does not know the tables yet
+                for n in ("a", "b", "c"):
+                    spark.sql(f"DROP TABLE features__{n}")
+                stored = [open_bucketed(spark, root, "features", n, ["cve"], 4) for n in ("a", "b", "c")]
+            out = assemble(stored[0], stored[1:], "cve")
+            assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in out.groupBy("cve").agg(F.sum("v1"))._jdf.queryExecution().executedPlan().toString()
+            assert rows(out, "cve", "v0", "v1", "v2") == [(i, i, 2 * i, 3 * i) for i in range(200)]
+        plain = [scan_layer(spark, root, "features", n) for n in ("a", "b", "c")]
+        assert "Exchange" in assemble(plain[0], plain[1:], "cve")._jdf.queryExecution().executedPlan().toString()
+        write_bucketed(spark.range(3).selectExpr("id AS cve", "id AS v0"), root, "features", "a", ["cve"], 4)
+        assert spark.table("features__a").count() == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_preparers_by_source_name(spark):
     from muniscope.plans import beneficiaries, cleaners, loads  # noqa: F401  (they register themselves)
     from muniscope.plans.registry import CLEANERS, PREPARERS, prepare
