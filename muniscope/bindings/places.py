@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from ..functions.text import pad_left
@@ -11,6 +13,8 @@ from ..operators import spatial as G
 from ..plans import beneficiaries as B
 from ..plans import places as P
 from ..plans.cleaners import CLEANERS
+from ..session import shared_folder
+from ..streaming.partials import merged, refresh_part, write_part
 from .core import query, shape_sql
 from .projections import _LEGAL
 
@@ -76,18 +80,41 @@ def _(t):
 _KINDS = {"error": "danio_prop", "click": "secuestro", "view": "feminicidio", "signup": "violencia_familiar", "purchase": "robo_vehiculos"}
 
 
-@query("crime_rates", f"""
+_RATES = f"""
 WITH c AS ({shape_sql('crime')}), p AS (SELECT lpad(CAST(c_custkey AS VARCHAR), greatest(5, CAST(length(CAST(c_custkey AS VARCHAR)) AS INTEGER)), '0') AS cve_muni, 100.0e0 + c_nationkey AS poblacion FROM customer),
 w AS (SELECT anio, mes, cve_muni, {', '.join(f"sum(incidencia_delictiva) FILTER (subtipodedelito = '{k}') AS {n}" for k, n in _KINDS.items())} FROM c GROUP BY 1, 2, 3)
 SELECT anio, mes, cve_muni, {', '.join(f'round({n}, 4) AS {n}_total, round({n} * 100000 / poblacion, 4) AS {n}_tasa' for n in _KINDS.values())}, '2024-6-m' AS data_date,
-  CASE mes WHEN 'Enero' THEN '2024-01-01' WHEN 'Abril' THEN '2024-04-01' END AS fecha FROM w LEFT JOIN p USING (cve_muni) WHERE mes <> 'Agosto'""")
-def _(t):
+  CASE mes WHEN 'Enero' THEN '2024-01-01' WHEN 'Abril' THEN '2024-04-01' END AS fecha FROM w LEFT JOIN p USING (cve_muni) WHERE mes <> 'Agosto'"""
+
+
+def _crime_table(t, crimes):
     pop = t.customer.select(pad_left(F.col("c_custkey").cast("string"), 5).alias("cve_muni"), (100.0 + F.col("c_nationkey")).alias("poblacion"))
-    out = P.crime_rates(t.shape("crime"), pop, "2024-6-m", kinds=_KINDS)
+    out = P.crime_rates(crimes, pop, "2024-6-m", kinds=_KINDS)
     numbers = [f"{n}_{s}" for n in _KINDS.values() for s in ("total", "tasa")]
     return out.withColumns({**{c: F.round(c, 4) for c in numbers}, "fecha": F.col("fecha").cast("string")})
 
 
+@query("crime_rates", _RATES)
+def _(t):
+    return _crime_table(t, t.shape("crime"))
+
+
+@query("crime_rates_by_period", _RATES)
+def _(t):
+    """The same from parts by period, loaded out of order, one of them twice: at first without its last rows."""
+    spark = t.customer.sparkSession
+    root = f"{shared_folder(spark)}/crime-{uuid4().hex}"
+    t.shape("crime").withColumn("data_date", F.concat_ws("-", "anio", "mes")).write.partitionBy("data_date").parquet(f"{root}/events")
+    events = spark.read.parquet(f"{root}/events")
+    by, measures = ["anio", "mes", "cve_muni", "subtipodedelito"], {"incidencia_delictiva": ("sum", "incidencia_delictiva")}
+    periods = sorted(r["data_date"] for r in events.select("data_date").distinct().collect())  # a row a period
+    early = events.where(F.col("cve_muni") > "00100")
+    write_part(early.where(F.col("data_date") == periods[-1]), f"{root}/parts", periods[-1], by, measures)
+    for period in periods[::-1]:
+        refresh_part(events, f"{root}/parts", period, by, measures)
+    return _crime_table(t, merged(spark, f"{root}/parts", by, measures))
+
+
 # --- census ---------------------------------------------------------------------------------------------
 _CLEAN_KEYS = ["ent_pais_asi", "ent_pais_trab", "mun_asi", "mun_trab", "factor", "sexo", "edad", "conact", *[f"acti_sin_pago{i}" for i in range(1, 9)]]
 _LP = {"ent_pais_asi": 2, "ent_pais_trab": 2, "mun_asi": 3, "mun_trab": 3}

@@ -178,6 +178,22 @@ def test_bucketed_layers_join_without_a_shuffle(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_results_merge_from_parts_of_periods(spark, tmp_path):
+    from muniscope.streaming.partials import merged, part_path, write_part
+
+    path, by = str(tmp_path / "parts"), ["k"]
+    measures = {"s": ("sum", "v"), "n": ("count", "v"), "lo": ("min", "v"), "hi": ("max", "2 * v")}
+    df = spark.createDataFrame([("a", 1), ("a", 5), (None, 2), ("b", None)], "k string, v int")
+    write_part(df.where("v = 1"), path, "2024-2-m", by, measures)
+    write_part(df, path, "2024-1-m", by, measures)
+    write_part(df.where("k = 'a'"), path, "2024-2-m", by, measures)  # the period again, with a late file
+    out = {r["k"]: tuple(r)[1:] for r in merged(spark, path, by, measures).collect()}
+    assert out == {"a": (12, 4, 1, 10), None: (2, 1, 2, 4), "b": (None, 0, None, None)}
+    write_part(df.limit(0), path, "2024-1-m", by, measures)
+    assert {r["k"]: r["s"] for r in merged(spark, path, by, measures).collect()} == {"a": 6}
+    assert merged(spark, path, by, measures, F.col("data_date") < "2024-2").count() == 0 and part_path(path, "a/b").endswith("=a%2Fb")
+
+
 def test_preparers_by_source_name(spark):
     from muniscope.plans import beneficiaries, cleaners, loads  # noqa: F401  (they register themselves)
     from muniscope.plans.registry import CLEANERS, PREPARERS, prepare
