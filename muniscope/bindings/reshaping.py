@@ -99,7 +99,7 @@ def _(t):
 @query("common_ids", """
 WITH a AS (SELECT DISTINCT l_suppkey, l_returnflag, l_linenumber AS id FROM lineitem), n AS (SELECT l_suppkey, count(DISTINCT l_returnflag) AS n FROM a GROUP BY 1),
 h AS (SELECT l_suppkey, id, count(*) AS h FROM a GROUP BY 1, 2)
-SELECT l_suppkey, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids FROM h JOIN n USING (l_suppkey) WHERE h = n GROUP BY 1""")
+SELECT l_suppkey, CAST(0 AS INT) AS part, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids FROM h JOIN n USING (l_suppkey) WHERE h = n GROUP BY 1""")
 def _(t):
     rows = t.lineitem.groupBy("l_suppkey", "l_returnflag").agg(F.collect_set("l_linenumber").alias("arr"))
     out = R.common_ids(rows, ["l_suppkey"], "l_returnflag", "arr")

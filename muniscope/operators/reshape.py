@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_number
+from .scale import sorted_parts
 
 # Column headers holding one month each.
 MONTH_COLUMNS = [
@@ -91,8 +92,8 @@ def new_rows(new: DataFrame, old: DataFrame, on: Sequence[str] | None = None) ->
     return new.join(old, list(on), "left_anti") if on else new.exceptAll(old)
 
 
-def common_ids(df: DataFrame, by: Sequence[str], row: str, array: str, name: str = "ids") -> DataFrame:
-    """Ids present in every non-empty array of the group, sorted.
+def common_ids(df: DataFrame, by: Sequence[str], row: str, array: str, name: str = "ids", size: int = 100_000, buckets: int | None = None) -> DataFrame:
+    """Ids present in every non-empty array of the group, sorted, in arrays of at most ``size``: by, part, ids.
 
     An id is common when it occurs in as many distinct rows as the group has, so nothing but the common
     ids is ever collected.
@@ -102,7 +103,8 @@ def common_ids(df: DataFrame, by: Sequence[str], row: str, array: str, name: str
     seen = full.select(*by, row, F.explode(array).alias("__id")).distinct()
     hits = seen.groupBy(*by, "__id").agg(F.count(F.lit(1)).alias("__hits"))
     common = hits.join(groups, list(by)).where(F.col("__hits") == F.col("__rows"))
-    return common.groupBy(*by).agg(F.array_sort(F.collect_list("__id")).alias(name))
+    parts = sorted_parts(common.select(*by, "__id"), by, ["__id"], size, buckets)
+    return parts.groupBy(*by, "part").agg(F.array_sort(F.collect_list("__id")).alias(name))
 
 
 def reindex(df: DataFrame, cols: Sequence[str] | Mapping[str, str]) -> DataFrame:

@@ -261,7 +261,8 @@ def test_recode_unlisted_becomes_null(spark):
 
 def test_common_ids_and_unpivot_identity(spark):
     df = spark.createDataFrame([("g", 1, [1, 2, 3]), ("g", 2, [2, 3]), ("g", 3, []), ("h", 4, [7])], "g string, r int, a array<int>")
-    assert rows(R.common_ids(df, ["g"], "r", "a"), "g", "ids") == [("g", [2, 3]), ("h", [7])]
+    assert rows(R.common_ids(df, ["g"], "r", "a"), "g", "part", "ids") == [("g", 0, [2, 3]), ("h", 0, [7])]
+    assert rows(R.common_ids(df, ["g"], "r", "a", size=1), "g", "part", "ids") == [("g", 0, [2]), ("g", 1, [3]), ("h", 0, [7])]
     wide = spark.createDataFrame([(1, 2.0, None), (2, 3.0, 4.0)], "id int, x double, y double")
     back = R.spread(R.gather(wide, "k", "v", ["id"]), "k", "v", ["id"], ["x", "y"])
     assert {tuple(r) for r in back.collect()} == {(1, 2.0, None), (2, 3.0, 4.0)}
