@@ -113,15 +113,15 @@ def density(df: DataFrame, by: Sequence[str], cols: Mapping[str, Sequence[str]],
     return df.groupBy(*by).agg(*[F.avg(total(p) / per).alias(n) for n, p in cols.items()])
 
 
-def beneficiaries(df: DataFrame, by: Sequence[str], who: str, amount: str, approximate: bool = False) -> DataFrame:
+def beneficiaries(df: DataFrame, by: Sequence[str], who: str, amount: str, approximate: bool = False, rsd: float = 0.05) -> DataFrame:
     """Distinct persons and total amount per group.
 
     The exact form aggregates per (group, person) first: both steps combine map-side and a huge group is
-    spread by person before it is counted.
+    spread by person before it is counted. The approximate form is one partial aggregate with a standard error of ``rsd``.
     """
     if approximate:
         return df.groupBy(*by).agg(
-            F.approx_count_distinct(who).alias("n_beneficiarios"), F.sum(amount).alias("suma_importe")
+            F.approx_count_distinct(who, rsd).alias("n_beneficiarios"), F.sum(amount).alias("suma_importe")
         )
     persons = df.groupBy(*by, who).agg(F.sum(amount).alias("__amount"))
     return persons.groupBy(*by).agg(F.count(who).alias("n_beneficiarios"), F.sum("__amount").alias("suma_importe"))

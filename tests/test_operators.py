@@ -194,6 +194,16 @@ def test_results_merge_from_parts_of_periods(spark, tmp_path):
     assert merged(spark, path, by, measures, F.col("data_date") < "2024-2").count() == 0 and part_path(path, "a/b").endswith("=a%2Fb")
 
 
+def test_approximate_persons_stay_within_their_error(spark):
+    df = spark.range(60_000).selectExpr("CASE WHEN id < 30 THEN 'few' WHEN id < 3000 THEN 'some' ELSE 'many' END AS g", "id DIV 3 AS who", "1 AS m")
+    exact = {r["g"]: (r["n_beneficiarios"], r["suma_importe"]) for r in A.beneficiaries(df, ["g"], "who", "m").collect()}
+    assert exact == {"few": (10, 30), "some": (990, 2970), "many": (19_000, 57_000)}
+    for rsd in (0.05, 0.01):
+        for r in A.beneficiaries(df, ["g"], "who", "m", approximate=True, rsd=rsd).collect():
+            n, total = exact[r["g"]]
+            assert abs(r["n_beneficiarios"] - n) <= 4 * rsd * n and r["suma_importe"] == total
+
+
 def test_preparers_by_source_name(spark):
     from muniscope.plans import beneficiaries, cleaners, loads  # noqa: F401  (they register themselves)
     from muniscope.plans.registry import CLEANERS, PREPARERS, prepare
