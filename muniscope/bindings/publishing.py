@@ -117,9 +117,12 @@ SELECT 'm' AS nivel, CAST(c_custkey AS VARCHAR) AS nivel_clave, CAST(s_suppkey A
 def _(t):
     long = t.supplier.select(F.col("s_nationkey").alias("cve_ent"), F.lit("conteos").alias("plot"), F.col("s_suppkey").alias("element_id"), F.lit("saldo").alias("variable"), F.col("s_acctbal").alias("valor"))
     members = t.customer.select(F.lit("m").alias("nivel"), F.col("c_custkey").cast("string").alias("nivel_clave"), F.col("c_nationkey").alias("cve_ent"))
-    docs = D.map_document(long, S.plot_info(_plots(t), _dictionary(t)), shared_by="cve_ent", members=members)
-    rows = docs.select("nivel", "nivel_clave", F.explode(F.from_json("values", _MAP)).alias("plot", "p")).select("nivel", "nivel_clave", F.explode("p.values").alias("elemento", "v"))
-    return rows.select("nivel", "nivel_clave", "elemento", F.explode("v").alias("variable", "l")).select("nivel", "nivel_clave", "elemento", F.round(F.col("l.valor").cast("double"), 2).alias("saldo"))
+
+    def leaves(docs):
+        rows = docs.select("cve_ent", F.explode(F.from_json("values", _MAP)).alias("plot", "p")).select("cve_ent", F.explode("p.values").alias("elemento", "v"))
+        return rows.select("cve_ent", "elemento", F.explode("v").alias("variable", "l")).select("cve_ent", "elemento", F.round(F.col("l.valor").cast("double"), 2).alias("saldo"))
+
+    return D.map_document(long, S.plot_info(_plots(t), _dictionary(t)), shared_by="cve_ent", members=members, read=leaves)
 
 
 @query("program_document", """

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,11 +91,13 @@ def map_document(
     element: str = "element_id",
     shared_by: str | None = None,
     members: DataFrame | None = None,
+    read: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """{plot: {values: {element: {var: {valor}}}, info}} per place.
 
     With ``shared_by`` (say the state) the values are collected once per state and plot and then given to
-    every place in ``members`` (place columns plus ``shared_by``).
+    every place in ``members`` (place columns plus ``shared_by``). ``read`` turns documents into rows of the owner's columns
+    and others: a shared document is read once, and its rows are given to the places in its stead.
     """
     owner = [shared_by] if shared_by else list(place)
     one = long.where(F.col("valor").isNotNull()).groupBy(*owner, "plot", element, "variable").agg(
@@ -108,8 +110,9 @@ def map_document(
         _sorted_map(F.col(element).cast("string"), F.col("__vars")).alias("__values")
     )
     docs = _one_document(per_plot, plots.select("plot", "info"), owner)
+    docs = read(docs) if read else docs
     if shared_by:
-        docs = members.select(*place, shared_by).distinct().join(docs, shared_by).select(*place, "values")
+        docs = members.select(*place, shared_by).distinct().join(docs, shared_by).drop(shared_by)
     return docs
 
 
