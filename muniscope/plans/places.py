@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import pad_left
 from ..functions.dates import data_date_to_date, first_of_month, month_number, parse_es_month
 from ..functions.numbers import row_sum
-from ..operators.aggregates import density, event_rate, population_pyramid, rate_per_100k
+from ..operators.aggregates import density, event_rate, pyramid_sums, rate_per_100k
 from ..operators.joins import assemble
 from ..operators.projections import at_period
 from ..operators.spatial import idw
@@ -57,8 +57,7 @@ def census_indicators(profiles: DataFrame, key: str = "cve_muni") -> DataFrame:
     """Population shares, floating population, migration, gaps and pyramid per municipality.
 
     ``profiles`` is the cleaned census table. Commuters are told by comparing municipality keys, so ``key`` must be one
-    (states: sum the result's numbers up). Everything but the pyramid comes from one aggregate over it;
-    the pyramid is a second one.
+    (states: sum the result's numbers up). Everything, the pyramid too, comes from one aggregate over it.
     """
     if key != "cve_muni":
         raise ValueError("census indicators are by municipality")
@@ -75,6 +74,7 @@ def census_indicators(profiles: DataFrame, key: str = "cve_muni") -> DataFrame:
         able = F.sum(F.when(here & (F.col("edad") > 13), F.col("factor")).otherwise(0))
         return F.try_divide(busy.cast("double"), able)
 
+    pyramid = pyramid_sums("sexo", "edad", "poblacion_mun", {1: "h", 3: "m"})
     base = profiles.groupBy(key).agg(
         *[F.sum(c).alias(c) for c in ["poblacion_mun", *GROUPS]],
         F.avg(F.try_divide(F.col("migrantes_internos_recientes").cast("double"), F.col("poblacion_mun"))).alias("migracion_interna_reciente"),
@@ -85,13 +85,14 @@ def census_indicators(profiles: DataFrame, key: str = "cve_muni") -> DataFrame:
         F.avg(F.when(F.col("sexo") == 3, unpaid)).alias("total_horas_m"),
         employed(1).alias("proporcion_hombres_ocupados"),
         employed(3).alias("proporcion_mujeres_ocupadas"),
+        *[F.when(F.col(key).isNotNull(), c).alias(n) for n, c in pyramid.items()],  # no pyramid without a municipality
     )
 
     def gap(women, men):
         return F.when(F.col(men) == 0, F.col(women)).otherwise(F.try_divide(women, men))
 
     total = F.col("poblacion_mun")
-    base = base.withColumns(
+    return base.withColumns(
         {
             **{f"prop_{g}": F.try_divide(F.col(g).cast("double"), total) for g in GROUPS},
             "tasa_flot_esc": F.try_divide(F.col("pob_flot_esc").cast("double"), total),
@@ -100,8 +101,6 @@ def census_indicators(profiles: DataFrame, key: str = "cve_muni") -> DataFrame:
             "brecha_tasa_ocupados": gap("proporcion_mujeres_ocupadas", "proporcion_hombres_ocupados"),
         }
     )
-    pyramid = population_pyramid(profiles, [key], "sexo", "edad", "poblacion_mun", {1: "h", 3: "m"})
-    return base.join(pyramid, key, "left")
 
 
 def dwelling_indicators(dwellings: DataFrame) -> DataFrame:
