@@ -45,7 +45,10 @@ def weeks_long(df: DataFrame, ids: Sequence[str], prefix: str = "sem_", mean_col
 
 def spread(df: DataFrame, key: str, value: str, ids: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Long to wide; ``values`` names the wanted keys, so no extra job looks for them. Of repeated keys the largest value counts."""
-    return df.groupBy(*ids).pivot(key, list(values)).agg(F.max(value))
+    if df.schema[key].dataType.simpleString() != "string" or not all(isinstance(v, str) for v in values):
+        return df.groupBy(*ids).pivot(key, list(values)).agg(F.max(value))
+    # one hash table by id instead of the pivot's two, of which the first also holds the keys
+    return df.groupBy(*ids).agg(*[F.max(F.when(F.col(key) == v, F.col(value))).alias(v) for v in values])
 
 
 def colpivot(
