@@ -58,6 +58,15 @@ def _read(word: Column, side: Column) -> Column:
     return F.when(side == 0, word).otherwise(F.reverse(word))
 
 
+def _meet(left: DataFrame, right: DataFrame, on: str | Column, how: str = "inner") -> DataFrame:
+    """A join of two tables that grow with the words, always dealt out by key.
+
+    Spark takes the size of a compressed file for that of its rows, also after an explode, and would copy a side of
+    gigabytes to the driver and to all tasks.
+    """
+    return left.join(right.hint("merge"), on, how)
+
+
 def build_tries(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Paths (word, side, path: the nodes the word meets) and edges (parent, letter, label, child) of both tries.
 
@@ -72,7 +81,7 @@ def build_tries(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     nodes = places.select(_node(side, _letters(text, F.lit(0), at)).alias("node"), _letters(text, at, F.lit(1)).alias("letter"))
     seen = nodes.groupBy("node").agg(F.min("letter").alias("least"), F.max("letter").alias("most"))
     open_nodes = seen.where((F.col("least") != F.col("most")) | (F.col("most") == "")).select("node")  # words branch or end here
-    met = places.select("word", "side", "at", _node(side, _letters(text, F.lit(0), at)).alias("node")).join(open_nodes, "node")
+    met = _meet(places.select("word", "side", "at", _node(side, _letters(text, F.lit(0), at)).alias("node")), open_nodes, "node")
     paths = settle(met.groupBy("word", "side").agg(F.array_sort(F.collect_list(F.struct("at", "node"))).alias("path")), "paths")  # no longer than the word
     steps = F.transform(F.sequence(F.lit(1), F.size("path") - 1), lambda i: F.struct(F.get("path", i - 1).alias("a"), F.get("path", i).alias("b")))
     walked = paths.where(F.size("path") > 1).select(text.alias("text"), F.explode(steps).alias("s"))
@@ -95,28 +104,28 @@ def neighbours(words: DataFrame) -> DataFrame:
     skipped = start.where((at + 1 == m) | (_letters(text, at + 1, F.lit(1)) != letter)).withColumn("at", at + 1)
     behind = F.char_length(label)
     replaced = (
-        start.join(edges, F.col("node") == F.col("parent"))
+        _meet(start, edges, F.col("node") == F.col("parent"))
         .where((F.col("letter") > letter) & (_letters(label, F.lit(1), behind - 1) == _letters(text, at + 1, behind - 1)))
         .withColumns({"at": at + behind, "node": F.col("child")})
     )
     states = settle(skipped.select(state).unionByName(replaced.select(state)).withColumn("edits", F.lit(1)), "frontier")
     ended = states.where(at == m)
     while not (active := states.where(at < m)).isEmpty():
-        met = active.join(edges, (F.col("node") == F.col("parent")) & (F.col("letter") == letter)).where(label == _letters(text, at, behind))
+        met = _meet(active, edges, (F.col("node") == F.col("parent")) & (F.col("letter") == letter)).where(label == _letters(text, at, behind))
         states = settle(met.withColumns({"at": at + behind, "node": F.col("child")}).select(state), "frontier")
         ended = ended.unionByName(states.where(at == m))
     ends = words.select(F.col("word").alias("near"), F.explode(F.array(_node(F.lit(0).cast("byte"), F.col("word")), _node(F.lit(1).cast("byte"), F.reverse("word")))).alias("node"))
-    pairs = ended.select("word", "node").join(ends, "node").where(F.levenshtein("word", "near", 1) == 1).select("word", "near")
+    pairs = _meet(ended.select("word", "node"), ends, "node").where(F.levenshtein("word", "near", 1) == 1).select("word", "near")
     return settle(pairs.unionByName(pairs.select(F.col("near").alias("word"), F.col("word").alias("near"))).distinct(), "neighbours")
 
 
 def group_variants(words: DataFrame, factor: int = FACTOR) -> DataFrame:
     """word, n, n_near, form, form_n and root of each word. ``words``: word, n, settled."""
-    near = neighbours(words).join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
+    near = _meet(neighbours(words), words.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
     best = near.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("minus"), "near")).alias("best"))
     fits = -F.col("best.minus") >= factor * F.col("n")
     told = settle(
-        words.join(best, "word", "left").select(
+        _meet(words, best, "word", "left").select(
             "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.when(fits, F.col("best.near")).alias("form"), F.when(fits, -F.col("best.minus")).alias("form_n")
         ),
         "forms",
@@ -124,5 +133,5 @@ def group_variants(words: DataFrame, factor: int = FACTOR) -> DataFrame:
     ahead = told.where(F.col("form").isNotNull()).select("word", F.col("form").alias("root"))
     for _ in range(DOUBLINGS):
         further = ahead.select(F.col("word").alias("root"), F.col("root").alias("beyond"))
-        ahead = settle(ahead.join(further, "root", "left").select("word", F.coalesce("beyond", "root").alias("root")), "roots")
-    return told.join(ahead, "word", "left").withColumn("root", F.coalesce("root", "word"))
+        ahead = settle(_meet(ahead, further, "root", "left").select("word", F.coalesce("beyond", "root").alias("root")), "roots")
+    return _meet(told, ahead, "word", "left").withColumn("root", F.coalesce("root", "word"))
