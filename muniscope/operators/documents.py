@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geography import wkt_to_geojson
-from .scale import sorted_parts
+from .scale import deal_out, pack_blocks, sorted_parts
 
 
 def pack_json(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
@@ -97,7 +97,8 @@ def map_document(
 
     With ``shared_by`` (say the state) the values are collected once per state and plot and then given to
     every place in ``members`` (place columns plus ``shared_by``). ``read`` turns documents into rows of the owner's columns
-    and others: a shared document is read once, and its rows are given to the places in its stead.
+    and others: a shared document is read once, and its rows are given to the places in its stead. Places are dealt out by
+    number, as few states can have many places and each place gets all rows of its state.
     """
     owner = [shared_by] if shared_by else list(place)
     one = long.where(F.col("valor").isNotNull()).groupBy(*owner, "plot", element, "variable").agg(
@@ -112,7 +113,10 @@ def map_document(
     docs = _one_document(per_plot, plots.select("plot", "info"), owner)
     docs = read(docs) if read else docs
     if shared_by:
-        docs = members.select(*place, shared_by).distinct().join(docs, shared_by).drop(shared_by)
+        kept = [c for c in docs.columns if c != shared_by]
+        packed = pack_blocks(docs, [shared_by], F.struct(*kept), [F.to_json(F.struct(*kept))])
+        met = deal_out(members.select(*place, shared_by).distinct(), packed, [shared_by])
+        docs = met.select(*place, F.explode("items").alias("__item")).select(*place, "__item.*")
     return docs
 
 

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from muniscope.llm import spelling
 from muniscope.llm.common import settle
+from muniscope.operators import documents as D
+from muniscope.operators import scale
 
 
 def test_tables_of_words_are_never_broadcast(spark, monkeypatch):
@@ -22,3 +24,28 @@ def test_tables_of_words_are_never_broadcast(spark, monkeypatch):
     assert {r["word"]: (r["form"], r["n_near"]) for r in found.collect()} == {
         "abcdefgh": (None, 2), "abcdefg": ("abcdefgh", 1), "abcdxfgh": ("abcdefgh", 1), "hgfedcba": (None, 0)
     }
+
+
+def test_places_of_few_states_are_dealt_out(spark):
+    long = spark.range(30).select((F.col("id") % 2).alias("ent"), F.lit("p").alias("plot"), F.concat(F.lit("e"), "id").alias("element_id"), F.lit("v").alias("variable"), F.col("id").alias("valor"))
+    members = spark.range(200).select(F.lit("m").alias("nivel"), F.col("id").cast("string").alias("nivel_clave"), F.when(F.col("id") < 199, F.col("id") % 3).alias("ent"))
+    plots = spark.createDataFrame([("p", "i")], "plot string, info string")
+
+    def leaves(docs):  # with a null, a map and a row that comes twice
+        rows = docs.select("ent", F.explode(F.from_json("values", "map<string,struct<values:map<string,map<string,struct<valor:string>>>>>")).alias("plot", "p")).select("ent", F.explode("p.values").alias("e", "leaf"))
+        return rows.select("ent", "e", "leaf", F.lit(None).cast("int").alias("none"), F.explode(F.array(F.lit(1), F.lit(1))).alias("one"))
+
+    told = D.map_document(long, plots, shared_by="ent", members=members, read=leaves)
+    assert told.columns == ["nivel", "nivel_clave", "e", "leaf", "none", "one"]
+    assert told.select(F.spark_partition_id()).distinct().count() > 1
+    got = sorted((int(r.nivel_clave), r.e, r.leaf["v"].valor, r.none, r.one) for r in told.collect())
+    assert got == sorted((k, f"e{i}", str(i), None, 1) for k in range(199) if k % 3 < 2 for i in range(k % 3, 30, 2) for _ in range(2))
+    whole = D.map_document(long, plots, shared_by="ent", members=members)
+    assert whole.select(F.spark_partition_id()).distinct().count() > 1 and whole.count() == sum(k % 3 < 2 for k in range(199))
+
+
+def test_copies_are_never_broadcast(spark):
+    small = spark.range(3).select("id", F.lit("x").alias("x"))
+    met = scale.deal_out(spark.range(50).select((F.col("id") % 3).alias("id"), F.col("id").alias("n")), small, ["id"])
+    assert "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.n for r in met.collect()) == list(range(50))
