@@ -93,7 +93,7 @@ def test_a_settled_step_lets_its_shuffle_files_go(spark):
     assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, plain.collect()))
 
 
-@pytest.mark.parametrize("name, joins", [("registry_deprivation", 1), ("survey_deprivation", 1)])
+@pytest.mark.parametrize("name, joins", [("registry_deprivation", 1), ("survey_deprivation", 1), ("income_predictors", 6)])
 def test_survey_steps_are_settled_one_by_one(spark, survey_tables, name, joins):
     load_all()
     out = QUERIES[name](spark, survey_tables)
